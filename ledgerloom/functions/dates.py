@@ -25,28 +25,25 @@ _NUMERIC_CODES = set("dmYyHIMSj")
 _FIXED_WIDTH = {"d": "dd", "m": "MM", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "j": "DDD"}
 _TWO_DIGIT_PIVOT = 2069
 
-# Patterns the native date check accepts.
-DATE_PATTERNS = (
-    "yyyy-M-d",
-    "yyyy-M-d H:m:s",
-    "yyyy-M-d'T'H:m:s[.SSSSSS][.SSS][XXX]",
-    "yyyy-M-d H:m:s.SSSSSS",
-    "yyyy-M-d H:m",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "d/M/yyyy H:m:s",
-    "M/d/yyyy H:m:s",
-    "d-M-yyyy",
-    "M-d-yyyy",
-    "d.M.yyyy",
-    "d MMM yyyy",
-    "d-MMM-yyyy",
-    "d-MMM-yy",
-    "d MMMM yyyy",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
+# Text forms the native date check accepts, and the Spark patterns tried for each.
+DATE_FORMS = (
+    (r"\d{4}-\d{1,2}-\d{1,2}", ("yyyy-M-d",)),
+    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}", ("yyyy-M-d H:m",)),
+    (r"\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}", ("yyyy-M-d['T'][ ]H:m:s",)),
+    (r"\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}", ("yyyy-M-d['T'][ ]H:m:s.SSSSSS",)),
+    (r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(Z|[+-]\d{2}:\d{2})", ("yyyy-M-d'T'H:m:sXXX",)),
+    (r"\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d",)),
+    (r"\d{8}", ("yyyyMMdd",)),
+    (r"\d{1,2}/\d{1,2}/\d{4}", ("d/M/yyyy", "M/d/yyyy")),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}", ("d/M/yyyy H:m:s", "M/d/yyyy H:m:s")),
+    (r"\d{1,2}-\d{1,2}-\d{4}", ("d-M-yyyy", "M-d-yyyy")),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", ("d.M.yyyy", "M.d.yyyy")),
+    (r"\d{1,2} [A-Za-z]{3} \d{4}", ("d MMM yyyy",)),
+    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", ("d-MMM-yyyy",)),
+    (r"\d{1,2}-[A-Za-z]{3}-\d{2}", ("d-MMM-yy",)),
+    (r"\d{1,2} [A-Za-z]{3,9} \d{4}", ("d MMMM yyyy",)),
+    (r"[A-Za-z]{3} \d{1,2}, \d{4}", ("MMM d, yyyy",)),
+    (r"[A-Za-z]{3,9} \d{1,2}, \d{4}", ("MMMM d, yyyy",)),
 )
 
 
@@ -93,9 +90,16 @@ def masked_timestamp(c: Column, mask: str) -> Column:
     return F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def is_date(c: Column, patterns: tuple[str, ...] = DATE_PATTERNS) -> Column:
-    """True for null cells and for text in one of ``patterns``. Stays inside the JVM."""
-    return c.isNull() | F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns]).isNotNull()
+def is_date(c: Column, forms: tuple[tuple[str, tuple[str, ...]], ...] = DATE_FORMS) -> Column:
+    """True for null cells and for text in one of ``forms``. Stays inside the JVM.
+
+    The form is found by its regular expression first: failed parse attempts are costly.
+    """
+    parsed = F
+    for form, patterns in forms:
+        attempts = F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns])
+        parsed = parsed.when(c.rlike(f"^{form}$"), attempts)
+    return c.isNull() | parsed.isNotNull()
 
 
 @F.pandas_udf("boolean")

@@ -127,90 +127,74 @@ def presence_counts(names: Sequence[str]) -> list[Column]:
 
 # ---- metric lists over the aggregate ----------------------------------------------------------------
 
+CELLS = "_cells"
+_FIELD = "struct<name:string,percent:int,present:boolean>"
 
-def _fields(names: Sequence[str], chosen, value=None, present=None) -> Column:
-    """Array of the chosen field names in column order, with an optional number or flag each."""
+
+def cell_array(columns: Sequence[str], kinds: dict[str, str], filled=(), present=()) -> Column:
+    """One array with name, declared type and counts of each column, read by the metrics below."""
     cells = [
-        F.when(
-            chosen(n),
-            F.struct(
-                F.lit(n).alias("name"),
-                (value(n) if value else F.lit(None)).cast("int").alias("percent"),
-                (present(n) if present else F.lit(None)).cast("boolean").alias("present"),
-            ),
+        F.struct(
+            F.lit(c).alias("name"),
+            F.lit(kinds.get(c)).cast("string").alias("kind"),
+            (named(_filled(c)) if c in filled else F.lit(None)).cast("bigint").alias("filled"),
+            (named(_present(c)) if c in present else F.lit(None)).cast("bigint").alias("present"),
         )
-        for n in names
+        for c in columns
     ]
-    if not cells:
-        return F.lit(None)
-    return F.array_compact(F.array(*cells))
+    return F.array(*cells).alias(CELLS)
+
 
+def _fields(cells: Column, percent_of=None, flag_of=None) -> Column:
+    def field(c: Column) -> Column:
+        return F.struct(
+            c["name"].alias("name"),
+            (percent_of(c) if percent_of else F.lit(None)).cast("int").alias("percent"),
+            (flag_of(c) if flag_of else F.lit(None)).cast("boolean").alias("present"),
+        )
 
-def _how_many(names: Sequence[str], chosen) -> Column:
-    total = F.lit(0).cast("bigint")
-    for n in names:
-        total = total + chosen(n).cast("bigint")
-    return total
+    return F.transform(cells, field).cast(f"array<{_FIELD}>")
 
 
 def presence_metric(name: str, fields: Sequence[str]) -> Metric:
     """Which of the columns hold any value at all, and their share."""
-
-    def present(n):
-        return named(_present(n)) > 0
-
-    share = percent(_how_many(fields, present), F.lit(len(fields)))
+    cells = F.filter(F.col(CELLS), lambda c: c["name"].isin(*fields))
+    present = F.size(F.filter(cells, lambda c: c["present"] > 0))
     return Metric(
         "business_rule",
         name,
-        percent=share,
-        fields=_fields(fields, lambda n: F.lit(True), present=present),
+        percent=percent(present, F.lit(len(fields))),
+        fields=_fields(cells, flag_of=lambda c: c["present"] > 0),
     )
 
 
-def profile_metrics(columns: Sequence[str], declared: Sequence[TypedField]) -> list[Metric]:
-    """Filled, empty and gapped columns, from ``recordCount`` and the fill counts of each column."""
+def profile_metrics() -> list[Metric]:
+    """Filled, empty and gapped columns, from ``recordCount`` and the cell array."""
     n = F.col("recordCount")
-
-    def filled(c):
-        return named(_filled(c)) > 0
-
-    def empty(c):
-        return named(_filled(c)) == 0
-
-    def blank_somewhere(c):
-        return named(_filled(c)) < n
-
-    def gapped(c):
-        return filled(c) & blank_somewhere(c)
-
-    def section(name, names, chosen, value=None):
-        total, count = F.lit(len(names)), _how_many(names, chosen)
-        return Metric(
-            "profile",
-            name,
-            percent=percent(count, total),
-            total=total,
-            count=count,
-            fields=_fields(names, chosen, value),
-        )
-
-    known = set(columns)
-    texts = [f.name for f in declared if f.data_type == "string" and f.name in known]
-    numbers = [f.name for f in declared if f.data_type in NUMERIC_TYPES and f.name in known]
-    with_values, with_gaps = _how_many(columns, filled), _how_many(columns, gapped)
+    every = F.col(CELLS)
+    texts = F.filter(every, lambda c: c["kind"] == "string")
+    numbers = F.filter(every, lambda c: c["kind"].isin(*NUMERIC_TYPES))
+
+    def section(name, among, chosen):
+        found = F.filter(among, chosen)
+        total, count = F.size(among), F.size(found)
+        share = percent(count, total)
+        return Metric("profile", name, percent=share, total=total, count=count, fields=_fields(found))
+
+    used = F.filter(every, lambda c: c["filled"] > 0)
+    gapped = F.filter(used, lambda c: c["filled"] < n)
     return [
-        section("fieldsFilled", columns, filled),
-        section("fieldsEmpty", columns, empty),
-        section("textFieldsEmpty", texts, blank_somewhere),
-        section("numericFieldsEmpty", numbers, blank_somewhere),
+        section("fieldsFilled", every, lambda c: c["filled"] > 0),
+        section("fieldsEmpty", every, lambda c: c["filled"] == 0),
+        section("textFieldsEmpty", texts, lambda c: c["filled"] < n),
+        section("numericFieldsEmpty", numbers, lambda c: c["filled"] < n),
         Metric(
             "profile",
             "missingRecords",
-            percent=percent(with_values - with_gaps, with_values),
-            total=with_values,
-            count=with_gaps,
-            fields=_fields(columns, gapped, lambda c: percent(named(_filled(c)), n)),
+            percent=percent(F.size(used) - F.size(gapped), F.size(used)),
+            total=F.size(used),
+            count=F.size(gapped),
+            fields=_fields(gapped, percent_of=lambda c: percent(c["filled"], n)),
         ),
     ]
 
@@ -288,6 +272,8 @@ def scorecard(
     columns = [c for c in df.columns if c != ord_col]
     aggregates, statistical, rules = _PARTS[entity](df)
     presence = _PRESENCE_RULES.get(entity, ()) if "business_rule" in sections else ()
+    checked = [f for _, fields in presence for f in fields]
+    profiled = columns if "profile" in sections else []
     metrics: list[Metric] = []
     wide = [F.count(F.lit(1)).alias("recordCount"), *aggregates]
     if "statistical" in sections:
@@ -299,14 +285,13 @@ def scorecard(
         ]
     if "business_rule" in sections:
         metrics += rules + [presence_metric(name, fields) for name, fields in presence]
-        wide += presence_counts(list(dict.fromkeys(f for _, fields in presence for f in fields)))
     if "profile" in sections:
-        metrics += profile_metrics(columns, declared)
-        wide += fill_counts(df, columns)
-    one_row = df.agg(*wide)
+        metrics += profile_metrics()
+    one_row = df.agg(*wide, *presence_counts(checked), *fill_counts(df, profiled))
+    derived = [cell_array(columns, {f.name: f.data_type for f in declared}, profiled, checked)]
     if "statistical" in sections:
-        counts = [distinct_values(df, column).alias(name) for name, column in _DISTINCT_COUNTS.items()]
-        one_row = one_row.select("*", *counts)
+        derived += [distinct_values(df, column).alias(name) for name, column in _DISTINCT_COUNTS.items()]
+    one_row = one_row.select("*", *derived)
     result = metric_rows(one_row, entity, metrics)
     if entity == "glDetail" and "business_rule" in sections and ord_col:
         result = result.unionByName(sequence_metric(df, entity, ord_col))
