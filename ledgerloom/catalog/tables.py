@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.runtime import scratch_path
+
 # Beyond the posting date, because (l_orderkey, l_linenumber) repeats.
 LINE_ORDER = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -109,8 +111,23 @@ PARSED_SQL = """CASE WHEN regexp_matches({0}, '^[0-9]+$') THEN try_cast({0} AS d
     * CASE WHEN contains({0}, '(') AND contains({0}, ')') THEN -1 ELSE 1 END END"""
 
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
 def messy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the amount, a flag and a date as export text."""
+    """Line items with the amount, a flag and a date as export text.
+
+    The text is written once per application, as report cells are: checks then read plain columns.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STAGED:
+        path = scratch_path(spark, "messy")
+        _messy_text(spark, sf_dir).write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
+
+
+def _messy_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_linenumber",

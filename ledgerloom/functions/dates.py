@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,26 +27,33 @@ _NUMERIC_CODES = set("dmYyHIMSj")
 _FIXED_WIDTH = {"d": "dd", "m": "MM", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "j": "DDD"}
 _TWO_DIGIT_PIVOT = 2069
 
-# Text forms the native date check accepts, and the Spark patterns tried for each.
-DATE_FORMS = (
-    (r"\d{4}-\d{1,2}-\d{1,2}", ("yyyy-M-d",)),
-    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}", ("yyyy-M-d H:m",)),
-    (r"\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}", ("yyyy-M-d['T'][ ]H:m:s",)),
-    (r"\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}", ("yyyy-M-d['T'][ ]H:m:s.SSSSSS",)),
-    (r"\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(Z|[+-]\d{2}:\d{2})", ("yyyy-M-d'T'H:m:sXXX",)),
-    (r"\d{4}/\d{1,2}/\d{1,2}", ("yyyy/M/d",)),
-    (r"\d{8}", ("yyyyMMdd",)),
-    (r"\d{1,2}/\d{1,2}/\d{4}", ("d/M/yyyy", "M/d/yyyy")),
-    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}", ("d/M/yyyy H:m:s", "M/d/yyyy H:m:s")),
-    (r"\d{1,2}-\d{1,2}-\d{4}", ("d-M-yyyy", "M-d-yyyy")),
-    (r"\d{1,2}\.\d{1,2}\.\d{4}", ("d.M.yyyy", "M.d.yyyy")),
-    (r"\d{1,2} [A-Za-z]{3} \d{4}", ("d MMM yyyy",)),
-    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", ("d-MMM-yyyy",)),
-    (r"\d{1,2}-[A-Za-z]{3}-\d{2}", ("d-MMM-yy",)),
-    (r"\d{1,2} [A-Za-z]{3,9} \d{4}", ("d MMMM yyyy",)),
-    (r"[A-Za-z]{3} \d{1,2}, \d{4}", ("MMM d, yyyy",)),
-    (r"[A-Za-z]{3,9} \d{1,2}, \d{4}", ("MMMM d, yyyy",)),
-)
+# Shapes of date text and the Spark patterns tried for each. In a shape, ``%`` stands for four
+# digits, ``@`` for eight, ``9`` for one or two, ``#`` for a fraction of a second and ``a`` for a word.
+DATE_SHAPES = {
+    "%-9-9": ("yyyy-M-d",),
+    "%-9-9 9:9": ("yyyy-M-d H:m",),
+    "%-9-9 9:9:9": ("yyyy-M-d H:m:s",),
+    "%-9-9 9:9:9.#": ("yyyy-M-d H:m:s.SSSSSS",),
+    "%-9-9a9:9:9": ("yyyy-M-d'T'H:m:s",),
+    "%-9-9a9:9:9.#": ("yyyy-M-d'T'H:m:s.SSSSSS",),
+    "%-9-9a9:9:9a": ("yyyy-M-d'T'H:m:sX",),
+    "%-9-9a9:9:9.#a": ("yyyy-M-d'T'H:m:s.SSSSSSX",),
+    "%-9-9a9:9:9+9:9": ("yyyy-M-d'T'H:m:sXXX",),
+    "%-9-9a9:9:9-9:9": ("yyyy-M-d'T'H:m:sXXX",),
+    "%/9/9": ("yyyy/M/d",),
+    "@": ("yyyyMMdd",),
+    "9/9/%": ("M/d/yyyy", "d/M/yyyy"),
+    "9/9/9": ("M/d/yy", "d/M/yy"),
+    "9/9/% 9:9": ("M/d/yyyy H:m", "d/M/yyyy H:m"),
+    "9/9/% 9:9:9": ("M/d/yyyy H:m:s", "d/M/yyyy H:m:s"),
+    "9-9-%": ("M-d-yyyy", "d-M-yyyy"),
+    "9.9.%": ("M.d.yyyy", "d.M.yyyy"),
+    "9 a %": ("d [MMMM][MMM] yyyy",),
+    "9-a-%": ("d-[MMMM][MMM]-yyyy",),
+    "9-a-9": ("d-[MMMM][MMM]-yy",),
+    "a 9, %": ("[MMMM][MMM] d, yyyy",),
+    "a 9 %": ("[MMMM][MMM] d yyyy",),
+}
 
 
 def spark_pattern(mask: str) -> str:
@@ -90,16 +99,25 @@ def masked_timestamp(c: Column, mask: str) -> Column:
     return F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def is_date(c: Column, forms: tuple[tuple[str, tuple[str, ...]], ...] = DATE_FORMS) -> Column:
-    """True for null cells and for text in one of ``forms``. Stays inside the JVM.
+def _shape(c: Column) -> Column:
+    steps = ((r"(:\d\d?)\.\d{1,6}", "$1.#"), (r"\d{8}", "@"), (r"\d{4}", "%"), (r"\d{1,2}", "9"), ("[A-Za-z]+", "a"))
+    for pattern, sign in steps:
+        c = F.regexp_replace(c, pattern, sign)
+    return c
+
+
+def is_date(c: Column, shapes: Mapping[str, tuple[str, ...]] = DATE_SHAPES) -> Column:
+    """True for null cells and for text in one of ``shapes``. Stays inside the JVM.
 
-    The form is found by its regular expression first: failed parse attempts are costly.
+    The shape selects the pattern, because failed parse attempts are costly.
     """
-    parsed = F
-    for form, patterns in forms:
-        attempts = F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns])
-        parsed = parsed.when(c.rlike(f"^{form}$"), attempts)
-    return c.isNull() | parsed.isNotNull()
+    shape = _shape(c)
+    attempts = []
+    for place in range(max(len(p) for p in shapes.values())):
+        known = [(s, p[place]) for s, p in shapes.items() if len(p) > place]
+        pattern = F.create_map(*[F.lit(text) for pair in known for text in pair])[shape]
+        attempts.append(F.try_to_timestamp(c, pattern))
+    return c.isNull() | F.coalesce(*attempts).isNotNull()
 
 
 @F.pandas_udf("boolean")

@@ -152,9 +152,13 @@ def read_report(
     body = lines.filter((F.col("_line") > header_line) & (F.trim("value") != ""))
     if nrows:
         body = body.orderBy(ORD).limit(nrows)
-    parsed = body.select(
+    cells = body.select(
         ORD,
         F.from_csv("value", schema, {"escape": '"'}).alias("r"),
     )
-    table = parsed.select(ORD, *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
-    return drop_all_null(null_tokens_to_null(table, keep=[ORD]), keep=[ORD])
+    table = cells.select(ORD, *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
+    # Stored by column, so that later filters and checks read plain columns and only those they name;
+    # pushed through the parser they would parse each line once per reference.
+    stored = scratch_path(spark, "report")
+    null_tokens_to_null(table, keep=[ORD]).write.parquet(stored)
+    return drop_all_null(spark.read.parquet(stored), keep=[ORD])
