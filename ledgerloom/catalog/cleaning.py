@@ -153,8 +153,7 @@ def _validated(spark, sf_dir, keep=("l_orderkey", "l_linenumber", "l_suppkey")):
     f"WITH {MESSY_LINES_SQL}, {_MARKS_SQL} SELECT l_orderkey, l_linenumber, field_name FROM marks WHERE field_name <> ''",
 )
 def _(spark, sf_dir):
-    marked = _validated(spark, sf_dir).select(*_KEYS, validate.bad_fields(_FIELDS).alias("field_name"))
-    return marked.filter("field_name <> ''")
+    return validate.bad_rows(_validated(spark, sf_dir), _FIELDS, _KEYS)
 
 
 @query(

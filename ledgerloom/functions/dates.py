@@ -7,6 +7,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Format codes of date masks and the Spark pattern letters they stand for.
 _CODES = {
@@ -120,12 +121,12 @@ def is_date(c: Column, shapes: Mapping[str, tuple[str, ...]] = DATE_SHAPES) -> C
     return c.isNull() | F.coalesce(*attempts).isNotNull()
 
 
-@F.pandas_udf("boolean")
-def is_date_free_form(cells: pd.Series) -> pd.Series:
+def is_date_free_form(c: Column) -> Column:
     """As ``is_date``, but accepting every form the dateutil parser accepts (Arrow batches)."""
-    from dateutil import parser
 
     def accepted(text: str | None) -> bool:
+        from dateutil import parser
+
         if text is None or text == "nan":
             return True
         try:
@@ -134,4 +135,8 @@ def is_date_free_form(cells: pd.Series) -> pd.Series:
             return False
         return True
 
-    return cells.map(accepted, na_action=None).astype(bool)
+    @F.pandas_udf(T.BooleanType())
+    def check(cells: pd.Series) -> pd.Series:
+        return pd.Series([accepted(cell) for cell in cells], dtype=bool)
+
+    return check(c)

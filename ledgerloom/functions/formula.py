@@ -9,6 +9,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numbers import round_binary
+
 _OPERAND = re.compile(r"<(\d+)>")
 
 
@@ -57,4 +59,4 @@ def compile_formula(expression: str, values: Mapping[int, Column]) -> Column:
 
     result = column(tree)
     finite = ~F.isnan(result) & (F.abs(result) != F.lit(float("inf")))
-    return F.when(finite, F.bround(result, 4))
+    return F.when(finite, round_binary(result, 4))

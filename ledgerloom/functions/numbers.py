@@ -36,3 +36,20 @@ def percent(count: Column, total: Column) -> Column:
     """Whole percentage, rounded half to even; zero when there is nothing to count."""
     share = F.try_divide(count.cast("double"), total.cast("double")) * 100
     return F.coalesce(F.bround(share, 0), F.lit(0.0)).cast("int")
+
+
+def round_binary(c: Column, places: int = 4) -> Column:
+    """Rounds a double half to even, judging ties by its exact binary value rather than its printed form.
+
+    The value is split into two halves whose products with the power of ten are exact, so the sign of the
+    distance to the tie is exact too. Doubles too large to hold decimals are returned as they are.
+    """
+    scale = float(10**places)
+    shifted = c * 134217729.0
+    high = shifted - (shifted - c)
+    low = c - high
+    whole = F.floor(high * scale + low * scale).cast("double")
+    beyond_tie = (high * scale - whole - 0.5) + low * scale
+    up = (beyond_tie > 0) | ((beyond_tie == 0) & (F.pmod(whole, F.lit(2.0)) == 1))
+    rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    return F.when(F.abs(c) < 2.0**52 / scale, rounded).otherwise(c)

@@ -68,6 +68,15 @@ def bad_fields(fields: Sequence[TypedField]) -> Column:
     return F.concat_ws("|", *marks)
 
 
+def bad_rows(df: DataFrame, fields: Sequence[TypedField], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows with an invalid cell: the ``keep`` columns and ``field_name`` naming the cells.
+
+    Exploding the mark computes each check once; a filter on it would be pushed down and repeat them.
+    """
+    mark = F.filter(F.array(bad_fields(fields)), lambda m: m != "")
+    return df.select(*[named(c) for c in keep], F.explode(mark).alias("field_name"))
+
+
 def all_valid(fields: Sequence[TypedField]) -> Column:
     return reduce(and_, [named(f.name + FLAG) for f in fields])
 
