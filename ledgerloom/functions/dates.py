@@ -63,14 +63,15 @@ def spark_pattern(mask: str) -> str:
     position = 0
     while position < len(mask):
         char = mask[position]
-        if char != "%":
+        code = mask[position + 1 : position + 2] if char == "%" else None
+        if code in (None, "%"):
+            # Neighbouring characters share one quoted run.
+            if tokens and tokens[-1][0] == "text":
+                char = tokens.pop()[1] + char
             tokens.append(("text", char))
-            position += 1
+            position += 2 if code else 1
             continue
-        code = mask[position + 1 : position + 2]
-        if code == "%":
-            tokens.append(("text", "%"))
-        elif code in _CODES:
+        if code in _CODES:
             tokens.append(("code", code))
         else:
             raise ValueError(f"date mask code %{code} is not supported")
@@ -81,7 +82,7 @@ def spark_pattern(mask: str) -> str:
 def _render(tokens: list[tuple[str, str]], index: int) -> str:
     kind, value = tokens[index]
     if kind == "text":
-        return f"'{value}'" if value.isalpha() else ("''" if value == "'" else value)
+        return "'" + value.replace("'", "''") + "'"
     neighbours = tokens[max(index - 1, 0) : index] + tokens[index + 1 : index + 2]
     glued = any(k == "code" and v in _NUMERIC_CODES for k, v in neighbours)
     return _FIXED_WIDTH[value] if glued and value in _FIXED_WIDTH else _CODES[value]

@@ -52,4 +52,4 @@ def round_binary(c: Column, places: int = 4) -> Column:
     beyond_tie = (high * scale - whole - 0.5) + low * scale
     up = (beyond_tie > 0) | ((beyond_tie == 0) & (F.pmod(whole, F.lit(2.0)) == 1))
     rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
-    return F.when(F.abs(c) < 2.0**52 / scale, rounded).otherwise(c)
+    return F.when(F.abs(c) < 2.0**53 / scale, rounded).otherwise(c)
