@@ -15,5 +15,8 @@ def align_by_position(frames: Sequence[tuple[DataFrame, str]], position: str = "
 
     Shorter frames are padded with nulls. Order columns are dropped, ``position`` stays.
     """
-    numbered = [dense_ordinal(df, ord_col, position).drop(ord_col) for df, ord_col in frames]
+    numbered = [
+        dense_ordinal(df, ord_col, "_place").drop(ord_col).withColumnRenamed("_place", position)
+        for df, ord_col in frames
+    ]
     return reduce(lambda left, right: left.join(right, position, "full_outer"), numbered)
