@@ -305,7 +305,7 @@ _LINES = ", ".join(LINE_ORDER)
 def _(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
     days = F.datediff("l_shipdate", F.lit("1970-01-01"))
-    numbered = journal_line_numbers(lines, "l_orderkey", LINE_ORDER, "lineNumber", bucket=days)
+    numbered = journal_line_numbers(lines, "l_orderkey", LINE_ORDER, "lineNumber", position=days)
     return numbered.drop("l_shipdate")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.codes import trimmed_account_name
 from ledgerloom.functions.columns import named
 from ledgerloom.functions.numbers import money_sum
-from ledgerloom.runtime import lookup_side
+from ledgerloom.runtime import literal_rows, lookup_side
 
 # Account categories and the words that put an account into them.
 CATEGORIES = {
@@ -120,7 +120,8 @@ def category_rollup(
         .agg(money_sum(named(amount)).alias("amount"))
     )
     spread = _with_category(per_code, "account")
-    blank_rows = df.sparkSession.createDataFrame(
+    blank_rows = literal_rows(
+        df.sparkSession,
         [(c, None, None, None) for c in CATEGORIES],
         T.StructType(
             [
@@ -131,19 +132,10 @@ def category_rollup(
             ]
         ),
     )
-    columns = ["category", "account", "code", "amount"]
-    merged = spread.select(*columns).unionByName(blank_rows)
-    # One pass per distinct measure over the pre-aggregated table; each keeps hot categories spread out.
-    codes = merged.select("category", "code").distinct().groupBy("category").agg(F.count("code").alias("mapped"))
-    accounts = (
-        merged.select("category", "account")
-        .distinct()
-        .groupBy("category")
-        .agg(F.count("account").alias("accounts"))
-    )
-    totals = merged.groupBy("category").agg(F.coalesce(F.sum("amount"), F.lit(0)).alias("total_value"))
-    return (
-        totals.join(codes, "category")
-        .join(accounts, "category")
-        .select("category", F.col("total_value").cast("double").alias("total_value"), "mapped", "accounts")
+    merged = spread.select("category", "account", "code", "amount").unionByName(blank_rows)
+    # The distinct counts are taken over the pre-aggregated table, never over ledger rows.
+    return merged.groupBy("category").agg(
+        F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("total_value"),
+        F.count_distinct("code").alias("mapped"),
+        F.count_distinct("account").alias("accounts"),
     )

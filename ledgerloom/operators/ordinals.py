@@ -12,9 +12,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import named
+from ledgerloom.runtime import durable, lookup_side
 
 MAX_BUCKETS = 65_536
 MIN_BUCKET_ROWS = 10_000
+HOT_JOURNAL_ROWS = 1_000_000
 
 
 def order_bucket(df: DataFrame, ord_col: str) -> Column:
@@ -25,23 +27,33 @@ def order_bucket(df: DataFrame, ord_col: str) -> Column:
     return F.floor((named(ord_col).cast("bigint") - low) / width)
 
 
-def dense_ordinal(df: DataFrame, ord_col: str, out: str, start: int = 0) -> DataFrame:
-    """Adds consecutive numbers in the order of ``ord_col``."""
+def dense_ordinal(
+    df: DataFrame, ord_col: str, out: str, start: int = 0, wanted: Column | None = None
+) -> DataFrame:
+    """Adds consecutive numbers in the order of ``ord_col``.
+
+    With ``wanted``, all rows count but only rows for which it is true are returned: buckets without such
+    rows are then left out before the shuffle.
+    """
     cut = df.withColumn("_bucket", order_bucket(df, ord_col))
+    marked = cut if wanted is None else cut.withColumn("_wanted", wanted)
+    chosen = F.lit(True) if wanted is None else F.coalesce(F.max("_wanted"), F.lit(False))
     # The unpartitioned window runs over the bucket table only (at most MAX_BUCKETS rows).
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        marked.groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"), chosen.alias("_chosen"))
+        .select("_bucket", "_chosen", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .filter("_chosen")
+        .drop("_chosen")
     )
     inside = W.partitionBy("_bucket").orderBy(named(ord_col))
-    return (
-        cut.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
-        .withColumn(out, F.col("_offset") + F.col("_rank") - 1 + F.lit(start))
-        .drop("_bucket", "_offset", "_rank")
+    numbered = (
+        marked.join(F.broadcast(offsets), "_bucket")
+        .withColumn(out, F.col("_offset") + F.row_number().over(inside) - 1 + F.lit(start))
+        .drop("_bucket", "_offset")
     )
+    return numbered if wanted is None else numbered.filter("_wanted").drop("_wanted")
 
 
 def journal_line_numbers(
@@ -49,32 +61,46 @@ def journal_line_numbers(
     journal: str,
     order_by: list[str],
     out: str = "journalIdLineNumber",
-    bucket: Column | None = None,
+    position: Column | None = None,
 ) -> DataFrame:
     """Adds the running count of each row within its journal.
 
-    A journal is numbered bucket by bucket and the counts of its earlier buckets are added, so one journal
-    holding most rows still runs in many tasks. ``bucket`` must not decrease along ``order_by``; by default
-    it is the range bucket of the first order column. Null and empty journal ids form one group.
+    Journals of more than ``HOT_JOURNAL_ROWS`` rows are cut into pieces along their order and numbered piece
+    by piece, so one journal holding most rows still runs in many tasks; the counts of its earlier pieces
+    are added. ``position`` is a number that never decreases along ``order_by``, by default its first column.
+    Null and empty journal ids form one group.
     """
-    cut = df.withColumn(
-        "_journal", F.coalesce(named(journal).cast("string"), F.lit(""))
-    ).withColumn("_bucket", order_bucket(df, order_by[0]) if bucket is None else bucket)
-    before = W.partitionBy("_journal").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy("_journal", "_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.sum("_n").over(before))
-        # Most journals sit in one bucket and need no correction.
-        .filter(F.col("_offset") > 0)
-        .drop("_n")
+    key = named(order_by[0]) if position is None else position
+    keyed = df.withColumn("_journal", F.coalesce(named(journal).cast("string"), F.lit("")))
+    keyed = keyed.withColumn("_at", key.cast("bigint"))
+    order = [named(c) for c in order_by]
+    hot = durable(
+        keyed.groupBy("_journal")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_low"), F.max("_at").alias("_high"))
+        .filter(F.col("_n") > HOT_JOURNAL_ROWS)
+    )
+    if hot.isEmpty():
+        line = F.row_number().over(W.partitionBy("_journal").orderBy(*order))
+        return keyed.withColumn(out, line.cast("bigint")).drop("_journal", "_at")
+
+    # One row per hot journal, and below one row per piece: about one per HOT_JOURNAL_ROWS rows.
+    pieces = F.ceil(F.col("_n") / HOT_JOURNAL_ROWS)
+    share = (F.col("_at") - F.col("_low")).cast("double") / (F.col("_high") - F.col("_low") + 1)
+    piece = F.coalesce(F.floor(share * pieces), F.lit(0))
+    cut = keyed.join(lookup_side(hot), "_journal", "left").withColumn("_piece", piece)
+    before = W.partitionBy("_journal").orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    offsets = lookup_side(
+        cut.filter(F.col("_n").isNotNull())
+        .groupBy("_journal", "_piece")
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .withColumn("_offset", F.coalesce(F.sum("_count").over(before), F.lit(0)))
+        .drop("_count")
     )
-    inside = W.partitionBy("_journal", "_bucket").orderBy(*[named(c) for c in order_by])
+    line = F.row_number().over(W.partitionBy("_journal", "_piece").orderBy(*order))
     return (
-        cut.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, ["_journal", "_bucket"], "left")
-        .withColumn(out, (F.col("_rank") + F.coalesce(F.col("_offset"), F.lit(0))).cast("bigint"))
-        .drop("_journal", "_bucket", "_rank", "_offset")
+        cut.join(offsets, ["_journal", "_piece"], "left")
+        .withColumn(out, (line + F.coalesce(F.col("_offset"), F.lit(0))).cast("bigint"))
+        .drop("_journal", "_at", "_n", "_low", "_high", "_piece", "_offset")
     )
 
 

@@ -92,20 +92,15 @@ def type_errors(
     report_name: str,
     file_name: str,
     ord_col: str,
-    row_col: str | None = None,
 ) -> DataFrame:
     """One error row per bad row; ``data_row`` is its 1-based place among the rows of ``df``.
 
-    Only the order key and the field marks go through the numbering shuffle. ``row_col`` names a column
-    that already holds the place.
+    Only the order key and the field marks go through the numbering shuffle, and of those only the order
+    ranges that hold a bad row.
     """
-    marked = df.select(named(row_col or ord_col).alias("_place"), bad_fields(fields).alias("field_name"))
-    numbered = (
-        marked.withColumnRenamed("_place", "data_row")
-        if row_col
-        else dense_ordinal(marked, "_place", "data_row", start=1)
-    )
-    return numbered.filter(F.col("field_name") != "").select(
+    marked = df.select(named(ord_col), bad_fields(fields).alias("field_name"))
+    numbered = dense_ordinal(marked, ord_col, "data_row", start=1, wanted=F.col("field_name") != "")
+    return numbered.select(
         F.lit(report_name).alias("report_name"),
         F.lit(None).cast("string").alias("cdm_field"),
         F.lit(file_name).alias("file_name"),

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import named
 from ledgerloom.operators import clean, validate
@@ -23,6 +24,7 @@ from ledgerloom.operators.mapping import (
 from ledgerloom.operators.ordinals import dense_ordinal, journal_line_numbers
 from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.group import group_trial_balance, write_grouped
+from ledgerloom.runtime import literal_rows
 from ledgerloom.sinks.writers import write_scorecard, write_table
 from ledgerloom.sources.reports import ORD, read_report
 from ledgerloom.spec import FileTemplate, MappingRow, ReportSpec, TypedField
@@ -142,7 +144,8 @@ def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> Conforme
         ORD, *[constants[t].value.alias(t) if t in constants else named(t) for t in targets]
     )
     errors.append(
-        spark.createDataFrame(
+        literal_rows(
+            spark,
             [(report.name, p.target, None, None, None, p.error) for p in problems],
             validate.ERROR_SCHEMA,
         )
@@ -153,8 +156,7 @@ def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> Conforme
 def _row_errors(frame: DataFrame, marks, report: str, file: str) -> DataFrame:
     marked = frame.select(ORD, F.array_compact(F.array(*marks)).alias(_ERRORS))
     return (
-        dense_ordinal(marked, ORD, "data_row", start=1)
-        .filter(F.size(_ERRORS) > 0)
+        dense_ordinal(marked, ORD, "data_row", start=1, wanted=F.size(_ERRORS) > 0)
         .select("data_row", F.inline(_ERRORS))
         .select(
             F.lit(report).alias("report_name"),
@@ -180,10 +182,10 @@ def covered_reports(
     spark: SparkSession, reports: Sequence[ReportSpec], uploaded: Sequence[str]
 ) -> list[ReportSpec]:
     """Reports to process given the uploaded file names; raises when none is left."""
-    files = spark.createDataFrame([(f,) for f in uploaded], "file_name string")
-    expected = spark.createDataFrame(
-        [(r.name, f) for r in reports for f in r.file_fields()], "report_name string, file_name string"
-    )
+    name, file = T.StructField("report_name", T.StringType()), T.StructField("file_name", T.StringType())
+    files = literal_rows(spark, [(f,) for f in uploaded], T.StructType([file]))
+    pairs = [(r.name, f) for r in reports for f in r.file_fields()]
+    expected = literal_rows(spark, pairs, T.StructType([name, file]))
     kept = {row["report_name"] for row in kept_reports(files, expected).collect()}
     if not kept:
         raise ValueError("Could not find valid mapping from the Standard Mapping")

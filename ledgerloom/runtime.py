@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A lookup side is broadcast only when its measured text size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -53,3 +55,13 @@ def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     kept = durable(df)
     row = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")).first()
     return F.broadcast(kept) if (row["size"] or 0) <= limit else kept
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+    """A handful of control rows as literals, without starting Python workers."""
+    cells = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    if cells:
+        return spark.range(1).select(F.inline(F.array(*cells)))
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

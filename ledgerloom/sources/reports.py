@@ -26,7 +26,7 @@ def _has_odd_quotes(c: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines of the file(s) at ``path`` as ``(_file, _line, _ord, _odd, value)``.
+    """Physical lines of the file(s) at ``path`` as ``(_file, _block, _line, _ord, _odd, value)``.
 
     ``_line`` counts from 1 within its file, ``_ord`` over all files of the path in name order.
 
@@ -83,6 +83,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     return lines.join(offsets, ["_file", "_block"]).select(
         "_file",
+        "_block",
         (F.col("_offset") + F.col("_place") - F.col("_first") + 1).alias("_line"),
         (F.col("_total_offset") + F.col("_place") - F.col("_first") + 1).alias(ORD),
         "_odd",
@@ -115,25 +116,29 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
         .groupBy("_start")
         .agg(
             F.min("_line").alias("_line"),
+            F.min("_block").alias("_block"),
             F.array_sort(F.collect_list(F.struct(ORD, "value"))).alias("_parts"),
         )
         .select(
+            "_block",
             "_line",
             F.col("_start").alias(ORD),
             F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
         )
     )
-    single = tagged.filter("_start is null").select("_line", ORD, "value")
+    single = tagged.filter("_start is null").select("_block", "_line", ORD, "value")
     return single.unionByName(merged)
 
 
 def _header(lines: DataFrame, start_row: int) -> tuple[int, list[str]]:
     """Line number and names of the first non-blank line from ``start_row`` on."""
     candidates = lines.filter((F.col("_line") >= start_row) & (F.trim("value") != ""))
-    found = candidates.orderBy(ORD).select("_line", "value").first()
-    if found is None:
-        raise ValueError(f"no header at or after line {start_row}")
-    return found["_line"], repaired_header(next(csv.reader([found["value"].lstrip("\ufeff")])))
+    # The first input split nearly always holds it; the filter then skips all other stored lines.
+    for place in (candidates.filter("_block = 0"), candidates):
+        found = place.orderBy(ORD).select("_line", "value").first()
+        if found is not None:
+            return found["_line"], repaired_header(next(csv.reader([found["value"].lstrip("\ufeff")])))
+    raise ValueError(f"no header at or after line {start_row}")
 
 
 def read_report(

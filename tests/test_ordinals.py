@@ -33,7 +33,9 @@ def test_dense_ordinal(spark, bucket_sizes, partitions):
 
 
 @pytest.mark.parametrize("partitions", [1, 50])
-def test_journal_line_numbers(spark, bucket_sizes, partitions):
+@pytest.mark.parametrize("hot_rows", [1, 10, 100, 10_000])
+def test_journal_line_numbers(spark, monkeypatch, hot_rows, partitions):
+    monkeypatch.setattr(ordinals, "HOT_JOURNAL_ROWS", hot_rows)
     rows = _ledger(2)
     df = spark.createDataFrame(rows, "o long, j string").repartition(partitions)
     seen, expected = Counter(), {}
@@ -91,9 +93,19 @@ def test_align_pads_the_shorter_frame(spark, bucket_sizes):
     assert [(r["_position"], r.l, r.r) for r in rows] == [(0, "b", "x"), (1, "a", None), (2, "c", None)]
 
 
-def test_a_hot_journal_is_spread_over_tasks(spark, bucket_sizes):
-    """The window is partitioned by journal and bucket, never by journal alone."""
-    df = spark.range(1000).select(F.col("id").alias("o"), F.lit("hot").alias("j"))
-    plan = journal_line_numbers(df, "j", ["o"], "line")._jdf.queryExecution().optimizedPlan().toString()
+def test_a_hot_journal_is_spread_over_tasks(spark, monkeypatch):
+    """A journal with a third of all rows is numbered in pieces of about the given size."""
+    monkeypatch.setattr(ordinals, "HOT_JOURNAL_ROWS", 100)
+    journal = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    df = spark.range(6000).select(F.col("id").alias("o"), journal.alias("j"))
+    numbered = journal_line_numbers(df, "j", ["o"], "line")
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "row_number()" in line and "Window" in line]
-    assert windows and all("_bucket" in w.split("[")[2] for w in windows)
+    assert windows and all("_piece" in w for w in windows)
+    assert numbered.filter("j = 'hot'").agg(F.max("line"), F.count_distinct("line")).first()[:] == (2000, 2000)
+
+
+def test_only_wanted_rows_are_returned(spark, bucket_sizes):
+    df = spark.createDataFrame([(o, o % 97 == 0) for o in range(0, 2000, 5)], "o long, bad boolean")
+    rows = dense_ordinal(df, "o", "place", start=1, wanted=F.col("bad")).collect()
+    assert sorted((r.o, r.place) for r in rows) == [(o, o // 5 + 1) for o in range(0, 2000, 485)]
