@@ -44,7 +44,7 @@ def group_by_code(
     """Left join on the account code; null codes match null codes. The grouping's code is dropped."""
     form = normalized_code if normalize else (lambda c: c.cast("string"))
     keyed = grouping.withColumn("_code", form(named(grouping_code))).drop(grouping_code)
-    side = lookup_side(keyed)
+    side = lookup_side(keyed, once=False)
     return tb.join(side, form(tb[f"`{code}`"]).eqNullSafe(side["_code"]), "left").drop("_code")
 
 
@@ -66,7 +66,7 @@ def group_by_code_and_name(
         F.regexp_replace(text(named(grouping_name)), r"^\s+|\s+$", "").alias("_name"),
         *[named(c) for c in grouping.columns if c not in (grouping_code, grouping_name)],
     )
-    side = lookup_side(keyed.distinct())
+    side = lookup_side(keyed.distinct(), once=False)
     matches = tb[f"`{code}`"].cast("string").eqNullSafe(side["_code"]) & trimmed_account_name(
         text(tb[f"`{name}`"])
     ).eqNullSafe(side["_name"])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import blank_to_null, named
-from ledgerloom.functions.numbers import money_sum, percent
+from ledgerloom.functions.numbers import money_sum
 from ledgerloom.operators.ordinals import sequence_gaps
 from ledgerloom.spec import NUMERIC_TYPES, TypedField
 
@@ -41,23 +41,23 @@ MANUAL_JOURNAL_FIELDS = ("journalEntryType", "sourceId")
 
 @dataclass(frozen=True)
 class Metric:
-    """One row of the long metric table, as expressions over the one-row aggregate."""
+    """One row of the long metric table; its values are SQL expressions over the one-row aggregate."""
 
     section: str
     name: str
-    value: Column | None = None
-    outcome: Column | None = None
-    percent: Column | None = None
-    total: Column | None = None
-    count: Column | None = None
-    fields: Column | None = None
-    warning: Column | None = None
-
-    def cell(self, entity: str) -> Column:
+    value: str = "NULL"
+    outcome: str = "NULL"
+    percent: str = "NULL"
+    total: str = "NULL"
+    count: str = "NULL"
+    fields: str = "NULL"
+    warning: str = "NULL"
+
+    def sql(self, entity: str) -> str:
         given = {
-            "entity": F.lit(entity),
-            "section": F.lit(self.section),
-            "metric": F.lit(self.name),
+            "entity": f"'{entity}'",
+            "section": f"'{self.section}'",
+            "metric": f"'{self.name}'",
             "value": self.value,
             "outcome": self.outcome,
             "percent": self.percent,
@@ -66,16 +66,12 @@ class Metric:
             "fields": self.fields,
             "warning": self.warning,
         }
-        return F.struct(
-            *[
-                (F.lit(None) if c is None else c).cast(METRIC_SCHEMA[name]).alias(name)
-                for name, c in given.items()
-            ]
-        )
+        cells = [f"'{name}', cast({given[name]} AS {kind})" for name, kind in METRIC_SCHEMA.items()]
+        return f"named_struct({', '.join(cells)})"
 
 
 def metric_rows(one_row: DataFrame, entity: str, metrics: Sequence[Metric]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*[m.cell(entity) for m in metrics])))
+    return one_row.selectExpr(f"inline(array({', '.join(m.sql(entity) for m in metrics)}))")
 
 
 # ---- aggregates -------------------------------------------------------------------------------------
@@ -92,16 +88,21 @@ def signed_sum(amount: Column, indicator: Column) -> Column:
     return money_sum(F.when(indicator == "C", -amount).otherwise(amount))
 
 
-def netting(total: Column) -> Column:
-    return F.when(F.abs(total) <= NET_TOLERANCE, "pass").otherwise("fail")
+def netting(total: str) -> str:
+    return f"CASE WHEN abs({total}) <= {NET_TOLERANCE} THEN 'pass' ELSE 'fail' END"
 
 
-def clamped(total: Column) -> Column:
-    return F.when(F.abs(total) < ZERO_CLAMP, F.lit(0).cast("decimal(38,8)")).otherwise(total)
+def clamped(total: str) -> str:
+    return f"CASE WHEN abs({total}) < {ZERO_CLAMP} THEN 0 ELSE {total} END"
 
 
-def rounded(total: Column) -> Column:
-    return F.round(total, 5).cast("double")
+def rounded(total: str) -> str:
+    return f"round({total}, 5)"
+
+
+def percent(count: str, total: str) -> str:
+    """Whole percentage, rounded half to even; zero when there is nothing to count."""
+    return f"coalesce(bround(try_divide(double({count}), double({total})) * 100, 0), 0)"
 
 
 def _filled(name: str) -> str:
@@ -128,113 +129,106 @@ def presence_counts(names: Sequence[str]) -> list[Column]:
 # ---- metric lists over the aggregate ----------------------------------------------------------------
 
 CELLS = "_cells"
-_FIELD = "struct<name:string,percent:int,present:boolean>"
+_CELL = "array<struct<name:string,kind:string,filled:bigint,present:bigint>>"
+
 
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def cell_array(columns: Sequence[str], kinds: dict[str, str], filled=(), present=()) -> Column:
+
+def cell_array(columns: Sequence[str], kinds: dict[str, str], filled=(), present=()) -> str:
     """One array with name, declared type and counts of each column, read by the metrics below."""
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
     cells = [
-        F.struct(
-            F.lit(c).alias("name"),
-            F.lit(kinds.get(c)).cast("string").alias("kind"),
-            (named(_filled(c)) if c in filled else F.lit(None)).cast("bigint").alias("filled"),
-            (named(_present(c)) if c in present else F.lit(None)).cast("bigint").alias("present"),
-        )
+        f"named_struct('name', {_text(c)}, 'kind', {_text(kinds.get(c))}, "
+        f"'filled', {quoted(_filled(c)) if c in filled else 'NULL'}, "
+        f"'present', {quoted(_present(c)) if c in present else 'NULL'})"
         for c in columns
     ]
-    return F.array(*cells).alias(CELLS)
+    return f"cast(array({', '.join(cells)}) AS {_CELL}) AS {CELLS}"
 
 
-def _fields(cells: Column, percent_of=None, flag_of=None) -> Column:
-    def field(c: Column) -> Column:
-        return F.struct(
-            c["name"].alias("name"),
-            (percent_of(c) if percent_of else F.lit(None)).cast("int").alias("percent"),
-            (flag_of(c) if flag_of else F.lit(None)).cast("boolean").alias("present"),
-        )
-
-    return F.transform(cells, field).cast(f"array<{_FIELD}>")
+def _fields(cells: str, percent_of: str = "NULL", flag_of: str = "NULL") -> str:
+    return f"transform({cells}, c -> named_struct('name', c.name, 'percent', {percent_of}, 'present', {flag_of}))"
 
 
 def presence_metric(name: str, fields: Sequence[str]) -> Metric:
     """Which of the columns hold any value at all, and their share."""
-    cells = F.filter(F.col(CELLS), lambda c: c["name"].isin(*fields))
-    present = F.size(F.filter(cells, lambda c: c["present"] > 0))
+    cells = f"filter({CELLS}, c -> c.name IN ({', '.join(map(_text, fields))}))"
+    present = f"size(filter({cells}, c -> c.present > 0))"
     return Metric(
         "business_rule",
         name,
-        percent=percent(present, F.lit(len(fields))),
-        fields=_fields(cells, flag_of=lambda c: c["present"] > 0),
+        percent=percent(present, str(len(fields))),
+        fields=_fields(cells, flag_of="c.present > 0"),
     )
 
 
 def profile_metrics() -> list[Metric]:
     """Filled, empty and gapped columns, from ``recordCount`` and the cell array."""
-    n = F.col("recordCount")
-    every = F.col(CELLS)
-    texts = F.filter(every, lambda c: c["kind"] == "string")
-    numbers = F.filter(every, lambda c: c["kind"].isin(*NUMERIC_TYPES))
-
-    def section(name, among, chosen):
-        found = F.filter(among, chosen)
-        total, count = F.size(among), F.size(found)
-        share = percent(count, total)
-        return Metric("profile", name, percent=share, total=total, count=count, fields=_fields(found))
-
-    used = F.filter(every, lambda c: c["filled"] > 0)
-    gapped = F.filter(used, lambda c: c["filled"] < n)
+    texts = f"filter({CELLS}, c -> c.kind = 'string')"
+    numbers = f"filter({CELLS}, c -> c.kind IN ({', '.join(map(_text, NUMERIC_TYPES))}))"
+
+    def section(name: str, among: str, chosen: str) -> Metric:
+        found = f"filter({among}, c -> {chosen})"
+        total, count = f"size({among})", f"size({found})"
+        return Metric("profile", name, percent=percent(count, total), total=total, count=count, fields=_fields(found))
+
+    used = f"filter({CELLS}, c -> c.filled > 0)"
+    gapped = f"filter({used}, c -> c.filled < recordCount)"
     return [
-        section("fieldsFilled", every, lambda c: c["filled"] > 0),
-        section("fieldsEmpty", every, lambda c: c["filled"] == 0),
-        section("textFieldsEmpty", texts, lambda c: c["filled"] < n),
-        section("numericFieldsEmpty", numbers, lambda c: c["filled"] < n),
+        section("fieldsFilled", CELLS, "c.filled > 0"),
+        section("fieldsEmpty", CELLS, "c.filled = 0"),
+        section("textFieldsEmpty", texts, "c.filled < recordCount"),
+        section("numericFieldsEmpty", numbers, "c.filled < recordCount"),
         Metric(
             "profile",
             "missingRecords",
-            percent=percent(F.size(used) - F.size(gapped), F.size(used)),
-            total=F.size(used),
-            count=F.size(gapped),
-            fields=_fields(gapped, percent_of=lambda c: percent(c["filled"], n)),
+            percent=percent(f"size({used}) - size({gapped})", f"size({used})"),
+            total=f"size({used})",
+            count=f"size({gapped})",
+            fields=_fields(gapped, percent_of=f"cast({percent('c.filled', 'recordCount')} AS int)"),
         ),
     ]
 
 
-def _statistic(name: str, value: Column) -> Metric:
-    return Metric("statistical", name, value=value.cast("double"))
+def _statistic(name: str, value: str | None = None) -> Metric:
+    return Metric("statistical", name, value=value or name)
 
 
 # ---- per entity -------------------------------------------------------------------------------------
 
 
-def _ledger_parts(df: DataFrame):
-    signed = signed_sum(named("amount"), named("amountCreditDebitIndicator"))
+def _ledger_parts():
     aggregates = [
         money_sum(named("amount")).alias("amountSum"),
         money_sum(named("localAmount")).alias("localAmountSum"),
-        signed.alias("net"),
+        signed_sum(named("amount"), named("amountCreditDebitIndicator")).alias("net"),
     ]
     statistical = [
-        _statistic("amountSum", rounded(F.col("amountSum"))),
-        _statistic("localAmountSum", rounded(F.col("localAmountSum"))),
-        _statistic("debitCredits", rounded(F.col("net"))),
+        _statistic("amountSum", rounded("amountSum")),
+        _statistic("localAmountSum", rounded("localAmountSum")),
+        _statistic("debitCredits", rounded("net")),
     ]
-    rules = [Metric("business_rule", "netting", outcome=netting(F.col("net")))]
-    return aggregates, statistical, rules
+    return aggregates, statistical, [Metric("business_rule", "netting", outcome=netting("net"))]
 
 
-def _trial_balance_parts(df: DataFrame):
+def _trial_balance_parts():
     aggregates = [
         money_sum(named("amountBeginning")).alias("beginning"),
         money_sum(named("amountEnding")).alias("ending"),
     ]
     statistical = [
-        _statistic("amountBeginingSum", rounded(F.col("beginning"))),
-        _statistic("amountEndingSum", rounded(clamped(F.col("ending")))),
+        _statistic("amountBeginingSum", rounded("beginning")),
+        _statistic("amountEndingSum", rounded(clamped("ending"))),
     ]
-    return aggregates, statistical, [Metric("business_rule", "netting", outcome=netting(F.col("ending")))]
+    return aggregates, statistical, [Metric("business_rule", "netting", outcome=netting("ending"))]
 
 
-def _chart_of_accounts_parts(df: DataFrame):
+def _chart_of_accounts_parts():
     return [], [], []
 
 
@@ -251,8 +245,6 @@ _PRESENCE_RULES = {
     )
 }
 SECTIONS = ("statistical", "business_rule", "profile")
-
-
 _DISTINCT_COUNTS = {"glAccountCodeCount": "glAccountNumber", "businessUnitCounts": "businessUnitCode"}
 
 
@@ -270,7 +262,7 @@ def scorecard(
     if entity not in _PARTS:
         return None
     columns = [c for c in df.columns if c != ord_col]
-    aggregates, statistical, rules = _PARTS[entity](df)
+    aggregates, statistical, rules = _PARTS[entity]()
     presence = _PRESENCE_RULES.get(entity, ()) if "business_rule" in sections else ()
     checked = [f for _, fields in presence for f in fields]
     profiled = columns if "profile" in sections else []
@@ -278,17 +270,18 @@ def scorecard(
     wide = [F.count(F.lit(1)).alias("recordCount"), *aggregates]
     if "statistical" in sections:
         metrics += [
-            _statistic("recordCount", F.col("recordCount")),
-            _statistic("fieldCount", F.lit(len(columns))),
+            _statistic("recordCount"),
+            _statistic("fieldCount", str(len(columns))),
             *statistical,
-            *[_statistic(name, F.col(name)) for name in _DISTINCT_COUNTS],
+            *[_statistic(name) for name in _DISTINCT_COUNTS],
         ]
     if "business_rule" in sections:
         metrics += rules + [presence_metric(name, fields) for name, fields in presence]
     if "profile" in sections:
         metrics += profile_metrics()
     one_row = df.agg(*wide, *presence_counts(checked), *fill_counts(df, profiled))
-    derived = [cell_array(columns, {f.name: f.data_type for f in declared}, profiled, checked)]
+    kinds = {f.name: f.data_type for f in declared}
+    derived = [F.expr(cell_array(columns, kinds, profiled, checked))] if profiled or checked else []
     if "statistical" in sections:
         derived += [distinct_values(df, column).alias(name) for name, column in _DISTINCT_COUNTS.items()]
     one_row = one_row.select("*", *derived)
@@ -300,18 +293,13 @@ def scorecard(
 
 def sequence_metric(df: DataFrame, entity: str, ord_col: str) -> DataFrame:
     found = sequence_gaps(df, "journalId", ord_col)
-    cell = F.struct(
-        F.lit("journalId").alias("name"),
-        F.lit(None).cast("int").alias("percent"),
-        F.col("complete").alias("present"),
-    )
     metric = Metric(
         "business_rule",
         "missingSequentialItems",
-        percent=F.col("percent"),
-        total=F.col("n"),
-        count=F.col("gaps"),
-        fields=F.array(cell),
-        warning=F.col("warning"),
+        percent="percent",
+        total="n",
+        count="gaps",
+        fields="array(named_struct('name', 'journalId', 'percent', NULL, 'present', complete))",
+        warning="warning",
     )
     return metric_rows(found, entity, [metric])

@@ -41,18 +41,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def durable(df: DataFrame) -> DataFrame:
     """Computes ``df`` once into the shared folder, so later plans neither recompute nor lose it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES, once: bool = True) -> DataFrame:
     """Prepares the lookup side of a join.
 
-    The side is computed once and measured. Within ``limit`` bytes it carries a broadcast hint, so the
-    large side is not shuffled; beyond it the join stays unhinted and Spark shuffles both sides, with
-    adaptive skew-join splitting for hot keys.
+    The side is measured. Within ``limit`` bytes it carries a broadcast hint, so the large side is not
+    shuffled; beyond it the join stays unhinted and Spark shuffles both sides, with adaptive skew-join
+    splitting for hot keys. ``once`` stores the side first, for sides that are expensive to compute.
     """
-    kept = durable(df)
+    kept = durable(df) if once else df
     row = kept.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")).first()
     return F.broadcast(kept) if (row["size"] or 0) <= limit else kept
 

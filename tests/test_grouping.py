@@ -26,7 +26,7 @@ def groups(spark):
 
 @pytest.mark.parametrize("limit", [0, runtime.BROADCAST_BYTES], ids=["shuffled", "broadcast"])
 def test_left_join_matches_null_codes(spark, tb, groups, limit, monkeypatch):
-    monkeypatch.setattr(ops, "lookup_side", lambda df: runtime.lookup_side(df, limit))
+    monkeypatch.setattr(ops, "lookup_side", lambda df, once: runtime.lookup_side(df, limit, once))
     table = group_trial_balance(tb, groups).table
     assert "nominalCode" not in table.columns
     rows = sorted((r.glAccountNumber or "", r.account or "") for r in table.collect())

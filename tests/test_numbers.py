@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import is_number, parse_number, percent, round_binary
+from ledgerloom.functions.numbers import is_number, money_sum, parse_number, round_binary
+from ledgerloom.operators.quality import percent
 
 CELLS = [
     ("£14,907.90", 14907.9, True),
@@ -51,5 +52,12 @@ def test_round_binary_agrees_with_python(spark):
     ("count", "total", "expected"), [(1, 8, 12), (3, 8, 38), (4, 21, 19), (0, 0, 0), (1, 40, 2), (5, 5, 100)]
 )
 def test_percent_rounds_half_even(spark, count, total, expected):
-    row = spark.range(1).select(percent(F.lit(count), F.lit(total)).alias("p")).first()
+    row = spark.range(1).select(F.expr(percent(str(count), str(total))).cast("int").alias("p")).first()
     assert row.p == expected == (round(100 * count / total) if total else 0)
+
+
+def test_money_sum_is_exact(spark):
+    amounts = [0.1] * 1000 + [-0.3] * 500 + [1e15, -1e15, 2.5e-6, None, float("nan"), 123456789.654321]
+    df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(13)
+    assert str(df.agg(money_sum(F.col("a"))).first()[0]) == "123456739.65432300"
+    assert df.limit(0).agg(money_sum(F.col("a"))).first()[0] == 0
