@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,35 +26,6 @@ _NUMERIC_CODES = set("dmYyHIMSj")
 _FIXED_WIDTH = {"d": "dd", "m": "MM", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "j": "DDD"}
 _TWO_DIGIT_PIVOT = 2069
 
-# Shapes of date text and the Spark patterns tried for each. In a shape, ``%`` stands for four
-# digits, ``@`` for eight, ``9`` for one or two, ``#`` for a fraction of a second and ``a`` for a word.
-DATE_SHAPES = {
-    "%-9-9": ("yyyy-M-d",),
-    "%-9-9 9:9": ("yyyy-M-d H:m",),
-    "%-9-9 9:9:9": ("yyyy-M-d H:m:s",),
-    "%-9-9 9:9:9.#": ("yyyy-M-d H:m:s.SSSSSS",),
-    "%-9-9a9:9:9": ("yyyy-M-d'T'H:m:s",),
-    "%-9-9a9:9:9.#": ("yyyy-M-d'T'H:m:s.SSSSSS",),
-    "%-9-9a9:9:9a": ("yyyy-M-d'T'H:m:sX",),
-    "%-9-9a9:9:9.#a": ("yyyy-M-d'T'H:m:s.SSSSSSX",),
-    "%-9-9a9:9:9+9:9": ("yyyy-M-d'T'H:m:sXXX",),
-    "%-9-9a9:9:9-9:9": ("yyyy-M-d'T'H:m:sXXX",),
-    "%/9/9": ("yyyy/M/d",),
-    "@": ("yyyyMMdd",),
-    "9/9/%": ("M/d/yyyy", "d/M/yyyy"),
-    "9/9/9": ("M/d/yy", "d/M/yy"),
-    "9/9/% 9:9": ("M/d/yyyy H:m", "d/M/yyyy H:m"),
-    "9/9/% 9:9:9": ("M/d/yyyy H:m:s", "d/M/yyyy H:m:s"),
-    "9-9-%": ("M-d-yyyy", "d-M-yyyy"),
-    "9.9.%": ("M.d.yyyy", "d.M.yyyy"),
-    "9 a %": ("d [MMMM][MMM] yyyy",),
-    "9-a-%": ("d-[MMMM][MMM]-yyyy",),
-    "9-a-9": ("d-[MMMM][MMM]-yy",),
-    "a 9, %": ("[MMMM][MMM] d, yyyy",),
-    "a 9 %": ("[MMMM][MMM] d yyyy",),
-}
-
-
 def spark_pattern(mask: str) -> str:
     """Spark datetime pattern of a ``%``-style mask; raises on codes without a counterpart."""
     tokens: list[tuple[str, str]] = []
@@ -101,25 +70,55 @@ def masked_timestamp(c: Column, mask: str) -> Column:
     return F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
-def _shape(c: Column) -> Column:
-    steps = ((r"(:\d\d?)\.\d{1,6}", "$1.#"), (r"\d{8}", "@"), (r"\d{4}", "%"), (r"\d{1,2}", "9"), ("[A-Za-z]+", "a"))
-    for pattern, sign in steps:
-        c = F.regexp_replace(c, pattern, sign)
-    return c
+def _any(*choices: str) -> str:
+    return "(?:" + "|".join(choices) + ")"
 
 
-def is_date(c: Column, shapes: Mapping[str, tuple[str, ...]] = DATE_SHAPES) -> Column:
-    """True for null cells and for text in one of ``shapes``. Stays inside the JVM.
+def date_regex() -> str:
+    """Regular expression of real calendar dates in the usual exported forms, with an optional time.
 
-    The shape selects the pattern, because failed parse attempts are costly.
+    Month lengths and leap years are part of it, so telling a date from other text needs no parse attempt
+    (failed ones are costly).
     """
-    shape = _shape(c)
-    attempts = []
-    for place in range(max(len(p) for p in shapes.values())):
-        known = [(s, p[place]) for s, p in shapes.items() if len(p) > place]
-        pattern = F.create_map(*[F.lit(text) for pair in known for text in pair])[shape]
-        attempts.append(F.try_to_timestamp(c, pattern))
-    return c.isNull() | F.coalesce(*attempts).isNotNull()
+    short_days, most_days, all_days = r"(?:0?[1-9]|1\d|2[0-8])", r"(?:0?[1-9]|[12]\d|30)", r"(?:0?[1-9]|[12]\d|3[01])"
+    long_months, mid_months, february = r"(?:0?[13578]|1[02])", r"(?:0?[469]|11)", "0?2"
+    leap_end = r"(?:0[48]|[2468][048]|[13579][26])"
+    year, leap = r"(?:\d{4}|\d{2})", _any(r"\d\d" + leap_end, "(?:[02468][048]|[13579][26])00", leap_end, "00")
+    year4, leap4 = r"\d{4}", _any(r"\d\d" + leap_end, "(?:[02468][048]|[13579][26])00")
+    long_names = "(?:jan(?:uary)?|mar(?:ch)?|may|july?|aug(?:ust)?|oct(?:ober)?|dec(?:ember)?)"
+    mid_names, feb_name = "(?:apr(?:il)?|june?|sept?(?:ember)?|nov(?:ember)?)", "feb(?:ruary)?"
+    sign, gap = "[-/. ]", "(?:[-/. ]|, ?)"
+
+    def days_of(months: tuple[str, str, str], join) -> tuple[str, str]:
+        """Month and day in the order of ``join``: in any year, and in leap years only."""
+        long, mid, feb = months
+        return _any(join(long, all_days), join(mid, most_days), join(feb, short_days)), join(feb, "29")
+
+    numbers, names = (long_months, mid_months, february), (long_names, mid_names, feb_name)
+    month_day, leap_month_day = days_of(numbers, lambda m, d: m + sign + d)
+    day_month, leap_day_month = days_of(numbers, lambda m, d: d + sign + m)
+    day_name, leap_day_name = days_of(names, lambda m, d: d + sign + m)
+    name_day, leap_name_day = days_of(names, lambda m, d: m + sign + d)
+    compact = days_of(("(?:0[13578]|1[02])", "(?:0[469]|11)", "02"), lambda m, d: m + d.replace("0?", "0"))
+    forms = [
+        year4 + sign + month_day, leap4 + sign + leap_month_day,
+        month_day + sign + year, leap_month_day + sign + leap,
+        day_month + sign + year, leap_day_month + sign + leap,
+        year4 + compact[0], leap4 + compact[1],
+        day_name + gap + year, leap_day_name + gap + leap,
+        name_day + gap + year4, leap_name_day + gap + leap4,
+        year4, year4 + "[-/](?:0?[1-9]|1[0-2])", _any(*names) + gap + year4,
+    ]
+    clock = r"(?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?(?: ?[ap]m)?"
+    return f"(?i)^{_any(*forms)}(?:[T ]{clock}(?: ?(?:Z|UTC|[+-][01]\\d:?[0-5]\\d))?)?$"
+
+
+DATE_REGEX = date_regex()
+
+
+def is_date(c: Column) -> Column:
+    """True for null cells and for text that ``DATE_REGEX`` recognises."""
+    return c.isNull() | c.rlike(DATE_REGEX)
 
 
 def is_date_free_form(c: Column) -> Column:

@@ -1,9 +1,10 @@
-from datetime import datetime
+import re
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import is_date, is_date_free_form, masked_timestamp, spark_pattern
+from ledgerloom.functions.dates import DATE_REGEX, is_date, is_date_free_form, masked_timestamp, spark_pattern
 
 MASKED = [
     ("%d/%m/%Y", "05/11/2021"),
@@ -44,7 +45,8 @@ DATES = [
     ("2020-01-05", True), ("2020-1-5 10:20:30", True), ("2020-01-05T10:20:30Z", True),
     ("2020-01-05T10:20:30.123456", True), ("05/11/2021", True), ("25/11/2021", True), ("11/25/2021", True),
     ("20210105", True), ("5 Jan 2020", True), ("5-Mar-99", True), ("January 5, 2020", True),
-    ("2020-13-45", False), ("soon", False), ("", False), ("35/35/2020", False), (None, True),
+    ("2020-02-29 23:59", True), ("Feb 29, 2021", False), ("29/02/00", True), ("Sept 30 2020", True), ("2020-07", True),
+    ("2020-13-45", False), ("2020-01-05 24:00:00", False), ("2020-01-05x", False), ("31 June 2020", False), ("soon", False), ("", False), ("35/35/2020", False), (None, True),
 ]
 
 
@@ -58,3 +60,35 @@ def test_free_form_dates(spark):
     df = spark.createDataFrame([("Sat Oct 11 17:13:46 UTC 2003",), ("never ever",), ("nan",), (None,)], "c string")
     rows = df.select(is_date_free_form(F.col("c")).alias("v")).collect()
     assert [r.v for r in rows] == [True, False, True, True]
+
+
+FORMS = ["{y:04}-{m:02}-{d:02}", "{y:04}{m:02}{d:02}", "{y:04}/{m}/{d}", "{d} {n} {y:04}", "{n} {d}, {y:04}", "{d:02}-{n}-{y:04}"]
+NAMES = ["Zed", "Jan", "February", "MAR", "april", "May", "Jun", "July", "Aug", "September", "Oct", "nov", "December", "Non"]
+
+
+def _is_real(y, m, d):
+    try:
+        date(y, m, d)
+    except ValueError:
+        return False
+    return True
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_date_regex_knows_the_calendar(form):
+    pattern = re.compile(DATE_REGEX)
+    for y in (1900, 1996, 2000, 2019, 2100, 2400):
+        for m in range(14):
+            for d in range(33):
+                text = form.format(y=y, m=m, d=d, n=NAMES[m])
+                assert bool(pattern.match(text)) == _is_real(y, m, d), text
+
+
+@pytest.mark.parametrize("form", ["{m}/{d}/{y:04}", "{d:02}.{m:02}.{y:04}", "{m:02}-{d:02}-{y:04}"])
+def test_day_and_month_may_be_swapped(form):
+    pattern = re.compile(DATE_REGEX)
+    for y in (2019, 2000):
+        for m in range(14):
+            for d in range(33):
+                text = form.format(y=y, m=m, d=d)
+                assert bool(pattern.match(text)) == (_is_real(y, m, d) or _is_real(y, d, m)), text
