@@ -10,7 +10,7 @@ from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.analyse import write_steps
 from ledgerloom.plans.conform import check_file, map_report
 from ledgerloom.runtime import scratch_path
-from ledgerloom.sinks.writers import METRIC_ORDER, scorecard_document, write_table
+from ledgerloom.sinks.writers import METRIC_ORDER, preview, scorecard_document, write_table
 from ledgerloom.sources.groupings import read_groupings
 from ledgerloom.sources.reports import read_headed_csv, read_report
 from ledgerloom.spec import Condition, FileTemplate, ReportSpec, Step, reports_from_mapping
@@ -28,9 +28,9 @@ def _report_rows(spark, sf_dir):
     )
 
 
-def _written_report(spark, sf_dir):
+def _written_report(spark, sf_dir, encoding="UTF-8"):
     path = scratch_path(spark, "export")
-    write_table(_report_rows(spark, sf_dir), path)
+    _report_rows(spark, sf_dir).write.option("header", True).option("encoding", encoding).csv(path)
     return path
 
 
@@ -38,12 +38,34 @@ _REPORT_SQL = """r AS (SELECT c_custkey, c_name || ' & söhne, ' || c_mktsegment
   c_acctbal AS balance, CASE WHEN c_nationkey <> 0 THEN c_nationkey::varchar END AS unit FROM customer)"""
 
 
+_READ_SQL = f"""WITH {_REPORT_SQL} SELECT account AS "Account", CASE WHEN balance < 0
+  THEN '-£' || format('{{:,.2f}}', -balance) ELSE '£' || format('{{:,.2f}}', balance) END AS "YTD Balance",
+  unit AS "Unit" FROM r"""
+
+
+@query("read_latin1_report", _READ_SQL)
+def _(spark, sf_dir):
+    """No encoding is given: the file does not decode as UTF-8, so every line is read as ISO-8859-1."""
+    return read_report(spark, _written_report(spark, sf_dir, "ISO-8859-1"), 1).drop("_ord")
+
+
 @query(
-    "read_report",
-    f"""WITH {_REPORT_SQL} SELECT account AS "Account", CASE WHEN balance < 0
-      THEN '-£' || format('{{:,.2f}}', -balance) ELSE '£' || format('{{:,.2f}}', balance) END AS "YTD Balance",
-      unit AS "Unit" FROM r""",
+    "read_multiline_report",
+    """SELECT c_custkey::varchar AS code, CASE WHEN c_nationkey = 1
+      THEN c_name || chr(10) || 'see "' || c_mktsegment || '"' || chr(10) ELSE c_name END AS name FROM customer""",
 )
+def _(spark, sf_dir):
+    """Cells with line breaks and quote signs."""
+    path = scratch_path(spark, "multiline")
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS code",
+        r"""CASE WHEN c_nationkey = 1 THEN concat(c_name, '\n', 'see "', c_mktsegment, '"', '\n') ELSE c_name END AS name""",
+    )
+    write_table(rows, path)
+    return read_report(spark, path, 1).drop("_ord")
+
+
+@query("read_report", _READ_SQL)
 def _(spark, sf_dir):
     return read_report(spark, _written_report(spark, sf_dir), 1).drop("_ord")
 
@@ -133,7 +155,86 @@ def _(spark, sf_dir):
     return read_groupings(spark, path).select("nominalCode", "description", "account")
 
 
-@query("scorecard_document", None)
+# Events as a report whose cells partly cannot be mapped.
+_EVENT_FIELDS = {
+    "fields": [
+        {"map_type": "date-mask", "cdm_field": "effectiveDate", "data_type": "string", "date_format": "%Y-%m-%d",
+         "erp_fields": [{"file_name": "events.csv", "field_name": "day"}], "report_type": "glDetail"},
+        {"map_type": "calculated", "cdm_field": "sourceId", "data_type": "string", "operation": "SPLIT",
+         "characters": "5", "extra": "tags",
+         "erp_fields": [{"file_name": "events.csv", "field_name": "kind"}], "report_type": "glDetail"},
+        {"map_type": "dummy", "cdm_field": "tags", "data_type": "string", "erp_fields": [], "report_type": "glDetail"},
+        {"map_type": "calculated", "cdm_field": "journalIdLineNumber", "data_type": "string",
+         "operation": "Journal Line Number",
+         "erp_fields": [{"file_name": "events.csv", "field_name": "user"}], "report_type": "glDetail"},
+        {"map_type": "direct", "cdm_field": "journalId", "data_type": "string",
+         "erp_fields": [{"file_name": "events.csv", "field_name": "user"}], "report_type": "glDetail"},
+    ]
+}
+_DAY = "CASE WHEN user_id % 7 = 0 THEN 'no day' WHEN user_id % 7 = 1 THEN '' ELSE {day} END"
+
+
+def _mapped_events(spark, sf_dir):
+    path = scratch_path(spark, "events")
+    day = _DAY.format(day="date_format(ts, 'yyyy-MM-dd')")
+    rows = table(spark, sf_dir, "events").selectExpr(f"{day} AS day", "event_type AS kind", "user_id AS user")
+    write_table(rows, path)
+    report = reports_from_mapping(_EVENT_FIELDS)[0]
+    fields = report.file_fields()["events.csv"]
+    return map_report(report, {"events.csv": check_file(read_report(spark, path), "events.csv", fields, FileTemplate())})
+
+
+@query(
+    "conform_errors",
+    """SELECT 'glDetail' AS report_name, 'effectiveDate' AS cdm_field, 'events.csv' AS file_name, 'day' AS field_name,
+      event_id + 1 AS data_row, 'The value no day is not in the proper Date Format' AS error
+    FROM events WHERE user_id % 7 = 0
+    UNION ALL SELECT 'glDetail', 'sourceId', 'events.csv', 'kind', event_id + 1,
+      'Could not split the value ' || event_type || ' for 5 characters' FROM events WHERE length(event_type) < 5""",
+)
+def _(spark, sf_dir):
+    return _mapped_events(spark, sf_dir).errors
+
+
+@query(
+    "conform_ledger",
+    f"""SELECT strftime(try_strptime({_DAY.format(day="strftime(ts, '%Y-%m-%d')")}, '%Y-%m-%d'), '%Y-%m-%dT%H:%M:%SZ')
+        AS "effectiveDate",
+      event_type[1:5] AS "sourceId", CASE WHEN length(event_type) >= 5 THEN event_type[6:] END AS tags,
+      row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS "journalIdLineNumber",
+      user_id::varchar AS "journalId" FROM events""",
+)
 def _(spark, sf_dir):
-    """The scorecard of the ledger as one JSON text."""
-    return scorecard_document(scorecard(general_ledger(spark, sf_dir), "glDetail"), METRIC_ORDER)
+    return _mapped_events(spark, sf_dir).canonical()
+
+
+@query(
+    "preview_json",
+    """SELECT '{"data": [' || string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority
+      || '"}', ', ' ORDER BY o_orderkey) || ']}' AS value
+    FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 10)""",
+)
+def _(spark, sf_dir):
+    """A preview holds the first ten rows; the limit is the feature."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderkey").alias("_ord"))
+    return preview(orders, order_by="_ord")
+
+
+@query(
+    "scorecard_document",
+    f"""WITH {GL_SQL} SELECT count(*)::double AS records, count(DISTINCT glAccountNumber)::double AS codes,
+      'fail' AS netting, 40.0::double AS controls, 16::bigint AS fields FROM gl""",
+)
+def _(spark, sf_dir):
+    """Values picked out of the scorecard's JSON text."""
+    document = scorecard_document(scorecard(general_ledger(spark, sf_dir), "glDetail"), METRIC_ORDER)
+    paths = {
+        "records": ("statistical[0].recordCount", "double"),
+        "codes": ("statistical[5].glAccountCodeCount", "double"),
+        "netting": ("business_rule[0].netting", "string"),
+        "controls": ("business_rule[1].controlChecks.overall", "double"),
+        "fields": ("profile[0].fieldsFilled.total", "bigint"),
+    }
+    return document.select(
+        *[F.get_json_object("value", f"$.glDetail.{path}").cast(kind).alias(name) for name, (path, kind) in paths.items()]
+    )

@@ -14,7 +14,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Canonical, grouped or step result table; nulls become empty cells."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        # Blanks around a value belong to it.
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(**options).csv(path)
     else:
         writer.format(fmt).save(path)
 
