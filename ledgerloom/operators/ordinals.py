@@ -20,11 +20,17 @@ HOT_JOURNAL_ROWS = 1_000_000
 
 
 def order_bucket(df: DataFrame, ord_col: str) -> Column:
-    """Bucket number of a unique whole-number order key, growing with it."""
-    low = df.agg(F.min(named(ord_col)).cast("bigint")).scalar()
-    high = df.agg(F.max(named(ord_col)).cast("bigint")).scalar()
-    width = F.greatest(F.lit(MIN_BUCKET_ROWS), F.ceil((high - low + 1) / F.lit(MAX_BUCKETS)))
-    return F.floor((named(ord_col).cast("bigint") - low) / width)
+    """Bucket number of a unique whole-number order key, never decreasing along it.
+
+    The key's bounds are looked up once, so every use of the column agrees on the borders.
+    """
+    key = named(ord_col).cast("bigint")
+    bounds = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    if bounds["low"] is None:
+        return F.lit(0).cast("bigint")
+    low, span = bounds["low"], bounds["high"] - bounds["low"] + 1
+    width = max(MIN_BUCKET_ROWS, -(-span // MAX_BUCKETS))
+    return F.floor((key - F.lit(low)) / F.lit(width))
 
 
 def dense_ordinal(

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.aggregates import count_values, net_amounts, sum_values
 from ledgerloom.operators.filters import filter_all, filter_any
+from ledgerloom.runtime import durable
 from ledgerloom.sinks.writers import write_preview, write_table
 from ledgerloom.spec import Step
 
@@ -52,22 +51,14 @@ def write_steps(
 ) -> dict[str, DataFrame]:
     """Runs the steps and writes each as ``tmp_<type>_<order>.csv`` and ``.json`` (first ten rows).
 
-    Results read by two or more steps are kept on the executors (memory, then disk) while writing.
+    Every result is computed once into the shared folder; both files and later steps read it from there.
     """
-    readers = Counter(step.source for step in steps if step.source)
     results: dict[str, DataFrame] = {}
-    shared: list[DataFrame] = []
     for step in steps:
         source = results[step.source] if step.source else base
-        result = run_step(source, step)
-        if readers[step.order] >= 2:
-            result = result.persist(StorageLevel.MEMORY_AND_DISK)
-            shared.append(result)
-        results[step.order] = result
+        result = results[step.order] = durable(run_step(source, step))
         name = f"{folder.rstrip('/')}/tmp_{step.kind}_{step.order}"
-        write_table(result.drop("condition_no"), f"{name}.csv")
-        known = order_by if order_by in result.columns else None
-        write_preview(result.drop("condition_no"), f"{name}.json", order_by=known)
-    for result in shared:
-        result.unpersist()
+        shown = result.drop("condition_no")
+        write_table(shown, f"{name}.csv")
+        write_preview(shown, f"{name}.json", order_by=order_by if order_by in shown.columns else None)
     return results
