@@ -109,8 +109,9 @@ def date_regex() -> str:
         name_day + gap + year4, leap_name_day + gap + leap4,
         year4, year4 + "[-/](?:0?[1-9]|1[0-2])", _any(*names) + gap + year4,
     ]
+    weekday = "(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs)?|fri|sat(?:ur)?|sun)(?:day)?,? )?"
     clock = r"(?:[01]?\d|2[0-3]):[0-5]?\d(?::[0-5]?\d(?:\.\d+)?)?(?: ?[ap]m)?"
-    return f"(?i)^{_any(*forms)}(?:[T ]{clock}(?: ?(?:Z|UTC|[+-][01]\\d:?[0-5]\\d))?)?$"
+    return f"(?i)^{weekday}{_any(*forms)}(?:[T ]{clock}(?: ?(?:Z|UTC|[+-][01]\\d:?[0-5]\\d))?)?$"
 
 
 DATE_REGEX = date_regex()

@@ -56,19 +56,23 @@ def group_by_code_and_name(
     grouping_code: str = "nominalCode",
     grouping_name: str = "description",
 ) -> DataFrame:
-    """Left join on account code and cleaned account name; repeated result rows are dropped."""
+    """Left join on account code and cleaned account name; repeated result rows are dropped.
 
-    def text(c: Column) -> Column:
-        return F.coalesce(c.cast("string"), F.lit("nan"))
+    Missing names are the texts ``nan`` on the left and ``None`` on the right, so they match each other no
+    more than other names do.
+    """
+
+    def text(c: Column, missing: str) -> Column:
+        return F.coalesce(c.cast("string"), F.lit(missing))
 
     keyed = grouping.select(
         named(grouping_code).cast("string").alias("_code"),
-        F.regexp_replace(text(named(grouping_name)), r"^\s+|\s+$", "").alias("_name"),
+        F.regexp_replace(text(named(grouping_name), "None"), r"^\s+|\s+$", "").alias("_name"),
         *[named(c) for c in grouping.columns if c not in (grouping_code, grouping_name)],
     )
     side = lookup_side(keyed.distinct(), once=False)
     matches = tb[f"`{code}`"].cast("string").eqNullSafe(side["_code"]) & trimmed_account_name(
-        text(tb[f"`{name}`"])
+        text(tb[f"`{name}`"], "nan")
     ).eqNullSafe(side["_name"])
     return tb.join(side, matches, "left").drop("_code", "_name").dropDuplicates()
 

@@ -66,7 +66,11 @@ class ConformedReport:
 
 
 def check_file(
-    raw: DataFrame, name: str, fields: Sequence[TypedField], template: FileTemplate
+    raw: DataFrame,
+    name: str,
+    fields: Sequence[TypedField],
+    template: FileTemplate,
+    free_form_dates: bool = False,
 ) -> CheckedFile:
     """Exclusion rules, column pruning and type checks on a report read by ``read_report``."""
     df = raw
@@ -75,7 +79,7 @@ def check_file(
     if template.drop_trailing_total:
         df = clean.drop_trailing_total(df, ORD)
     df = clean.prune(df, [f.name for f in fields], keep=[ORD])
-    return CheckedFile(name, tuple(fields), validate.validate(df, fields, keep=[ORD]))
+    return CheckedFile(name, tuple(fields), validate.validate(df, fields, [ORD], free_form_dates))
 
 
 def _mapped_columns(
@@ -169,12 +173,14 @@ def _row_errors(frame: DataFrame, marks, report: str, file: str) -> DataFrame:
     )
 
 
-def _read_and_check(spark: SparkSession, report: ReportSpec, folder: str) -> dict[str, CheckedFile]:
+def _read_and_check(
+    spark: SparkSession, report: ReportSpec, folder: str, free_form_dates: bool
+) -> dict[str, CheckedFile]:
     checked = {}
     for name, fields in report.file_fields().items():
         template = report.templates.get(name, FileTemplate())
         raw = read_report(spark, f"{folder}/{name}", template.start_row, multiline=template.multiline)
-        checked[name] = check_file(raw, name, fields, template)
+        checked[name] = check_file(raw, name, fields, template, free_form_dates)
     return checked
 
 
@@ -206,6 +212,7 @@ def conform(
     mode: str = "strict",
     grouping: DataFrame | None = None,
     uploaded: Sequence[str] | None = None,
+    free_form_dates: bool = False,
 ) -> ConformResult:
     """Runs the whole job and writes tables, scorecard and errors below ``out``.
 
@@ -218,7 +225,7 @@ def conform(
     conformed: list[tuple[ReportSpec, ConformedReport]] = []
     errors: list[DataFrame] = []
     for report in reports:
-        files = _read_and_check(spark, report, folder)
+        files = _read_and_check(spark, report, folder, free_form_dates)
         bad = [f for f in files.values() if f.has_bad_rows()]
         errors += [f.errors(report.name) for f in bad]
         if bad and mode == "strict":

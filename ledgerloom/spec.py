@@ -185,7 +185,7 @@ class Condition:
         return cls(
             raw.get("filter_column") or "",
             raw.get("filter_condition") or "",
-            str(raw.get("input") or ""),
+            "" if raw.get("input") is None else str(raw["input"]),
             bool(raw.get("is_unique")),
         )
 

@@ -45,7 +45,7 @@ DATES = [
     ("2020-01-05", True), ("2020-1-5 10:20:30", True), ("2020-01-05T10:20:30Z", True),
     ("2020-01-05T10:20:30.123456", True), ("05/11/2021", True), ("25/11/2021", True), ("11/25/2021", True),
     ("20210105", True), ("5 Jan 2020", True), ("5-Mar-99", True), ("January 5, 2020", True),
-    ("2020-02-29 23:59", True), ("Feb 29, 2021", False), ("29/02/00", True), ("Sept 30 2020", True), ("2020-07", True),
+    ("2020-02-29 23:59", True), ("Feb 29, 2021", False), ("29/02/00", True), ("Sept 30 2020", True), ("2020-07", True), ("Mon, 5 Jan 2020", True),
     ("2020-13-45", False), ("2020-01-05 24:00:00", False), ("2020-01-05x", False), ("31 June 2020", False), ("soon", False), ("", False), ("35/35/2020", False), (None, True),
 ]
 

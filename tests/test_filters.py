@@ -42,6 +42,12 @@ def test_comparisons_on_text(codes, comparison, value, expected):
     assert _kept(codes, (comparison, value)) == expected
 
 
+def test_long_numbers_are_compared_exactly(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("9007199254740992.9",), ("99999999999999999999",)], "n string")
+    rows = filter_all(df, [Condition("n", "eq", "9007199254740993")]).collect()
+    assert [r.n for r in rows] == ["9007199254740993"]
+
+
 def test_unknown_comparison(codes):
     with pytest.raises(ValueError, match="between"):
         _kept(codes, ("between", "1"))

@@ -46,6 +46,13 @@ def test_composite_key_drops_repeats(tb, groups):
     assert rows == [("", "Equity"), ("7", ""), ("800", "Current Liabilities"), ("90", "Fixed Asset and Income")]
 
 
+def test_missing_names_do_not_match(spark):
+    tb = spark.createDataFrame([("1", None), ("2", "x")], "glAccountNumber string, glAccountName string")
+    groups = spark.createDataFrame([("1", None, "Assets"), ("2", " x", "Equity")], "nominalCode string, description string, account string")
+    joined = ops.group_by_code_and_name(tb, groups)
+    assert {r.glAccountNumber: r.account for r in joined.collect()} == {"1": None, "2": "Equity"}
+
+
 def test_codes_can_be_normalized(spark, groups):
     tb = spark.createDataFrame([("090",), (" 800",), ("0",)], "glAccountNumber string")
     joined = ops.group_by_code(tb, groups, normalize=True)
