@@ -177,7 +177,9 @@ _DAY = "CASE WHEN user_id % 7 = 0 THEN 'no day' WHEN user_id % 7 = 1 THEN '' ELS
 def _mapped_events(spark, sf_dir):
     path = scratch_path(spark, "events")
     day = _DAY.format(day="date_format(ts, 'yyyy-MM-dd')")
-    rows = table(spark, sf_dir, "events").selectExpr(f"{day} AS day", "event_type AS kind", "user_id AS user")
+    # Line numbers of the report follow the order of the events.
+    events = table(spark, sf_dir, "events").orderBy("event_id")
+    rows = events.selectExpr(f"{day} AS day", "event_type AS kind", "user_id AS user")
     write_table(rows, path)
     report = reports_from_mapping(_EVENT_FIELDS)[0]
     fields = report.file_fields()["events.csv"]

@@ -55,15 +55,35 @@ class CheckedFile:
 
 @dataclass(frozen=True)
 class ConformedReport:
-    """Canonical table in mapping order plus ``_ord``, and the error rows of the mapping."""
+    """Canonical table in mapping order plus ``_ord``, and what went wrong while mapping it.
+
+    ``marked`` holds per file its order key and the array of error marks of each row.
+    """
 
     name: str
     table: DataFrame
-    errors: DataFrame
+    marked: tuple[tuple[str, DataFrame], ...]
+    problems: tuple[JobError, ...]
 
     def canonical(self) -> DataFrame:
         return self.table.drop(ORD)
 
+    def has_errors(self) -> bool:
+        """Stops at the first row with an error and needs no row numbers."""
+        return bool(self.problems) or any(
+            not rows.filter(F.size(_ERRORS) > 0).isEmpty() for _, rows in self.marked
+        )
+
+    @property
+    def errors(self) -> DataFrame:
+        of_mapping = literal_rows(
+            self.table.sparkSession,
+            [(self.name, p.target, None, None, None, p.error) for p in self.problems],
+            validate.ERROR_SCHEMA,
+        )
+        of_rows = [_row_errors(rows, self.name, file) for file, rows in self.marked]
+        return reduce(lambda a, b: a.unionByName(b), of_rows, of_mapping)
+
 
 def check_file(
     raw: DataFrame,
@@ -108,6 +128,8 @@ def _mapped_columns(
 
 def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> ConformedReport:
     """Maps the valid rows of each file. Files are put side by side by row position."""
+    if not files:
+        raise ValueError(f"report {report.name!r} maps no field of any file")
     mapped, problems, numbered = _mapped_columns(report, files)
     targets = [row.target for row in report.rows]
     by_file: dict[str, list[Mapped]] = {name: [] for name in files}
@@ -119,7 +141,7 @@ def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> Conforme
         else:
             constants[target] = column
 
-    frames, errors = [], []
+    frames, marked = [], []
     for name, columns in by_file.items():
         frame = files[name].valid()
         for row in numbered.get(name, []):
@@ -140,25 +162,16 @@ def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> Conforme
         ]
         frames.append((frame.select(ORD, *[c.value.alias(c.target) for c in columns]), ORD))
         if marks:
-            errors.append(_row_errors(frame, marks, report.name, name))
+            marked.append((name, frame.select(ORD, F.array_compact(F.array(*marks)).alias(_ERRORS))))
 
-    spark = next(iter(files.values())).rows.sparkSession
     table = frames[0][0] if len(frames) == 1 else align_by_position(frames, ORD)
     filled = table.select(
         ORD, *[constants[t].value.alias(t) if t in constants else named(t) for t in targets]
     )
-    errors.append(
-        literal_rows(
-            spark,
-            [(report.name, p.target, None, None, None, p.error) for p in problems],
-            validate.ERROR_SCHEMA,
-        )
-    )
-    return ConformedReport(report.name, filled, reduce(lambda a, b: a.unionByName(b), errors))
+    return ConformedReport(report.name, filled, tuple(marked), tuple(problems))
 
 
-def _row_errors(frame: DataFrame, marks, report: str, file: str) -> DataFrame:
-    marked = frame.select(ORD, F.array_compact(F.array(*marks)).alias(_ERRORS))
+def _row_errors(marked: DataFrame, report: str, file: str) -> DataFrame:
     return (
         dense_ordinal(marked, ORD, "data_row", start=1, wanted=F.size(_ERRORS) > 0)
         .select("data_row", F.inline(_ERRORS))
@@ -232,7 +245,7 @@ def conform(
             continue
         result = map_report(report, files)
         conformed.append((report, result))
-        if not result.errors.isEmpty():
+        if result.has_errors():
             errors.append(result.errors)
     if errors:
         write_table(validate.sorted_errors(*errors), f"{out}/errors.csv")

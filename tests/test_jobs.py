@@ -130,7 +130,7 @@ def test_ledger_with_line_numbers_and_extra_field(spark, tmp_path):
     report = reports_from_mapping({"fields": fields})[0]
     checked = check_file(read_report(spark, str(tmp_path / "gl.csv")), "gl.csv", report.file_fields()["gl.csv"], FileTemplate())
     result = map_report(report, {"gl.csv": checked})
-    assert result.errors.isEmpty()
+    assert not result.has_errors() and result.errors.isEmpty()
     assert [tuple(r)[1:] for r in result.table.orderBy("_ord").collect()] == [
         ("1", 1, "AB0", "cd", "C", 0.0, "2021-02-01T00:00:00Z"),
         ("1", 2, "AB1", "cd", "D", 10.0, "2021-02-02T00:00:00Z"),
