@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import groups, mix, runs, shingle_sets, stretches
+from ledgerloom.llm.workers import arrow_map
 from ledgerloom.runtime import durable, lookup_side
 
 MINIMA, ROWS, BITS = 128, 4, 4
@@ -186,7 +187,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cannot name a component; alone, it gets a null component and is kept. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = durable(rows.mapInArrow(_signed, SIGNED))
+    signed = durable(arrow_map(rows, _signed, SIGNED))
     classes = (
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
@@ -233,13 +234,13 @@ def _centre_links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
         F.col("centre").alias("id"), "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own")
     )
     needed = lookup_side(members.unionByName(owners))
-    return (
+    grouped = (
         rows.join(needed, rows["doc_id"] == needed["id"])
         .select("id", "centre", "salt", "own", "text")
         .repartition("centre", "salt")
         .sortWithinPartitions("centre", "salt", F.desc("own"))
-        .mapInArrow(_check_centres, "a bigint, b bigint")
     )
+    return arrow_map(grouped, _check_centres, "a bigint, b bigint")
 
 
 def _apart_links(rows: DataFrame, bands: DataFrame, shared: DataFrame, signatures: DataFrame, found: DataFrame) -> DataFrame:
@@ -260,14 +261,10 @@ def _apart_links(rows: DataFrame, bands: DataFrame, shared: DataFrame, signature
     )
     schema = "key bigint, id bigint, label bigint, signature array<bigint>, block int, i int, j int"
     keys = ["key", "i", "j"]
-    met = durable(paired.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_involved, schema))
+    met = durable(arrow_map(paired.repartition(*keys).sortWithinPartitions(*keys), _involved, schema))
     wanted = lookup_side(met.select("id").distinct().withColumnRenamed("id", "wanted"), once=False)
     texts = rows.join(wanted, rows["doc_id"] == wanted["wanted"], "left_semi")
     texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    return (
-        met.join(texts, met["id"] == texts["doc_id"])
-        .drop("doc_id")
-        .repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInArrow(_check_blocks, "a bigint, b bigint")
-    )
+    whole = met.join(texts, met["id"] == texts["doc_id"]).drop("doc_id")
+    whole = whole.repartition(*keys).sortWithinPartitions(*keys)
+    return arrow_map(whole, _check_blocks, "a bigint, b bigint")

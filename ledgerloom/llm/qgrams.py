@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.workers import arrow_map
 from ledgerloom.runtime import lookup_side
 
 Q = 10
@@ -264,7 +265,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text_
         index = build_index([tuple(r) for r in items.where(block == b).orderBy("item_id", "text").collect()])
         if index is None:
             continue
-        part = rows.mapInArrow(_scan(spark.sparkContext.broadcast(index)), f"_key {kind}, {FOUND}")
+        part = arrow_map(rows, _scan(spark.sparkContext.broadcast(index)), f"_key {kind}, {FOUND}")
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = rows.where(F.lit(False)).select("_key", *[F.lit(0).cast(k.split()[1]).alias(k.split()[0]) for k in FOUND.split(", ")])

@@ -20,6 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.workers import arrow_map
 from ledgerloom.runtime import durable, lookup_side
 
 # Frame magics of the Zstandard format, and profile and version of the WARC format (fixed values).
@@ -309,13 +310,13 @@ def write_archives(pages: DataFrame, least_bytes: int = 0, date: str = "2026-01-
         F.when(revisit, "revisit").otherwise("response").alias("kind"),
         F.when(revisit, F.col("first")).alias("refers_to"),
     )
-    return durable(records.mapInArrow(_write(date), WRITTEN))
+    return durable(arrow_map(records, _write(date), WRITTEN))
 
 
 def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records of archives given as ``archive, content``. A record that fails a check is a row with only ``error``;
     after a broken frame the rest of that archive cannot be read and the error row is its last."""
-    return archives.select("archive", "content").mapInArrow(_read(with_payload), READ)
+    return arrow_map(archives.select("archive", "content"), _read(with_payload), READ)
 
 
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
