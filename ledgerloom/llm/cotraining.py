@@ -41,73 +41,88 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(part / F.nullif(whole.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def features(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str, tuple[str, ...]]]:
-    """``docs`` with binned feature columns, and their names by view. Text is read once, within the row."""
+def features(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str, range]]:
+    """``docs`` with an array ``_bins`` of binned features, and the places of each view in it.
+
+    The array comes out of a generator, so conditions on scores are tested after it and do not repeat its work.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     without = lambda chars: F.length(text) - F.length(F.translate(text, chars, ""))
     df = docs.withColumns({"_words": words(text), "_chars": F.length(text), "_lines": F.size(F.split(text, "\n"))})
     n = F.size("_words")
     repeats = F.size(F.filter("_words", lambda w, i: w == F.get("_words", i - 1)))
-    length_class = _bin(n, (30, 300, 3000))
-    varied = _bin(_share(F.size(F.array_distinct("_words")), n), (0.15, 0.3, 0.45, 0.6, 0.8))
-    text_view = {
-        "_t_symbols": _bin(_share(without(SYMBOLS), F.col("_chars")), (0.0005, 0.005, 0.02, 0.05, 0.1)),
-        "_t_upper": _bin(_share(without(UPPER), F.col("_chars")), (0.01, 0.05, 0.1, 0.2, 0.4)),
-        "_t_marks": _bin(_share(without("!?"), n), (0.001, 0.02, 0.1, 0.3, 0.7)),
-        "_t_digits": _bin(_share(without("0123456789"), F.col("_chars")), (0.001, 0.02, 0.1, 0.3)),
-        "_t_repeats": _bin(_share(repeats, n), (0.002, 0.02, 0.1, 0.3, 0.6)),
-        "_t_varied": length_class * 6 + varied,
-        "_t_word": _bin(_share(F.col("_chars"), n), (3, 4, 5, 6, 7, 9, 12, 20)),
-    }
-    page_view = {
-        "_p_source": F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(SOURCE_BINS)).cast("int"),
-        "_p_lang": F.pmod(F.xxhash64(F.coalesce("lang", F.lit(""))), F.lit(SOURCE_BINS)).cast("int"),
-        "_p_chars": _bin(F.coalesce("n_chars", F.lit(0)), (50, 100, 250, 500, 1000, 2000, 4000, 8000, 16000)),
-        "_p_lines": _bin(F.col("_lines"), (2, 4, 8, 16, 32, 64, 128)),
-        "_p_line": _bin(_share(F.col("_chars"), F.col("_lines")), (20, 50, 100, 200, 400, 800)),
-    }
-    df = df.withColumns(text_view | page_view).drop("_words", "_chars", "_lines")
-    return df, {"text": tuple(text_view), "page": tuple(page_view)}
+    # Measures are columns, so each is computed once however many edges its bins have.
+    df = df.withColumns(
+        {
+            "_n": n,
+            "_symbols": _share(without(SYMBOLS), F.col("_chars")),
+            "_upper": _share(without(UPPER), F.col("_chars")),
+            "_marks": _share(without("!?"), n),
+            "_digits": _share(without("0123456789"), F.col("_chars")),
+            "_repeats": _share(repeats, n),
+            "_varied": _share(F.size(F.array_distinct("_words")), n),
+            "_word": _share(F.col("_chars"), n),
+            "_line": _share(F.col("_chars"), F.col("_lines")),
+        }
+    )
+    text_view = [
+        _bin(F.col("_symbols"), (0.0005, 0.005, 0.02, 0.05, 0.1)),
+        _bin(F.col("_upper"), (0.01, 0.05, 0.1, 0.2, 0.4)),
+        _bin(F.col("_marks"), (0.001, 0.02, 0.1, 0.3, 0.7)),
+        _bin(F.col("_digits"), (0.001, 0.02, 0.1, 0.3)),
+        _bin(F.col("_repeats"), (0.002, 0.02, 0.1, 0.3, 0.6)),
+        _bin(F.col("_n"), (30, 300, 3000)) * 6 + _bin(F.col("_varied"), (0.15, 0.3, 0.45, 0.6, 0.8)),
+        _bin(F.col("_word"), (3, 4, 5, 6, 7, 9, 12, 20)),
+    ]
+    page_view = [
+        F.pmod(F.xxhash64(F.coalesce("source", F.lit(""))), F.lit(SOURCE_BINS)).cast("int"),
+        F.pmod(F.xxhash64(F.coalesce("lang", F.lit(""))), F.lit(SOURCE_BINS)).cast("int"),
+        _bin(F.coalesce("n_chars", F.lit(0)), (50, 100, 250, 500, 1000, 2000, 4000, 8000, 16000)),
+        _bin(F.col("_lines"), (2, 4, 8, 16, 32, 64, 128)),
+        _bin(F.col("_line"), (20, 50, 100, 200, 400, 800)),
+    ]
+    bins = F.array(*text_view, *page_view)
+    rows = df.select(*docs.columns, F.explode(F.array(bins)).alias("_bins"))
+    return rows, {"text": range(len(text_view)), "page": range(len(text_view), len(text_view) + len(page_view))}
 
 
 @dataclass(frozen=True)
 class View:
-    """Log-likelihood ratios by feature and bin, the prior, and the calibration ``slope * score + shift``."""
+    """Log-likelihood ratios by place and bin, the prior, and the calibration ``slope * score + shift``."""
 
-    ratios: Mapping[str, Mapping[int, float]]
+    ratios: Mapping[int, Mapping[int, float]]
     prior: float
     slope: float = 1.0
     shift: float = 0.0
 
     def score(self) -> Column:
         total = F.lit(self.prior)
-        for name, table in sorted(self.ratios.items()):
-            entries = [x for b, r in sorted(table.items()) for x in (F.lit(b), F.lit(float(r)))]
-            total += F.coalesce(F.try_element_at(F.create_map(*entries), F.col(name)), F.lit(0.0)) if entries else F.lit(0.0)
+        for place, table in sorted(self.ratios.items()):
+            by_bin = F.array(*[F.lit(float(table.get(b, 0.0))) for b in range(max(table, default=0) + 1)])
+            total += F.coalesce(F.get(by_bin, F.get("_bins", F.lit(place))), F.lit(0.0))
         return total
 
     def log_odds(self) -> Column:
         return self.slope * self.score() + self.shift
 
 
-def _fit(rows: DataFrame, names: Sequence[str], label: Column) -> View:
+def _fit(rows: DataFrame, places: Sequence[int], label: Column) -> View:
     """Counts every bin of every feature by label, over all rows that have one."""
-    cells = F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("bin")) for n in names])
     counted = (
-        rows.select(label.alias("label"), F.explode(cells).alias("c"))
-        .where(F.col("label").isNotNull())
-        .groupBy("c.name", "c.bin")
+        rows.select(label.alias("label"), F.posexplode("_bins").alias("place", "bin"))
+        .where(F.col("label").isNotNull() & F.col("place").between(places[0], places[-1]))
+        .groupBy("place", "bin")
         .agg(F.sum("label").alias("good"), F.sum(1 - F.col("label")).alias("bad"))
         .collect()
     )
-    ratios: dict[str, dict[int, float]] = {n: {} for n in names}
+    ratios: dict[int, dict[int, float]] = {p: {} for p in places}
     prior = 0.0
-    for name in names:
-        own = [r for r in counted if r["name"] == name]
+    for place in places:
+        own = [r for r in counted if r["place"] == place]
         good, bad = sum(r["good"] for r in own), sum(r["bad"] for r in own)
         prior = math.log((good + 1) / (bad + 1))
         for r in own:
-            ratios[name][r["bin"]] = math.log((r["good"] + 1) / (good + len(own))) - math.log((r["bad"] + 1) / (bad + len(own)))
+            ratios[place][r["bin"]] = math.log((r["good"] + 1) / (good + len(own))) - math.log((r["bad"] + 1) / (bad + len(own)))
     return View(ratios, prior)
 
 
@@ -155,7 +170,7 @@ class Model:
         return self.text.log_odds() + self.page.log_odds() - self.prior
 
 
-def co_train(rows: DataFrame, views: Mapping[str, Sequence[str]], rounds: int = ROUNDS, confident: float = CONFIDENT) -> Model:
+def co_train(rows: DataFrame, views: Mapping[str, Sequence[int]], rounds: int = ROUNDS, confident: float = CONFIDENT) -> Model:
     """Fits both views on ``rows``, whose ``_label`` is 0, 1 or null. Without both labels everything is good."""
     good, bad = rows.agg(
         F.coalesce(F.sum("_label"), F.lit(0)), F.coalesce(F.sum(1 - F.col("_label")), F.lit(0))
@@ -164,7 +179,7 @@ def co_train(rows: DataFrame, views: Mapping[str, Sequence[str]], rounds: int =
         flat = View({}, 5.0 if not bad else -5.0)
         return Model(flat, flat, flat.prior)
     limit = math.log(confident / (1 - confident))
-    fitted = {v: _calibrated(rows, _fit(rows, names, F.col("_label"))) for v, names in views.items()}
+    fitted = {v: _calibrated(rows, _fit(rows, places, F.col("_label"))) for v, places in views.items()}
     for _ in range(rounds):
         taught = {}
         for view, teacher in (("text", "page"), ("page", "text")):
@@ -192,7 +207,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", keep_fr
         .agg(F.min("quality").cast("int").alias("_label"))
     )
     rows, views = features(docs.select(*rest))
-    slim = rows.select(F.col(id_col).alias("_doc"), *views["text"], *views["page"])
+    slim = rows.select(F.col(id_col).alias("_doc"), "_bins")
     slim = durable(slim.join(lookup_side(known), F.col("_doc") == F.col("_id"), "left").drop("_doc", "_id"))
     model = co_train(slim, views)
     return rows.select(
@@ -205,3 +220,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", keep_fr
 
 def _probability(odds: Column) -> Column:
     return 1 / (1 + F.exp(-odds))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, with their own columns, whatever their names."""
+    rows = docs.select("doc_id", "text", "lang", "source", "n_chars", F.struct(*docs.columns).alias("row"))
+    return classify(rows, labels).where("kept").select("row.*")

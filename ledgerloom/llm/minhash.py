@@ -37,7 +37,7 @@ _SLICE = 4096
 _FACTORS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _NIBBLE = 0x1111111111111111
 
-SIGNED = "doc_id bigint, n_shingles bigint, digest string, keys array<bigint>, signature array<bigint>"
+SIGNED = "doc_id bigint, text_hash bigint, n_shingles bigint, digest string, keys array<bigint>, signature array<bigint>"
 
 
 def _equal_needed() -> int:
@@ -73,10 +73,10 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests),
+                    part.column("doc_id"), part.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests),
                     lists(keys, BANDS), lists(packed, LONGS),
                 ],
-                names=["doc_id", "n_shingles", "digest", "keys", "signature"],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "keys", "signature"],
             )
 
 
@@ -180,14 +180,14 @@ def _check_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs``; other columns are left out.
+    """``doc_id, n_shingles, component_id, kept, text_hash`` of every row of ``docs``; other columns are left out.
 
     Texts without words have no shingles and are linked with nothing; texts of fewer than five words have one. Rows
     with equal sets are linked. Rows of one ``doc_id`` are one document. A row with null id is judged by its text, but
     cannot name a component; alone, it gets a null component and is kept. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = durable(arrow_map(rows, _signed, SIGNED))
+    signed = durable(arrow_map(rows.withColumn("text_hash", F.xxhash64("text")), _signed, SIGNED))
     classes = (
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
@@ -214,16 +214,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     digests = classes.select("digest", F.col("id").alias("own")).join(named, F.col("own") == F.col("id"), "left")
     digests = digests.groupBy("digest").agg(F.min(F.coalesce("component", "own")).alias("component"))
     # A document with several texts belongs to the least of their components.
-    joined = signed.select("doc_id", "n_shingles", "digest").join(digests, "digest", "left")
+    joined = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(digests, "digest", "left")
     component = F.coalesce("component", "doc_id")
     return joined.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.col("component").isNull()).alias("kept"),
+        "text_hash",
     )
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with only the document of least id of each component. Rows that repeat an id and its text are one
+    document and stay together; null ids go when another document has their text."""
+    gone = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    gone = lookup_side(gone.distinct())
+    own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    return docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (own == F.col("_hash")), "left_anti")
+
+
 def _centre_links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs of member and centre that are similar on full sets. Members of a large centre spread over salts."""
     salts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / CENTRE_ROWS).cast("int").alias("salts"))

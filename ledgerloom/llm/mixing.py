@@ -194,3 +194,9 @@ def mix(
         .withColumn("selected", uniform(F.lit(seed), F.col(id_col)) <= F.col("probability"))
     )
     return mixed.select(*rest, *own), Fit(tuple(lang), tuple(by_topic), rate, rounds, residual)
+
+
+def sample_mix(docs: DataFrame, targets: Targets = TARGETS) -> DataFrame:
+    """The sampled rows of ``docs`` with their own columns, whatever their names."""
+    rows = docs.select("doc_id", "text", "lang", "source", F.struct(*docs.columns).alias("row"))
+    return mix(rows, targets)[0].where("selected").select("row.*")
