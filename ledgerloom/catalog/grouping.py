@@ -9,6 +9,7 @@ from ledgerloom.catalog.tables import GROUPING_SQL, grouping, table
 from ledgerloom.operators.coverage import kept_reports, missing_files, untracked_files
 from ledgerloom.operators.grouping import group_by_code_and_name
 from ledgerloom.plans.group import group_trial_balance
+from ledgerloom.runtime import literal_rows
 
 # Some names differ from the grouping's, so the composite key leaves rows unmatched.
 _TB_SPARK = [
@@ -89,7 +90,7 @@ def _(spark, sf_dir):
     return _grouped(spark, sf_dir).accounts
 
 
-# Files named after the documents' sources stand for uploads; every nation expects one file.
+# Files named after regions stand for uploads; every nation expects one file.
 _UPLOADED = "concat(lower(r_name), '.csv')"
 _EXPECTED = "concat(CASE WHEN n_nationkey < 20 THEN lower(r_name) ELSE lower(n_name) END, '.csv')"
 _FILES_SQL = f"""up AS (SELECT {_UPLOADED} AS file_name FROM region WHERE r_name <> 'ASIA'
@@ -101,7 +102,7 @@ _FILES_SQL = f"""up AS (SELECT {_UPLOADED} AS file_name FROM region WHERE r_name
 def _files(spark, sf_dir):
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     uploaded = region.filter("r_name <> 'ASIA'").select(F.expr(_UPLOADED).alias("file_name"))
-    extra = region.limit(1).select(F.lit("notes.csv").alias("file_name"))
+    extra = literal_rows(spark, [("notes.csv",)], uploaded.schema)
     expected = nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
         "r_name AS report_name", f"{_EXPECTED} AS file_name"
     )

@@ -16,11 +16,12 @@ from ledgerloom.catalog.tables import (
     table,
     trial_balance,
 )
+from ledgerloom.functions.numbers import money_sum
 from ledgerloom.operators.ordinals import dense_ordinal, journal_line_numbers, sequence_gaps
 from ledgerloom.operators.quality import scorecard
 from ledgerloom.spec import TypedField
 
-_MONEY = "CAST({} AS DECIMAL(28,8))"
+_MONEY = "CAST({} AS DECIMAL(38,10))"
 
 
 def _union(source: str, rows: list[tuple[str, ...]], columns: tuple[str, ...]) -> str:
@@ -294,6 +295,77 @@ def _(spark, sf_dir):
     return found.withColumn("percent", F.col("percent").cast("bigint"))
 
 
+# Ids of 22 digits that jump by two once in a thousand.
+_LONG_IDS = "concat('9007199254740993', lpad(cast(event_id + {} AS {}), 6, '0'))"
+
+
+@query(
+    "sequence_gaps_long_ids",
+    f"""WITH e AS (SELECT event_id, CAST({_LONG_IDS.format("event_id // 1000", "varchar")} AS HUGEINT) AS j FROM events),
+    d AS (SELECT j - lag(j) OVER (ORDER BY event_id) AS step FROM e)
+    SELECT count(*) AS n, count(CASE WHEN step <> 1 THEN 1 END) AS gaps,
+      floor(100.0 * (count(*) - count(CASE WHEN step <> 1 THEN 1 END)) / count(*))::bigint AS percent,
+      count(CASE WHEN step <> 1 THEN 1 END) = 0 AS complete, NULL::varchar AS warning FROM d""",
+)
+def _(spark, sf_dir):
+    ids = _LONG_IDS.format("event_id div 1000", "string")
+    found = sequence_gaps(table(spark, sf_dir, "events").selectExpr("event_id", f"{ids} AS id"), "id", "event_id")
+    return found.withColumn("percent", F.col("percent").cast("bigint"))
+
+
+_SMALL = "gl AS (SELECT l_extendedprice * 1e-7 AS amount, l_returnflag FROM lineitem)"
+
+
+@query(
+    "gl_small_amounts",
+    f"WITH {_SMALL} SELECT l_returnflag, round({_money_sum('amount')}, 8)::double AS total FROM gl GROUP BY l_returnflag",
+)
+def _(spark, sf_dir):
+    small = table(spark, sf_dir, "lineitem").selectExpr("l_extendedprice * 1e-7 AS amount", "l_returnflag")
+    return small.groupBy("l_returnflag").agg(money_sum(F.col("amount")).cast("double").alias("total"))
+
+
+@query(
+    "gl_netting_pass",
+    f"""WITH gl AS (SELECT l_extendedprice AS amount, unnest(['C', 'D']) AS side FROM lineitem),
+    s AS (SELECT {_money_sum("CASE WHEN side = 'C' THEN -amount ELSE amount END")} AS net FROM gl)
+    SELECT 'netting' AS metric, CASE WHEN abs(net) <= 0.001 THEN 'pass' ELSE 'fail' END AS outcome FROM s""",
+)
+def _(spark, sf_dir):
+    """Every entry is booked on both sides."""
+    both = general_ledger(spark, sf_dir).withColumn(
+        "amountCreditDebitIndicator", F.explode(F.array(F.lit("C"), F.lit("D")))
+    )
+    rules = scorecard(both, "glDetail", sections=["business_rule"])
+    return rules.filter("metric = 'netting'").select("metric", "outcome")
+
+
+@query(
+    "tb_zero_clamp",
+    f"""WITH tb AS (SELECT unnest([c_acctbal, -c_acctbal + 2e-10]) AS amountEnding FROM customer),
+    s AS (SELECT {_money_sum("amountEnding")} AS total FROM tb)
+    SELECT 'amountEndingSum' AS metric, (CASE WHEN abs(total) < 0.000001 THEN 0 ELSE round(total, 5) END)::double AS value FROM s""",
+)
+def _(spark, sf_dir):
+    """Balances that cancel but for a rest near zero."""
+    sides = F.array(F.col("amountEnding"), -F.col("amountEnding") + F.lit(2e-10))
+    rows = _statistics(trial_balance(spark, sf_dir).withColumn("amountEnding", F.explode(sides)), "trialBalance")
+    return rows.filter("metric = 'amountEndingSum'").select("metric", "value")
+
+
+@query(
+    "dense_ordinal_sparse",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY spread) - 1 AS place FROM (SELECT o_orderkey,
+      CASE WHEN o_orderkey % 1000 = 0 THEN o_orderkey * 1000000000 ELSE o_orderkey END AS spread FROM orders)""",
+)
+def _(spark, sf_dir):
+    """Most keys lie close together, a few far out."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 1000 = 0 THEN o_orderkey * 1000000000 ELSE o_orderkey END AS spread"
+    )
+    return dense_ordinal(orders, "spread", "place").select("o_orderkey", "place")
+
+
 _LINES = ", ".join(LINE_ORDER)
 
 
@@ -304,8 +376,7 @@ _LINES = ", ".join(LINE_ORDER)
 )
 def _(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    days = F.datediff("l_shipdate", F.lit("1970-01-01"))
-    numbered = journal_line_numbers(lines, "l_orderkey", LINE_ORDER, "lineNumber", position=days)
+    numbered = journal_line_numbers(lines, "l_orderkey", LINE_ORDER, "lineNumber")
     return numbered.drop("l_shipdate")
 
 

@@ -1,7 +1,5 @@
 """Numbers written the way ledgers are exported: currency signs, commas, parentheses for negatives."""
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,18 +24,13 @@ def is_number(c: Column) -> Column:
 
 
 def money_sum(c: Column) -> Column:
-    """Sum of amounts as ``decimal(38,8)``, exact to six places of each amount.
+    """Sum of amounts as ``decimal(38,8)``.
 
-    Whole units and millionths are added up as whole numbers, so the sum depends neither on row order nor
-    on retries, and costs a fraction of converting every amount to a decimal. Null and NaN cells are
-    skipped, an empty column sums to zero, an overflow raises.
+    Every amount counts as it is written, to ten places, so the sum depends neither on row order nor on retries. Null,
+    NaN and infinite cells, and cells of 1e28 and more, are skipped; an empty column sums to zero.
     """
-    amount = F.nanvl(c.cast("double"), F.lit(None).cast("double"))
-    whole = amount.cast("bigint")
-    millionths = F.rint((amount - whole) * 1e6).cast("bigint")
-    units = F.sum(whole.cast("decimal(20,0)"))
-    rest = F.sum(millionths).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
-    return F.coalesce((units + rest).cast("decimal(38,8)"), F.lit(0).cast("decimal(38,8)"))
+    total = F.sum(F.nanvl(c.cast("double"), F.lit(None).cast("double")).try_cast("decimal(38,10)"))
+    return F.coalesce(total.cast("decimal(38,8)"), F.lit(0).cast("decimal(38,8)"))
 
 
 def round_binary(c: Column, places: int = 4) -> Column:

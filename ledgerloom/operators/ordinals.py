@@ -16,27 +16,46 @@ from ledgerloom.runtime import durable, lookup_side
 
 MAX_BUCKETS = 65_536
 MIN_BUCKET_ROWS = 10_000
+SEGMENTS = 64
 HOT_JOURNAL_ROWS = 1_000_000
 
 
 def order_bucket(df: DataFrame, ord_col: str) -> Column:
-    """Bucket number of a unique whole-number order key, never decreasing along it.
+    """Bucket number of a whole-number order key, never decreasing along it; null keys come first.
 
-    The key's bounds are looked up once, so every use of the column agrees on the borders.
+    Borders follow the key's distribution: approximate quantiles cut the rows into ``SEGMENTS`` parts, and each part is
+    cut evenly. An outlier can therefore empty the cuts of its own part only. The borders are looked up once, so every
+    use of the column agrees on them.
     """
     key = named(ord_col).cast("bigint")
-    bounds = df.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    if bounds["low"] is None:
+    shares = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    found = df.agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.percentile_approx(key, shares, 10 * SEGMENTS).alias("cuts")
+    ).first()
+    if found["low"] is None:
         return F.lit(0).cast("bigint")
-    low, span = bounds["low"], bounds["high"] - bounds["low"] + 1
-    width = max(MIN_BUCKET_ROWS, -(-span // MAX_BUCKETS))
-    return F.floor((key - F.lit(low)) / F.lit(width))
+    starts = sorted({found["low"], *(c for c in found["cuts"] if c <= found["high"])})
+    ends = [*starts[1:], found["high"] + 1]
+    widths = [max(MIN_BUCKET_ROWS, -(-(e - s) // max(1, MAX_BUCKETS // SEGMENTS))) for s, e in zip(starts, ends)]
+    first, firsts = 1, []
+    for s, e, w in zip(starts, ends, widths):
+        firsts.append(first)
+        first += -(-(e - s) // w)
+
+    def pick(low: int, high: int) -> Column:
+        """Balanced tree of comparisons."""
+        if high - low == 1:
+            return F.lit(firsts[low]).cast("bigint") + F.floor((key - F.lit(starts[low])) / F.lit(widths[low]))
+        middle = (low + high) // 2
+        return F.when(key < F.lit(starts[middle]), pick(low, middle)).otherwise(pick(middle, high))
+
+    return F.when(key.isNull(), F.lit(0).cast("bigint")).otherwise(pick(0, len(starts)))
 
 
 def dense_ordinal(
     df: DataFrame, ord_col: str, out: str, start: int = 0, wanted: Column | None = None
 ) -> DataFrame:
-    """Adds consecutive numbers in the order of ``ord_col``.
+    """Adds consecutive numbers in the order of ``ord_col``; rows without order key are numbered first.
 
     With ``wanted``, all rows count but only rows for which it is true are returned: buckets without such
     rows are then left out before the shuffle.
@@ -63,51 +82,41 @@ def dense_ordinal(
 
 
 def journal_line_numbers(
-    df: DataFrame,
-    journal: str,
-    order_by: list[str],
-    out: str = "journalIdLineNumber",
-    position: Column | None = None,
+    df: DataFrame, journal: str, order_by: list[str], out: str = "journalIdLineNumber"
 ) -> DataFrame:
     """Adds the running count of each row within its journal.
 
-    Journals of more than ``HOT_JOURNAL_ROWS`` rows are cut into pieces along their order and numbered piece
-    by piece, so one journal holding most rows still runs in many tasks; the counts of its earlier pieces
-    are added. ``position`` is a number that never decreases along ``order_by``, by default its first column.
-    Null and empty journal ids form one group.
+    Journals of more than ``HOT_JOURNAL_ROWS`` rows are dealt to ranges of the whole order, stored, and numbered range
+    by range; the counts of a journal's earlier ranges are added. One journal holding most rows, even with one value in
+    the first order column, thereby runs in many tasks. Null and empty journal ids form one group.
     """
-    key = named(order_by[0]) if position is None else position
-    keyed = df.withColumn("_journal", F.coalesce(named(journal).cast("string"), F.lit("")))
-    keyed = keyed.withColumn("_at", key.cast("bigint"))
     order = [named(c) for c in order_by]
+    keyed = df.withColumn("_journal", F.coalesce(named(journal).cast("string"), F.lit("")))
     hot = durable(
-        keyed.groupBy("_journal")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_low"), F.max("_at").alias("_high"))
-        .filter(F.col("_n") > HOT_JOURNAL_ROWS)
+        keyed.groupBy("_journal").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_JOURNAL_ROWS)
     )
-    if hot.isEmpty():
-        line = F.row_number().over(W.partitionBy("_journal").orderBy(*order))
-        return keyed.withColumn(out, line.cast("bigint")).drop("_journal", "_at")
-
-    # One row per hot journal, and below one row per piece: about one per HOT_JOURNAL_ROWS rows.
-    pieces = F.ceil(F.col("_n") / HOT_JOURNAL_ROWS)
-    share = (F.col("_at") - F.col("_low")).cast("double") / (F.col("_high") - F.col("_low") + 1)
-    piece = F.coalesce(F.floor(share * pieces), F.lit(0))
-    cut = keyed.join(lookup_side(hot), "_journal", "left").withColumn("_piece", piece)
-    before = W.partitionBy("_journal").orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
+    line = F.row_number().over(W.partitionBy("_journal").orderBy(*order)).cast("bigint")
+    rows = hot.agg(F.sum("_n").alias("n")).first()["n"]
+    if not rows:
+        return keyed.withColumn(out, line).drop("_journal")
+    listed = lookup_side(hot.select("_journal"), once=False)
+    calm = keyed.join(listed, "_journal", "left_anti").withColumn(out, line)
+    # Which range a row is in is stored with it, so counts and numbers agree.
+    dealt = keyed.join(listed, "_journal", "left_semi").repartitionByRange(
+        -(-rows // HOT_JOURNAL_ROWS) + 1, "_journal", *order
+    )
+    dealt = durable(dealt.withColumn("_range", F.spark_partition_id()))
+    # One row per range and hot journal.
+    before = W.partitionBy("_journal").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = lookup_side(
-        cut.filter(F.col("_n").isNotNull())
-        .groupBy("_journal", "_piece")
+        dealt.groupBy("_journal", "_range")
         .agg(F.count(F.lit(1)).alias("_count"))
         .withColumn("_offset", F.coalesce(F.sum("_count").over(before), F.lit(0)))
         .drop("_count")
     )
-    line = F.row_number().over(W.partitionBy("_journal", "_piece").orderBy(*order))
-    return (
-        cut.join(offsets, ["_journal", "_piece"], "left")
-        .withColumn(out, (line + F.coalesce(F.col("_offset"), F.lit(0))).cast("bigint"))
-        .drop("_journal", "_at", "_n", "_low", "_high", "_piece", "_offset")
-    )
+    inside = F.row_number().over(W.partitionBy("_journal", "_range").orderBy(*order))
+    counted = dealt.join(offsets, ["_journal", "_range"]).withColumn(out, (inside + F.col("_offset")).cast("bigint"))
+    return calm.drop("_journal").unionByName(counted.drop("_journal", "_range", "_offset"))
 
 
 # Warnings of the sequence check.
@@ -118,18 +127,27 @@ WARN_NOT_NUMERIC = "JournalId does not appear to be a numeric sequence"
 def sequence_gaps(df: DataFrame, id_col: str, ord_col: str) -> DataFrame:
     """Checks that ``id_col`` grows by one from row to row: one row ``n, gaps, percent, complete, warning``.
 
-    Any null or non-numeric id gives a warning and zero percent.
+    Any null or non-numeric id gives a warning and zero percent. Whole numbers of up to 38 digits are compared exactly,
+    other numbers as doubles.
     """
+    text = F.trim(named(id_col).cast("string"))
+    real = text.try_cast("double")
+    whole = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("decimal(38,0)"))
     rows = df.select(
         order_bucket(df, ord_col).alias("bucket"),
         named(ord_col).alias("ord"),
-        named(id_col).try_cast("double").alias("id"),
+        F.when(real.isNotNull(), F.struct(whole.alias("whole"), real.alias("real"))).alias("id"),
     )
+
+    def follows(now: Column, before: Column) -> Column:
+        exact = F.try_subtract(now["whole"], before["whole"]) == 1
+        return F.coalesce(exact, now["real"] - before["real"] == 1.0, F.lit(False))
+
     inside = W.partitionBy("bucket").orderBy("ord")
     linked = rows.withColumn("prev", F.lag("id").over(inside)).withColumn(
         "head", F.row_number().over(inside) == 1
     )
-    is_gap = ~F.col("head") & ~(F.col("id") - F.col("prev")).eqNullSafe(F.lit(1.0))
+    is_gap = ~F.col("head") & ~follows(F.col("id"), F.col("prev"))
     buckets = linked.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("id").alias("numeric"),
@@ -139,8 +157,7 @@ def sequence_gaps(df: DataFrame, id_col: str, ord_col: str) -> DataFrame:
     )
     # One row per bucket, at most MAX_BUCKETS of them.
     across = W.orderBy("bucket")
-    step = F.col("first_id") - F.lag("last_id").over(across)
-    head_gap = (F.row_number().over(across) > 1) & ~step.eqNullSafe(F.lit(1.0))
+    head_gap = (F.row_number().over(across) > 1) & ~follows(F.col("first_id"), F.lag("last_id").over(across))
     totals = buckets.withColumn("gaps", F.col("gaps") + head_gap.cast("bigint")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
         F.coalesce(F.sum("numeric"), F.lit(0)).alias("numeric"),

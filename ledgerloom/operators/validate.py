@@ -73,8 +73,8 @@ def bad_rows(df: DataFrame, fields: Sequence[TypedField], keep: Sequence[str] =
 
     Exploding the mark computes each check once; a filter on it would be pushed down and repeat them.
     """
-    mark = F.filter(F.array(bad_fields(fields)), lambda m: m != "")
-    return df.select(*[named(c) for c in keep], F.explode(mark).alias("field_name"))
+    mark = bad_fields(fields)
+    return df.select(*[named(c) for c in keep], F.explode(F.when(mark != "", F.array(mark))).alias("field_name"))
 
 
 def all_valid(fields: Sequence[TypedField]) -> Column:

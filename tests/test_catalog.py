@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerloom.catalog import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -45,8 +46,8 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert _sorted(ours) == _sorted(theirs)
 
 
-def test_every_query_has_sql():
-    assert QUERIES.keys() == SQL.keys()
+def test_every_ledger_query_has_sql():
+    assert REGISTRY.keys() <= SQL.keys()
 
 
 def test_entry(spark):

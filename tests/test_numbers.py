@@ -61,3 +61,9 @@ def test_money_sum_is_exact(spark):
     df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(13)
     assert str(df.agg(money_sum(F.col("a"))).first()[0]) == "123456739.65432300"
     assert df.limit(0).agg(money_sum(F.col("a"))).first()[0] == 0
+
+
+def test_money_sum_keeps_small_amounts_and_skips_odd_cells(spark):
+    rows = [(4e-7,)] * 1000 + [(None,), (float("nan"),), (float("inf"),), (1e300,)]
+    df = spark.createDataFrame(rows, "a double")
+    assert float(df.agg(money_sum(F.col("a")).alias("s")).first()["s"]) == 0.0004
