@@ -120,24 +120,3 @@ DATE_REGEX = date_regex()
 def is_date(c: Column) -> Column:
     """True for null cells and for text that ``DATE_REGEX`` recognises."""
     return c.isNull() | c.rlike(DATE_REGEX)
-
-
-def is_date_free_form(c: Column) -> Column:
-    """As ``is_date``, but accepting every form the dateutil parser accepts (Arrow batches)."""
-
-    def accepted(text: str | None) -> bool:
-        from dateutil import parser
-
-        if text is None or text == "nan":
-            return True
-        try:
-            parser.parse(text)
-        except (ValueError, OverflowError):
-            return False
-        return True
-
-    @F.pandas_udf(T.BooleanType())
-    def check(cells: pd.Series) -> pd.Series:
-        return pd.Series([accepted(cell) for cell in cells], dtype=bool)
-
-    return check(c)

@@ -244,6 +244,12 @@ _PRESENCE_RULES = {
         ("manualJournals", MANUAL_JOURNAL_FIELDS),
     )
 }
+# Columns that the plain aggregates read.
+_SUMMED = {
+    "glDetail": ("amount", "localAmount", "amountCreditDebitIndicator"),
+    "trialBalance": ("amountBeginning", "amountEnding"),
+    "ChartOfAccounts": (),
+}
 SECTIONS = ("statistical", "business_rule", "profile")
 _DISTINCT_COUNTS = {"glAccountCodeCount": "glAccountNumber", "businessUnitCounts": "businessUnitCode"}
 
@@ -262,6 +268,10 @@ def scorecard(
     if entity not in _PARTS:
         return None
     columns = [c for c in df.columns if c != ord_col]
+    # A field that the table lacks counts as never filled.
+    needed = {*_SUMMED[entity], *_DISTINCT_COUNTS.values(), *[f for _, fs in _PRESENCE_RULES.get(entity, ()) for f in fs]}
+    needed |= {"journalId"} if entity == "glDetail" else set()
+    df = df.withColumns({c: F.lit(None).cast("string") for c in sorted(needed - set(columns))})
     aggregates, statistical, rules = _PARTS[entity]()
     presence = _PRESENCE_RULES.get(entity, ()) if "business_rule" in sections else ()
     checked = [f for _, fields in presence for f in fields]

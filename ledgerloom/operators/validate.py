@@ -19,6 +19,8 @@ from ledgerloom.spec import DATE_TYPES, NUMERIC_TYPES, TypedField
 FLAG = "_type_valid"
 # Fixed value: text of a type error.
 INVALID_TYPE = "Invalid Data Type"
+# Declared type of the column that must be empty: cells beyond the header.
+SURPLUS_TYPE = "surplus"
 
 ERROR_SCHEMA = T.StructType(
     [
@@ -32,15 +34,16 @@ ERROR_SCHEMA = T.StructType(
 )
 
 
-def checked(c: Column, data_type: str, free_form_dates: bool = False) -> tuple[Column, Column]:
+def checked(c: Column, data_type: str) -> tuple[Column, Column]:
     """``(value, valid)`` of a text column under a declared type."""
     if data_type in NUMERIC_TYPES:
         return numbers.parse_number(c), numbers.is_number(c)
     if data_type == "string":
         return F.when(c.isNull() | (c == "nan"), F.lit("")).otherwise(c), F.lit(True)
     if data_type in DATE_TYPES:
-        valid = dates.is_date_free_form(c) if free_form_dates else dates.is_date(c)
-        return F.coalesce(c, F.lit("")), valid
+        return F.coalesce(c, F.lit("")), dates.is_date(c)
+    if data_type == SURPLUS_TYPE:
+        return c, c.isNull()
     if data_type == "boolean":
         lowered = F.lower(c)
         known = F.coalesce(lowered.isin("true", "false"), F.lit(False))
@@ -52,12 +55,11 @@ def validate(
     df: DataFrame,
     fields: Sequence[TypedField],
     keep: Sequence[str] = (),
-    free_form_dates: bool = False,
 ) -> DataFrame:
     """Typed value and ``<field>_type_valid`` flag per field; invalid rows stay in."""
     columns = [named(c) for c in keep]
     for f in fields:
-        value, valid = checked(named(f.name), f.data_type, free_form_dates)
+        value, valid = checked(named(f.name), f.data_type)
         columns += [value.alias(f.name), valid.alias(f.name + FLAG)]
     return df.select(*columns)
 
@@ -100,6 +102,18 @@ def type_errors(
     """
     marked = df.select(named(ord_col), bad_fields(fields).alias("field_name"))
     numbered = dense_ordinal(marked, ord_col, "data_row", start=1, wanted=F.col("field_name") != "")
+    return _as_errors(numbered, report_name, file_name)
+
+
+def numbered_errors(
+    df: DataFrame, fields: Sequence[TypedField], report_name: str, file_name: str, row_col: str
+) -> DataFrame:
+    """One error row per bad row of rows that already have their number."""
+    bad = df.filter(~all_valid(fields)).select(named(row_col).alias("data_row"), bad_fields(fields).alias("field_name"))
+    return _as_errors(bad, report_name, file_name)
+
+
+def _as_errors(numbered: DataFrame, report_name: str, file_name: str) -> DataFrame:
     return numbered.select(
         F.lit(report_name).alias("report_name"),
         F.lit(None).cast("string").alias("cdm_field"),

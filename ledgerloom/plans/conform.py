@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,6 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import named
 from ledgerloom.operators import clean, validate
-from ledgerloom.operators.align import align_by_position
 from ledgerloom.operators.coverage import kept_reports
 from ledgerloom.operators.mapping import (
     JOURNAL_LINE_NUMBER,
@@ -24,17 +24,21 @@ from ledgerloom.operators.mapping import (
 from ledgerloom.operators.ordinals import dense_ordinal, journal_line_numbers
 from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.group import group_trial_balance, write_grouped
-from ledgerloom.runtime import literal_rows
+from ledgerloom.runtime import durable, literal_rows
 from ledgerloom.sinks.writers import write_scorecard, write_table
-from ledgerloom.sources.reports import ORD, read_report
+from ledgerloom.sources.reports import ORD, SURPLUS, read_report
 from ledgerloom.spec import FileTemplate, MappingRow, ReportSpec, TypedField
 
-_ERRORS = "_errors"
+_ERRORS, _OK, ROW = "_errors", "_ok", "_row"
+NOT_UPLOADED = "The input file was not uploaded"
 
 
 @dataclass(frozen=True)
 class CheckedFile:
-    """A validated report file: values and flags of its mapped fields."""
+    """A validated report file: values and flags of its mapped fields, each cleaned row with its number ``_row``.
+
+    The rows are stored once; the gate, the errors and the tables all read them.
+    """
 
     name: str
     fields: tuple[TypedField, ...]
@@ -44,10 +48,7 @@ class CheckedFile:
         return not self.rows.filter(~validate.all_valid(self.fields)).isEmpty()
 
     def errors(self, report: str) -> DataFrame:
-        return validate.type_errors(self.rows, self.fields, report, self.name, ORD)
-
-    def valid(self) -> DataFrame:
-        return validate.valid_rows(self.rows, self.fields, keep=[ORD])
+        return validate.numbered_errors(self.rows, self.fields, report, self.name, ROW)
 
     def kinds(self) -> dict[str, str]:
         return {f.name: f.data_type for f in self.fields}
@@ -57,7 +58,7 @@ class CheckedFile:
 class ConformedReport:
     """Canonical table in mapping order plus ``_ord``, and what went wrong while mapping it.
 
-    ``marked`` holds per file its order key and the array of error marks of each row.
+    ``marked`` holds per file its row number and the array of error marks of each row.
     """
 
     name: str
@@ -69,7 +70,7 @@ class ConformedReport:
         return self.table.drop(ORD)
 
     def has_errors(self) -> bool:
-        """Stops at the first row with an error and needs no row numbers."""
+        """Stops at the first row with an error."""
         return bool(self.problems) or any(
             not rows.filter(F.size(_ERRORS) > 0).isEmpty() for _, rows in self.marked
         )
@@ -85,34 +86,34 @@ class ConformedReport:
         return reduce(lambda a, b: a.unionByName(b), of_rows, of_mapping)
 
 
-def check_file(
-    raw: DataFrame,
-    name: str,
-    fields: Sequence[TypedField],
-    template: FileTemplate,
-    free_form_dates: bool = False,
-) -> CheckedFile:
-    """Exclusion rules, column pruning and type checks on a report read by ``read_report``."""
+def check_file(raw: DataFrame, name: str, fields: Sequence[TypedField], template: FileTemplate) -> CheckedFile:
+    """Exclusion rules, column pruning, row numbers and type checks on a report read by ``read_report``.
+
+    If the report was read with ``surplus``, a row with more cells than the header is a bad row.
+    """
     df = raw
     if template.exclusion:
         df = clean.exclude_rows(df, template.exclusion, keep=[ORD])
     if template.drop_trailing_total:
         df = clean.drop_trailing_total(df, ORD)
+    fields = list(fields)
+    if SURPLUS in raw.columns and SURPLUS not in [f.name for f in fields]:
+        fields.append(TypedField(SURPLUS, validate.SURPLUS_TYPE))
     df = clean.prune(df, [f.name for f in fields], keep=[ORD])
-    return CheckedFile(name, tuple(fields), validate.validate(df, fields, [ORD], free_form_dates))
+    rows = dense_ordinal(validate.validate(df, fields, [ORD]), ORD, ROW, start=1)
+    return CheckedFile(name, tuple(fields), durable(rows))
 
 
 def _mapped_columns(
     report: ReportSpec, files: Mapping[str, CheckedFile]
-) -> tuple[dict[str, Mapped], list[JobError], dict[str, list[MappingRow]]]:
+) -> tuple[dict[str, Mapped], list[JobError], dict[str, Mapped]]:
+    """Mapped columns by target, mapping problems, and the journal ids behind each line-number target."""
     found: dict[str, Mapped] = {}
     problems: list[JobError] = []
-    numbered: dict[str, list[MappingRow]] = {}
+    journals: dict[str, Mapped] = {}
     for row in report.rows:
         if row.operation == JOURNAL_LINE_NUMBER:
-            file = row.files()[0]
-            numbered.setdefault(file, []).append(row)
-            found[row.target] = Mapped(row.target, named(f"_line {row.target}"), None, file)
+            journals[row.target] = Mapped(f"_journal {row.target}", named(row.sources[0].field_name), None, row.files()[0])
             continue
         single = row.files()[0] if len(row.files()) == 1 else None
         compiled = compile_row(row, files[single].kinds() if single else {})
@@ -123,31 +124,33 @@ def _mapped_columns(
             # A field another operator fills as its extra output is not overwritten by a placeholder.
             if not (row.map_type == "dummy" and mapped.target in found):
                 found[mapped.target] = mapped
-    return found, problems, numbered
+    return found, problems, journals
 
 
 def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> ConformedReport:
-    """Maps the valid rows of each file. Files are put side by side by row position."""
+    """Maps the valid rows of each file.
+
+    Files are put side by side by the number of their cleaned rows, bad ones included, so a bad row shifts nothing; a
+    row that is bad in any file is then left out. Journal lines are numbered on what remains.
+    """
     if not files:
         raise ValueError(f"report {report.name!r} maps no field of any file")
-    mapped, problems, numbered = _mapped_columns(report, files)
+    mapped, problems, journals = _mapped_columns(report, files)
     targets = [row.target for row in report.rows]
     by_file: dict[str, list[Mapped]] = {name: [] for name in files}
     constants: dict[str, Mapped] = {}
     for target in targets:
-        column = mapped[target]
+        column = journals.get(target) or mapped[target]
         if column.file_name in by_file:
             by_file[column.file_name].append(column)
         else:
             constants[target] = column
 
     frames, marked = [], []
-    for name, columns in by_file.items():
-        frame = files[name].valid()
-        for row in numbered.get(name, []):
-            frame = journal_line_numbers(
-                frame, row.sources[0].field_name, [ORD], out=f"_line {row.target}"
-            )
+    for number, (name, columns) in enumerate(by_file.items()):
+        rows = files[name].rows.withColumn(_OK, validate.all_valid(files[name].fields))
+        values = [F.when(F.col(_OK), c.value).alias(c.target) for c in columns]
+        frames.append(rows.select(ROW, F.col(_OK).alias(f"{_OK}{number}"), *values))
         marks = [
             F.when(
                 c.error.isNotNull(),
@@ -160,11 +163,16 @@ def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> Conforme
             for c in columns
             if c.error is not None
         ]
-        frames.append((frame.select(ORD, *[c.value.alias(c.target) for c in columns]), ORD))
         if marks:
-            marked.append((name, frame.select(ORD, F.array_compact(F.array(*marks)).alias(_ERRORS))))
-
-    table = frames[0][0] if len(frames) == 1 else align_by_position(frames, ORD)
+            valid = rows.filter(_OK)
+            marked.append((name, valid.select(ROW, F.array_compact(F.array(*marks)).alias(_ERRORS))))
+
+    table = reduce(lambda left, right: left.join(right, ROW, "full_outer"), frames)
+    fine = reduce(and_, [F.coalesce(f"{_OK}{n}", F.lit(True)) for n in range(len(frames))])
+    table = table.filter(fine).withColumnRenamed(ROW, ORD)
+    for target, journal in journals.items():
+        if journal.file_name in by_file:
+            table = journal_line_numbers(table, journal.target, [ORD], out=target)
     filled = table.select(
         ORD, *[constants[t].value.alias(t) if t in constants else named(t) for t in targets]
     )
@@ -172,28 +180,24 @@ def map_report(report: ReportSpec, files: Mapping[str, CheckedFile]) -> Conforme
 
 
 def _row_errors(marked: DataFrame, report: str, file: str) -> DataFrame:
-    return (
-        dense_ordinal(marked, ORD, "data_row", start=1, wanted=F.size(_ERRORS) > 0)
-        .select("data_row", F.inline(_ERRORS))
-        .select(
-            F.lit(report).alias("report_name"),
-            "cdm_field",
-            F.lit(file).alias("file_name"),
-            "field_name",
-            "data_row",
-            "error",
-        )
+    return marked.select(F.col(ROW).cast("bigint").alias("data_row"), F.inline(_ERRORS)).select(
+        F.lit(report).alias("report_name"),
+        "cdm_field",
+        F.lit(file).alias("file_name"),
+        "field_name",
+        "data_row",
+        "error",
     )
 
 
 def _read_and_check(
-    spark: SparkSession, report: ReportSpec, folder: str, free_form_dates: bool
+    spark: SparkSession, report: ReportSpec, folder: str
 ) -> dict[str, CheckedFile]:
     checked = {}
     for name, fields in report.file_fields().items():
         template = report.templates.get(name, FileTemplate())
-        raw = read_report(spark, f"{folder}/{name}", template.start_row, multiline=template.multiline)
-        checked[name] = check_file(raw, name, fields, template, free_form_dates)
+        raw = read_report(spark, f"{folder}/{name}", template.start_row, template.multiline, surplus=True)
+        checked[name] = check_file(raw, name, fields, template)
     return checked
 
 
@@ -225,12 +229,12 @@ def conform(
     mode: str = "strict",
     grouping: DataFrame | None = None,
     uploaded: Sequence[str] | None = None,
-    free_form_dates: bool = False,
 ) -> ConformResult:
     """Runs the whole job and writes tables, scorecard and errors below ``out``.
 
     ``strict``: any error row suppresses every table, and a report with badly typed rows is not mapped.
-    ``quarantine``: valid rows are written, errors are written beside them.
+    ``quarantine``: valid rows are written, errors are written beside them. A kept report with a file that was not
+    uploaded is not mapped; the file is an error row.
     """
     folder, out = folder.rstrip("/"), out.rstrip("/")
     if uploaded is not None:
@@ -238,7 +242,12 @@ def conform(
     conformed: list[tuple[ReportSpec, ConformedReport]] = []
     errors: list[DataFrame] = []
     for report in reports:
-        files = _read_and_check(spark, report, folder, free_form_dates)
+        absent = [f for f in report.file_fields() if uploaded is not None and f not in uploaded]
+        if absent:
+            rows = [(report.name, None, f, None, None, NOT_UPLOADED) for f in absent]
+            errors.append(literal_rows(spark, rows, validate.ERROR_SCHEMA))
+            continue
+        files = _read_and_check(spark, report, folder)
         bad = [f for f in files.values() if f.has_bad_rows()]
         errors += [f.errors(report.name) for f in bad]
         if bad and mode == "strict":

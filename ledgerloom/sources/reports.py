@@ -9,30 +9,54 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.clean import drop_all_null, null_tokens_to_null, repaired_header
-from ledgerloom.operators.ordinals import journal_line_numbers
-from ledgerloom.runtime import lookup_side, scratch_path
+from ledgerloom.operators.ordinals import journal_line_numbers, order_bucket
+from ledgerloom.runtime import durable, lookup_side, scratch_path
 
 ORD = "_ord"
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
+# Cells beyond the header that are looked at, and the column that holds them joined.
+SURPLUS_CELLS = 8
+SURPLUS = "extra cells"
+
+
 def read_headed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line, every column text. Also reads step results written earlier."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """CSV with a header line, every column text. Also reads step results written earlier, with quotes and line breaks."""
+    return _cells(*_body(spark, path, 1, True)).drop(ORD)
+
+
+def _inside_after(value: Column, inside: bool) -> Column:
+    """Whether a quoted cell is open at the end of a line, given whether one is at its start.
 
+    A quote sign opens a cell only as its first character; within an open cell two signs are one, and a single one
+    closes it. The line is cut at its quote signs and the pieces are folded over three states: 0 outside, 1 inside,
+    2 just after a sign met inside.
+    """
+    pieces = F.split(value, '"')
+    numbered = F.transform(pieces, lambda p, i: F.struct(p.alias("p"), i.alias("i")))
+
+    def step(state: Column, piece: Column) -> Column:
+        first, last = piece["i"] == 0, piece["i"] == F.size(pieces) - 1
+        empty = piece["p"] == ""
+        # After a sign met inside, an empty piece before another sign is an escaped sign; anything else closes.
+        escaped = (state == 2) & empty & ~last
+        now = F.when((state == 2) & ~escaped, 0).otherwise(state)
+        opens = (now == 0) & (piece["p"].endswith(",") | (first & empty))
+        after = F.when(escaped, 1).when(opens, 1).when(now == 1, 2).otherwise(now)
+        return F.when(last, now).otherwise(after)
 
-def _has_odd_quotes(c: Column) -> Column:
-    return (F.length(F.regexp_replace(c, '[^"]', "")) % 2) == 1
+    return F.aggregate(numbered, F.lit(int(inside)), step) == 1
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines of the file(s) at ``path`` as ``(_file, _block, _line, _ord, _odd, value)``.
+    """Physical lines of the file(s) at ``path`` as ``(_file, _block, _line, _ord, _quoted, value)``.
 
     ``_line`` counts from 1 within its file, ``_ord`` over all files of the path in name order.
 
     The raw lines are staged once as Parquet in the shared folder: from then on, line numbers derive from
     positions in stored files and hold under retries, lost executors and changing split sizes. Text is
-    UTF-8 where the whole file decodes as such, else ISO-8859-1. ``_odd`` marks an odd number of quote signs.
+    UTF-8 where the whole file decodes as such, else ISO-8859-1. ``_quoted`` marks lines with a quote sign.
     """
     staged = scratch_path(spark, "lines")
     position = F.monotonically_increasing_id()
@@ -52,7 +76,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
             "_block",
             "_place",
             "_utf8",
-            _has_odd_quotes(F.coalesce("value", "_fallback")).alias("_odd"),
+            F.coalesce("value", "_fallback").contains('"').alias("_quoted"),
             "value",
             # The second reading is only stored for lines where the two differ.
             F.when(~F.col("_utf8") | (F.col("_fallback") != F.col("value")), F.col("_fallback")).alias(
@@ -62,8 +86,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         .write.parquet(staged)
     )
     lines = spark.read.parquet(staged)
-    # One row per input split.
-    blocks = lines.groupBy("_file", "_block").agg(
+    # One row per input split; splits are told apart by a hash, so paths do not travel with them.
+    lines = lines.withColumn("_split", F.xxhash64("_file", "_block"))
+    blocks = lines.groupBy("_split").agg(
+        F.min("_file").alias("_file"),
+        F.min("_block").alias("_block"),
         F.min("_place").alias("_first"),
         F.count(F.lit(1)).alias("_n"),
         F.bool_and("_utf8").alias("_block_utf8"),
@@ -73,20 +100,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     before_all = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = lookup_side(
         blocks.select(
-            "_file",
-            "_block",
+            "_split",
             "_first",
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
             F.coalesce(F.sum("_n").over(before_all), F.lit(0)).alias("_total_offset"),
             F.bool_and("_block_utf8").over(W.partitionBy("_file")).alias("_file_utf8"),
         )
     )
-    return lines.join(offsets, ["_file", "_block"]).select(
+    return lines.join(offsets, "_split").select(
         "_file",
         "_block",
         (F.col("_offset") + F.col("_place") - F.col("_first") + 1).alias("_line"),
         (F.col("_total_offset") + F.col("_place") - F.col("_first") + 1).alias(ORD),
-        "_odd",
+        "_quoted",
         F.when(F.col("_file_utf8"), F.col("value"))
         .otherwise(F.coalesce("_fallback", "value"))
         .alias("value"),
@@ -96,16 +122,55 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def join_quoted_lines(lines: DataFrame) -> DataFrame:
     """Merges lines that a quoted cell runs over into one, numbered by their first line.
 
-    A line belongs to the record above it when an odd number of quote signs precedes it in its file. Only
-    lines of such multi-line records are grouped; each group is one record.
+    Only lines with quote signs can open or close a cell. Each is reduced to where it leads from outside and from
+    inside: always the same, nowhere, or to the other side. Within a range of lines the state is the last fixed one,
+    turned by the changes since; one row per range carries it over the range borders. Only lines of multi-line records
+    are grouped; each group is one record.
     """
-    # Opening and closing lines of multi-line cells; usually a tiny part of the file.
-    turns = lines.filter("_odd").select("_file", ORD)
-    ranked = journal_line_numbers(turns, "_file", [ORD], out="_turn")
-    openings = ranked.filter("_turn % 2 = 1").select("_file", F.col(ORD).alias("_start"), "_turn")
-    closings = ranked.filter("_turn % 2 = 0").select(
-        "_file", F.col(ORD).alias("_end"), (F.col("_turn") - 1).alias("_turn")
+    from_out, from_in = _inside_after(F.col("value"), False), _inside_after(F.col("value"), True)
+    turns = lines.filter("_quoted").select("_file", ORD, from_out.alias("_out"), from_in.alias("_in"))
+    # Lines that leave either side as it is change nothing.
+    turns = durable(turns.filter("_out OR NOT _in"))
+    turns = turns.withColumn("_bucket", order_bucket(turns, ORD)).select(
+        "*",
+        F.when(F.col("_out") == F.col("_in"), F.col("_out").cast("int")).alias("_fixed"),
+        (F.col("_out") & ~F.col("_in")).cast("int").alias("_swap"),
     )
+    ahead = W.partitionBy("_file", "_bucket").orderBy(ORD).rowsBetween(W.unboundedPreceding, -1)
+    swaps = F.coalesce(F.sum("_swap").over(ahead), F.lit(0))
+    seen = turns.withColumn("_swaps", swaps).withColumn(
+        "_last", F.last(F.when(F.col("_fixed").isNotNull(), F.struct("_fixed", "_swaps")), ignorenulls=True).over(ahead)
+    )
+    mark = F.when(F.col("_fixed").isNotNull(), F.struct(ORD, "_fixed", "_swaps"))
+    ranges = seen.groupBy("_file", "_bucket").agg(F.max(mark).alias("_end"), F.sum("_swap").alias("_all"))
+    # Per file and range: a fixed end, or the changes it adds.
+    ranges = ranges.select(
+        "_file",
+        "_bucket",
+        ((F.col("_end._fixed") + F.col("_all") - F.col("_end._swaps")) % 2).alias("_fixed"),
+        F.when(F.col("_end").isNull(), F.col("_all")).otherwise(0).alias("_swap"),
+    )
+    earlier = W.partitionBy("_file").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    ranges = ranges.withColumn("_swaps", F.sum("_swap").over(earlier.rowsBetween(W.unboundedPreceding, 0)))
+    fixed = F.last(F.when(F.col("_fixed").isNotNull(), F.struct("_fixed", "_swaps")), ignorenulls=True).over(earlier)
+    carried = ranges.select("_file", "_bucket", fixed.alias("_from"), F.sum("_swap").over(earlier).alias("_to"))
+    carried = carried.select(
+        "_file",
+        "_bucket",
+        (
+            (F.coalesce(F.col("_from._fixed"), F.lit(0)) + F.coalesce("_to", F.lit(0)) - F.coalesce(F.col("_from._swaps"), F.lit(0)))
+            % 2
+        ).alias("_carried"),
+    )
+    before = F.when(F.col("_last").isNotNull(), F.col("_last._fixed") + F.col("_swaps") - F.col("_last._swaps")).otherwise(
+        F.col("_carried") + F.col("_swaps")
+    )
+    stated = seen.join(lookup_side(carried), ["_file", "_bucket"]).withColumn("_before", before % 2 == 1)
+    after = F.when(F.col("_before"), F.col("_in")).otherwise(F.col("_out"))
+    changes = durable(stated.filter(F.col("_before") != after).select("_file", ORD, after.alias("_opens")))
+    ranked = journal_line_numbers(changes, "_file", [ORD], out="_turn")
+    openings = ranked.filter("_opens").select("_file", F.col(ORD).alias("_start"), "_turn")
+    closings = ranked.filter("NOT _opens").select("_file", F.col(ORD).alias("_end"), (F.col("_turn") - 1).alias("_turn"))
     spans = openings.join(closings, ["_file", "_turn"], "left")
     if not spans.filter("_end is null").isEmpty():
         raise ValueError("a quoted cell is opened but never closed")
@@ -115,55 +180,70 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
         tagged.filter("_start is not null")
         .groupBy("_start")
         .agg(
+            F.min("_file").alias("_file"),
             F.min("_line").alias("_line"),
-            F.min("_block").alias("_block"),
             F.array_sort(F.collect_list(F.struct(ORD, "value"))).alias("_parts"),
         )
         .select(
-            "_block",
+            "_file",
             "_line",
             F.col("_start").alias(ORD),
             F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
         )
     )
-    single = tagged.filter("_start is null").select("_block", "_line", ORD, "value")
+    single = tagged.filter("_start is null").select("_file", "_line", ORD, "value")
     return single.unionByName(merged)
 
 
 def _header(lines: DataFrame, start_row: int) -> tuple[int, list[str]]:
-    """Line number and names of the first non-blank line from ``start_row`` on."""
-    candidates = lines.filter((F.col("_line") >= start_row) & (F.trim("value") != ""))
-    # The first input split nearly always holds it; the filter then skips all other stored lines.
-    for place in (candidates.filter("_block = 0"), candidates):
-        found = place.orderBy(ORD).select("_line", "value").first()
-        if found is not None:
-            return found["_line"], repaired_header(next(csv.reader([found["value"].lstrip("\ufeff")])))
-    raise ValueError(f"no header at or after line {start_row}")
+    """Line number and names of the first non-blank line from ``start_row`` on, in the first file by name."""
+    found = (
+        lines.filter((F.col("_line") >= start_row) & (F.trim("value") != "")).orderBy("_file", ORD).select("_line", "value").first()
+    )
+    if found is None:
+        raise ValueError(f"no header at or after line {start_row}")
+    return found["_line"], repaired_header(next(csv.reader([found["value"].lstrip("\ufeff")])))
+
+
+def _body(spark: SparkSession, path: str, start_row: int, multiline: bool) -> tuple[DataFrame, list[str]]:
+    """Lines below the header, and the header's names."""
+    lines = read_lines(spark, path)
+    if multiline and not lines.filter(F.col("_quoted") & _inside_after(F.col("value"), False)).isEmpty():
+        lines = join_quoted_lines(lines)
+    header_line, names = _header(lines, start_row)
+    return lines.filter((F.col("_line") > header_line) & (F.trim("value") != "")), names
+
+
+def _cells(body: DataFrame, names: list[str], surplus: bool = False) -> DataFrame:
+    """Parsed cells by column. Non-blank cells beyond the header's last column raise, or with ``surplus`` stand joined
+    in the column ``SURPLUS``.
+
+    Stored by column, so that later filters and checks read plain columns and only those they name; pushed through the
+    parser they would parse each line once per reference.
+    """
+    width = len(names)
+    schema = ", ".join(f"c{i} string" for i in range(width + SURPLUS_CELLS))
+    cells = body.select(ORD, F.from_csv("value", schema, {"escape": '"'}).alias("r"))
+    beyond = [F.col(f"r.c{width + i}") for i in range(SURPLUS_CELLS)]
+    joined = F.concat_ws(",", *[F.when(F.trim(c) != "", c) for c in beyond])
+    found = F.when(joined != "", joined)
+    order = F.col(ORD)
+    if not surplus:
+        place = F.concat(F.lit("line "), F.col(ORD).cast("string"), F.lit(" has more cells than the header: "), joined)
+        order = F.when(found.isNotNull(), F.raise_error(place).cast("bigint")).otherwise(order)
+    columns = [order.alias(ORD), *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)]]
+    return cells.select(*columns, *([found.alias(SURPLUS)] if surplus else []))
 
 
 def read_report(
-    spark: SparkSession, path: str, start_row: int = 1, nrows: int = 0, multiline: bool = True
+    spark: SparkSession, path: str, start_row: int = 1, multiline: bool = True, surplus: bool = False
 ) -> DataFrame:
     """One report as text columns plus the order key ``_ord`` (its physical line number).
 
-    ``path`` is a file, or a folder of files that all carry the same preamble and header. Lines above ``start_row`` are skipped, the next one is the header; null tokens become null and rows
-    without any value are dropped. ``nrows`` keeps only the first rows of the report.
+    ``path`` is a file, or a folder of files that all carry the same preamble and header. Lines above ``start_row`` are
+    skipped, the next one is the header; null tokens become null and rows without any value are dropped. A row with more
+    cells than the header stops the read, unless ``surplus`` asks for them in the column ``SURPLUS``.
     """
-    lines = read_lines(spark, path)
-    if multiline and not lines.filter("_odd").isEmpty():
-        lines = join_quoted_lines(lines)
-    header_line, names = _header(lines, start_row)
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    body = lines.filter((F.col("_line") > header_line) & (F.trim("value") != ""))
-    if nrows:
-        body = body.orderBy(ORD).limit(nrows)
-    cells = body.select(
-        ORD,
-        F.from_csv("value", schema, {"escape": '"'}).alias("r"),
-    )
-    table = cells.select(ORD, *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
-    # Stored by column, so that later filters and checks read plain columns and only those they name;
-    # pushed through the parser they would parse each line once per reference.
-    stored = scratch_path(spark, "report")
-    null_tokens_to_null(table, keep=[ORD]).write.parquet(stored)
-    return drop_all_null(spark.read.parquet(stored), keep=[ORD])
+    table = _cells(*_body(spark, path, start_row, multiline), surplus)
+    stored = durable(null_tokens_to_null(table, keep=[ORD]))
+    return drop_all_null(stored, keep=[ORD])

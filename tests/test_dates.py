@@ -4,7 +4,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import DATE_REGEX, is_date, is_date_free_form, masked_timestamp, spark_pattern
+from ledgerloom.functions.dates import DATE_REGEX, is_date, masked_timestamp, spark_pattern
 
 MASKED = [
     ("%d/%m/%Y", "05/11/2021"),
@@ -55,13 +55,6 @@ def test_is_date(spark):
     assert [(r.c, r.v) for r in df.select("c", is_date(F.col("c")).alias("v")).collect()] == DATES
 
 
-def test_free_form_dates(spark):
-    pytest.importorskip("dateutil")
-    df = spark.createDataFrame([("Sat Oct 11 17:13:46 UTC 2003",), ("never ever",), ("nan",), (None,)], "c string")
-    rows = df.select(is_date_free_form(F.col("c")).alias("v")).collect()
-    assert [r.v for r in rows] == [True, False, True, True]
-
-
 FORMS = ["{y:04}-{m:02}-{d:02}", "{y:04}{m:02}{d:02}", "{y:04}/{m}/{d}", "{d} {n} {y:04}", "{n} {d}, {y:04}", "{d:02}-{n}-{y:04}"]
 NAMES = ["Zed", "Jan", "February", "MAR", "april", "May", "Jun", "July", "Aug", "September", "Oct", "nov", "December", "Non"]
 

@@ -1,3 +1,5 @@
+import csv
+import io
 import json
 
 import pytest
@@ -5,14 +7,14 @@ import pytest
 from ledgerloom.sources.groupings import read_groupings
 from ledgerloom.sources.reports import read_headed_csv, read_lines, read_report
 
-REPORT = """Ledger Summary,,,
-Sample Company,,,
+REPORT = """Closing Figures,,,
+Harbour Mill,,,
 ,,,
-Account,YTD Balance,Account,
+Account,Closing,Account,
 ,,,
-Payables (800),-£91.00,a,
-"Gas, Water (445)","£1,442.38",NULL,
-Bank (090),"-£4,076.92", ,
+Timber (317),-£55.10,a,
+"Ropes, Sails (622)","£2,310.75",NULL,
+Till (008),"-£2,255.65", ,
 Total ,£0.00,,
 """
 
@@ -28,19 +30,63 @@ def _rows(df):
 
 def test_preamble_header_and_tokens(spark, tmp_path):
     df = read_report(spark, _write(tmp_path / "tb report.csv", REPORT), 4)
-    assert df.columns == ["_ord", "Account", "YTD Balance", "Account.1", "NO_NAME3"]
+    assert df.columns == ["_ord", "Account", "Closing", "Account.1", "NO_NAME3"]
     assert _rows(df) == [
-        (6, "Payables (800)", "-£91.00", "a", None),
-        (7, "Gas, Water (445)", "£1,442.38", None, None),
-        (8, "Bank (090)", "-£4,076.92", None, None),
+        (6, "Timber (317)", "-£55.10", "a", None),
+        (7, "Ropes, Sails (622)", "£2,310.75", None, None),
+        (8, "Till (008)", "-£2,255.65", None, None),
         (9, "Total ", "£0.00", None, None),
     ]
 
 
-def test_blank_lines_before_the_header_and_row_cap(spark, tmp_path):
-    path = _write(tmp_path / "r.csv", "x\n\n\na,b\n1,2\n\n3\n4,5,6\n")
+def test_blank_lines_before_the_header(spark, tmp_path):
+    path = _write(tmp_path / "r.csv", "x\n\n\na,b\n1,2\n\n3\n4,5, ,\n")
     assert _rows(read_report(spark, path, 2)) == [(5, "1", "2"), (7, "3", None), (8, "4", "5")]
-    assert _rows(read_report(spark, path, 2, nrows=2)) == [(5, "1", "2"), (7, "3", None)]
+
+
+def test_surplus_cells_are_refused_or_named(spark, tmp_path):
+    path = _write(tmp_path / "r.csv", "item,amount\npipe,2,700\nnut,3\nbolt,4,,x,y\n")
+    with pytest.raises(Exception, match="line 2 has more cells than the header: 700|line 4"):
+        read_report(spark, path)
+    assert _rows(read_report(spark, path, surplus=True)) == [
+        (2, "pipe", "2", "700"), (3, "nut", "3", None), (4, "bolt", "4", "x,y")
+    ]
+
+
+STRAY = """item,amount
+12" pipe,2
+"say ""hi""\n",3
+nut 5",4
+"6"" tube",5
+"two
+lines, 7""
+and 8",6
+a"b"c,7
+"""
+
+
+@pytest.mark.parametrize("rows, buckets", [(10_000, 65_536), (1, 64)])
+def test_stray_quotes_and_real_multi_line_cells_over_many_splits(spark, tmp_path, monkeypatch, rows, buckets):
+    monkeypatch.setattr("ledgerloom.operators.ordinals.MIN_BUCKET_ROWS", rows)
+    monkeypatch.setattr("ledgerloom.operators.ordinals.MAX_BUCKETS", buckets)
+    body = STRAY.split("\n", 1)[1].replace("\\n", "\n")
+    text = "item,amount\n" + body * 60
+    path = _write(tmp_path / "r.csv", text)
+    expected = [tuple(r) for r in csv.reader(io.StringIO(text))][1:]
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 700)
+    try:
+        got = [r[1:] for r in _rows(read_report(spark, path))]
+    finally:
+        spark.conf.set(key, before)
+    assert got == [tuple(c for c in r) for r in expected]
+
+
+def test_headed_csv_with_quotes_and_line_breaks(spark, tmp_path):
+    rows = [('see "x", then y', "1"), ("line1\nline2", "2"), ("plain", None)]
+    spark.createDataFrame(rows, "a string, b string").write.option("header", True).option("escape", '"').csv(str(tmp_path / "out"))
+    assert sorted(map(tuple, read_headed_csv(spark, str(tmp_path / "out")).collect())) == sorted(rows)
 
 
 @pytest.mark.parametrize("encoding", ["utf-8", "iso-8859-1"])
