@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Format codes of date masks and the Spark pattern letters they stand for.
 _CODES = {
@@ -21,10 +19,18 @@ _CODES = {
     "S": "s",
     "p": "a",
     "j": "D",
+    "f": "SSSSSS",
 }
 _NUMERIC_CODES = set("dmYyHIMSj")
 _FIXED_WIDTH = {"d": "dd", "m": "MM", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "j": "DDD"}
 _TWO_DIGIT_PIVOT = 2069
+# Codes that are checked and cut out before parsing, since they do not change the written time.
+_CUT_CODES = {
+    "a": "(?i:mon|tue|wed|thu|fri|sat|sun)",
+    "A": "(?i:monday|tuesday|wednesday|thursday|friday|saturday|sunday)",
+    "z": "(?:[+-][0-9]{2}:?[0-9]{2}(?::?[0-9]{2})?|Z)",
+    "Z": "(?i:utc|gmt)",
+}
 
 def spark_pattern(mask: str) -> str:
     """Spark datetime pattern of a ``%``-style mask; raises on codes without a counterpart."""
@@ -57,17 +63,37 @@ def _render(tokens: list[tuple[str, str]], index: int) -> str:
     return _FIXED_WIDTH[value] if glued and value in _FIXED_WIDTH else _CODES[value]
 
 
+def _without_cut_codes(c: Column, mask: str) -> tuple[Column, str]:
+    """Cell and mask without weekday names and zones; the cell is null where one of them is missing.
+
+    A code at either end of the mask is looked for at that end of the cell.
+    """
+    for code, form in _CUT_CODES.items():
+        plain = mask.replace("%%", "\0\0")
+        at = plain.find(f"%{code}")
+        if at < 0:
+            continue
+        form = ("^" if at == 0 else "") + form + ("$" if at + 2 == len(mask) else "")
+        c = F.when(c.rlike(form), F.regexp_replace(c, f"^(.*?){form.removeprefix('^')}" if at else form, "$1" if at else ""))
+        mask = mask[:at] + mask[at + 2 :]
+    return c, mask
+
+
 def masked_timestamp(c: Column, mask: str) -> Column:
     """``yyyy-MM-ddTHH:mm:ssZ`` text of a cell read with ``mask``; null when blank or not in that form.
 
-    Two-digit years from 69 on belong to the previous century. The zone letter is literal: no zone
-    conversion takes place.
+    Two-digit years from 69 on belong to the previous century. The zone letter is literal: no zone conversion takes
+    place, whatever the session's zone or a zone in the cell.
     """
-    parsed = F.try_to_timestamp(c, F.lit(spark_pattern(mask)))
+    c, mask = _without_cut_codes(c, mask)
+    instant = F.try_to_timestamp(F.concat(c, F.lit("Z")), F.lit(spark_pattern(mask) + "X"))
+    # Read as UTC and kept without a zone, so that no session zone can shift it.
+    seconds = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(instant).cast("decimal(18,6)"))
+    parsed = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + seconds
     if "%y" in mask.replace("%%", ""):
         shifted = parsed - F.expr("interval 100 years")
         parsed = F.when(F.year(parsed) >= _TWO_DIGIT_PIVOT, shifted).otherwise(parsed)
-    return F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(F.replace(parsed.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def _any(*choices: str) -> str:

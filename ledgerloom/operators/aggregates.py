@@ -12,9 +12,12 @@ from ledgerloom.functions.columns import named
 from ledgerloom.spec import Condition
 
 
-def _rows(df: DataFrame, measures: Sequence[Column], name: str) -> DataFrame:
-    """One row per measure, in condition order, from a single pass over ``df``."""
-    wide = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(measures)])
+def _rows(df: DataFrame, measures: Sequence[Column], name: str, kept: dict[int, Column] | None = None) -> DataFrame:
+    """One row per measure, in condition order, from a single pass over ``df``; ``kept`` holds measures with a query of
+    their own by their place."""
+    kept = kept or {}
+    wide = df.agg(*[m.alias(f"m{i}") for i, m in enumerate(measures) if i not in kept] or [F.lit(1).alias("none")])
+    wide = wide.select("*", *[m.alias(f"m{i}") for i, m in kept.items()])
     cells = [
         F.struct(F.lit(i + 1).alias("condition_no"), F.col(f"m{i}").alias(name))
         for i in range(len(measures))
@@ -28,10 +31,20 @@ def _double(df: DataFrame, name: str) -> Column:
 
 
 def count_values(df: DataFrame, conditions: Sequence[Condition], approximate: bool = False) -> DataFrame:
-    """Non-null or distinct counts: columns ``condition_no, count``."""
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
-    measures = [distinct(named(c.column)) if c.unique else F.count(named(c.column)) for c in conditions]
-    return _rows(df, measures, "count")
+    """Non-null or distinct counts: columns ``condition_no, count``.
+
+    Each distinct count scans its own column; together they would copy every row once per column.
+    """
+
+    def distinct(name: str) -> Column:
+        values = df.select(named(name).alias("v")).filter("v is not null").distinct()
+        return values.agg(F.count(F.lit(1))).scalar()
+
+    own = {i: distinct(c.column) for i, c in enumerate(conditions) if c.unique and not approximate}
+    measures = [
+        F.approx_count_distinct(named(c.column)) if c.unique else F.count(named(c.column)) for c in conditions
+    ]
+    return _rows(df, measures, "count", own)
 
 
 def sum_values(df: DataFrame, conditions: Sequence[Condition]) -> DataFrame:

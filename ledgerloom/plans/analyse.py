@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -28,11 +29,14 @@ def run_step(df: DataFrame, step: Step, signed_net: bool = False) -> DataFrame:
 
 
 def run_steps(base: DataFrame, steps: Sequence[Step], signed_net: bool = False) -> dict[str, DataFrame]:
-    """Lazy result per step order. A step without a source reads the base table."""
+    """Result per step order. A step without a source reads the base table. A result that several steps read is stored
+    once; the others are lazy."""
     results: dict[str, DataFrame] = {}
+    readers = Counter(step.source for step in steps)
     for step in steps:
         source = results[step.source] if step.source else base
-        results[step.order] = run_step(source, step, signed_net)
+        result = run_step(source, step, signed_net)
+        results[step.order] = durable(result) if readers[step.order] > 1 else result
     return results
 
 
@@ -49,15 +53,18 @@ def run_chain(base: DataFrame, steps: Sequence[Step], signed_net: bool = False)
 def write_steps(
     base: DataFrame, steps: Sequence[Step], folder: str, order_by: str | None = None
 ) -> dict[str, DataFrame]:
-    """Runs the steps and writes each as ``tmp_<type>_<order>.csv`` and ``.json`` (first ten rows).
+    """Runs the steps and writes each as ``tmp_<type>_<order>.parquet``, ``.csv`` and ``.json`` (first ten rows).
 
-    Every result is computed once into the shared folder; both files and later steps read it from there.
+    Every result is computed once, into the Parquet table; the other files and later steps read it from there. The CSV
+    is an export, which ``read_headed_csv`` reads back.
     """
+    spark = base.sparkSession
     results: dict[str, DataFrame] = {}
     for step in steps:
         source = results[step.source] if step.source else base
-        result = results[step.order] = durable(run_step(source, step))
         name = f"{folder.rstrip('/')}/tmp_{step.kind}_{step.order}"
+        write_table(run_step(source, step), f"{name}.parquet", "parquet")
+        result = results[step.order] = spark.read.parquet(f"{name}.parquet")
         shown = result.drop("condition_no")
         write_table(shown, f"{name}.csv")
         write_preview(shown, f"{name}.json", order_by=order_by if order_by in shown.columns else None)

@@ -24,7 +24,7 @@ from ledgerloom.operators.mapping import (
 from ledgerloom.operators.ordinals import dense_ordinal, journal_line_numbers
 from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.group import group_trial_balance, write_grouped
-from ledgerloom.runtime import durable, literal_rows
+from ledgerloom.runtime import durable, literal_rows, scratch_scope
 from ledgerloom.sinks.writers import write_scorecard, write_table
 from ledgerloom.sources.reports import ORD, SURPLUS, read_report
 from ledgerloom.spec import FileTemplate, MappingRow, ReportSpec, TypedField
@@ -236,9 +236,21 @@ def conform(
     ``quarantine``: valid rows are written, errors are written beside them. A kept report with a file that was not
     uploaded is not mapped; the file is an error row.
     """
-    folder, out = folder.rstrip("/"), out.rstrip("/")
     if uploaded is not None:
         reports = covered_reports(spark, reports, uploaded)
+    with scratch_scope(spark):
+        return _conform(spark, reports, folder.rstrip("/"), out.rstrip("/"), mode, grouping, uploaded)
+
+
+def _conform(
+    spark: SparkSession,
+    reports: Sequence[ReportSpec],
+    folder: str,
+    out: str,
+    mode: str,
+    grouping: DataFrame | None,
+    uploaded: Sequence[str] | None,
+) -> ConformResult:
     conformed: list[tuple[ReportSpec, ConformedReport]] = []
     errors: list[DataFrame] = []
     for report in reports:

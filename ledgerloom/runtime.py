@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Scratch folders of this process, in the order they were named.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/ledgerloom-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/ledgerloom-{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch folders named within, on whatever storage they are. For jobs that leave nothing lazy."""
+    start = len(_SCRATCH)
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCRATCH[start:]:
+            folder = hadoop(path)
+            folder.getFileSystem(configuration).delete(folder, True)
+        del _SCRATCH[start:]
 
 
 def durable(df: DataFrame) -> DataFrame:

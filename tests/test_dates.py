@@ -85,3 +85,29 @@ def test_day_and_month_may_be_swapped(form):
             for d in range(33):
                 text = form.format(y=y, m=m, d=d)
                 assert bool(pattern.match(text)) == (_is_real(y, m, d) or _is_real(y, d, m)), text
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_masks_with_fractions_weekdays_and_zones(spark, zone):
+    cells = [
+        ("2020-03-08 02:30:00.25", "%Y-%m-%d %H:%M:%S.%f", "2020-03-08T02:30:00Z"),
+        ("Sun, 08 Mar 2020", "%a, %d %b %Y", "2020-03-08T00:00:00Z"),
+        ("Sunday 08/03/2020", "%A %d/%m/%Y", "2020-03-08T00:00:00Z"),
+        ("08/03/2020", "%A %d/%m/%Y", None),
+        ("2020-03-08T02:30:00+0100", "%Y-%m-%dT%H:%M:%S%z", "2020-03-08T02:30:00Z"),
+        ("2020-03-08 02:30 UTC", "%Y-%m-%d %H:%M %Z", "2020-03-08T02:30:00Z"),
+        ("2020-03-08 02:30 XYZ", "%Y-%m-%d %H:%M %Z", None),
+        ("1/2/69", "%d/%m/%y", "1969-02-01T00:00:00Z"),
+        ("", "%d/%m/%y", None),
+        (None, "%d/%m/%y", None),
+    ]
+    df = spark.createDataFrame([(c,) for c, _, _ in cells], "c string")
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    spark.conf.set(key, zone)
+    try:
+        for cell, mask, want in cells:
+            rows = df.filter(F.col("c").eqNullSafe(F.lit(cell))).select(masked_timestamp(F.col("c"), mask).alias("v")).collect()
+            assert rows[0]["v"] == want, (cell, mask)
+    finally:
+        spark.conf.set(key, before)
