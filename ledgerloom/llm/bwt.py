@@ -15,14 +15,14 @@ def suffix_order(data: np.ndarray, depth: int) -> np.ndarray:
     packed = np.zeros(n, np.uint64)
     for k in range(8):
         packed = packed << np.uint64(8) | padded[k : k + n]
-    order = np.argsort(packed, kind="stable")
+    order = np.argsort(packed)
     rank = _ranks(packed[order], order)
     have = 8
     while have < depth and int(rank.max(initial=0)) < n - 1:
         after = np.zeros(n, np.int64)
         after[: max(n - have, 0)] = rank[have:] + 1
         key = rank * np.int64(n + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank = _ranks(key[order], order)
         have *= 2
     return order
@@ -46,28 +46,34 @@ def prefix_classes(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     order = suffix_order(data, length + 8)
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
-    transform = data[order - 1]
-    step = place[order - 1]
+    first_byte, transform, step = data[order], data[order - 1], place[order - 1]
     border = np.zeros(n + 1, bool)
     border[[0, n]] = True
+    owner_of = np.empty(n, np.int32)
     low, high = np.array([0], np.int64), np.array([n], np.int64)
     for _ in range(length):
         if not len(low):
             break
         size = high - low
         total = int(size.sum())
-        owner = np.repeat(np.arange(len(low)), size)
-        at = np.arange(total) - np.repeat(np.cumsum(size) - size, size) + np.repeat(low, size)
-        key = owner * 256 + transform[at]
-        ranks = step[at]
-        by = np.argsort(key, kind="stable")
-        key = key[by]
-        opens = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        ranks = ranks[by]
-        first = np.minimum.reduceat(ranks, opens)
-        last = np.maximum.reduceat(ranks, opens) + 1
+        at = np.arange(total) + np.repeat(low - (np.cumsum(size) - size), size)
         # Strings do not reach over the end of another.
-        new = ~border[last] & (transform[at[by[opens]]] != END)
+        inner = transform[at] != END
+        ranks = step[at[inner]]
+        if not len(ranks):
+            break
+        owner_of[ranks] = np.repeat(np.arange(len(low), dtype=np.int32), size)[inner]
+        if len(ranks) * 8 > n:
+            seen = np.zeros(n, bool)
+            seen[ranks] = True
+            ranks = np.flatnonzero(seen)
+        else:
+            ranks = np.sort(ranks)
+        # Prepending one byte to one string gives neighbouring ranks.
+        owner, byte = owner_of[ranks], first_byte[ranks]
+        opens = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (byte[1:] != byte[:-1])]))
+        first, last = ranks[opens], ranks[np.append(opens[1:], len(ranks)) - 1] + 1
+        new = ~border[last]
         border[last] = True
         low, high = first[new], last[new]
     return order, np.cumsum(border[:-1])

@@ -1,8 +1,8 @@
 """Removal of long repeated byte strings across all documents.
 
-A string of 200 bytes is found through its anchor: the 40-byte gram of least hash within it. Equal strings have their
-anchors at the same place, so both occurrences lie in the contexts of anchors of one hash. Anchors that occur once are
-dropped; where all contexts of an anchor are equal they are repeated whole; the rest is cut out and compared by
+A string of 200 bytes is found through its anchor: the gram of least hash within it. Equal strings have their anchors
+at the same place, so both occurrences lie in the contexts of anchors of one hash; the context of an anchor is what its
+strings cover. Anchors that occur once are dropped; where all contexts of an anchor are equal they are repeated whole; the rest is cut out and compared by
 ``bwt.prefix_classes`` in buckets of bounded size. An anchor with too many different contexts for a bucket has its
 200-byte strings counted one by one, with the same result.
 """
@@ -23,9 +23,7 @@ from ledgerloom.llm.workers import arrow_map
 from ledgerloom.runtime import durable, lookup_side
 
 LENGTH = 200
-GRAM = 40
-# Bytes of a context before its anchor's start, and from it on.
-BEFORE, AFTER = LENGTH - GRAM, LENGTH
+GRAM = 48
 BUCKET_BYTES = 1_000_000
 # Above this many different contexts an anchor is counted string by string.
 CROWD = 10_000
@@ -34,7 +32,8 @@ PIECE = 2_000_000
 _POSITION_BITS = np.uint64(24)
 _LENGTH_STEP = np.uint64(0xA0761D6478BD642F)
 
-ANCHORS = "anchor bigint, context bigint, text bigint, bytes int, at int"
+# ``before`` is the distance from a context's start to its anchor.
+ANCHORS = "anchor bigint, context bigint, text bigint, bytes int, start int, stop int, before smallint"
 SPANS = "text bigint, bytes int, start int, stop int"
 
 
@@ -50,12 +49,14 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, anchor hash, context hash and position in ``data`` of all anchors of the texts that end at ``ends``."""
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text number, anchor hash, context hash, context start and stop, and anchor place, all places in ``data``.
+
+    Every 200-byte string within one of the texts that end at ``ends`` lies in exactly one context.
+    """
     n = len(data)
-    none = np.empty(0, np.int64)
     if n < LENGTH:
-        return none, none, none, none
+        return (np.empty(0, np.int64),) * 6
     up, down = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
@@ -68,46 +69,44 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     stop = np.maximum(ends - LENGTH + 1, begins)
     np.add.at(change, np.minimum(begins, len(least)), 1)
     np.add.at(change, np.minimum(stop, len(least)), -1)
-    chosen = least[np.cumsum(change[:-1]) > 0] & np.uint64((1 << int(_POSITION_BITS)) - 1)
+    strings = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+    chosen = (least[strings] & np.uint64((1 << int(_POSITION_BITS)) - 1)).astype(np.int64)
     if not len(chosen):
-        return none, none, none, none
-    at = chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])].astype(np.int64)
-    text = np.searchsorted(ends, at, "right")
-    low = np.maximum(at - BEFORE, begins[text])
-    high = np.minimum(at + AFTER, ends[text])
+        return (np.empty(0, np.int64),) * 6
+    opens = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+    at, low = chosen[opens], strings[opens]
+    high = strings[np.append(opens[1:], len(strings)) - 1] + LENGTH
     shape = ((high - low) * 1024 + (at - low)).astype(np.uint64) * _LENGTH_STEP
     context = mix((total[high] - total[low]) * down[low] + shape)
-    return text, grams[at].view(np.int64), context.view(np.int64), at
+    return np.searchsorted(ends, at, "right"), grams[at].view(np.int64), context.view(np.int64), low, high, at
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows(number: np.ndarray, anchor: np.ndarray, context: np.ndarray, at: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+    def rows(found: tuple[np.ndarray, ...], numbers: np.ndarray, sizes: np.ndarray, shift: np.ndarray) -> pa.RecordBatch:
+        text, anchor, context, low, high, at = found
         return pa.RecordBatch.from_arrays(
-            [pa.array(anchor), pa.array(context), pa.array(number), pa.array(size.astype(np.int32)), pa.array(at.astype(np.int32))],
-            names=["anchor", "context", "text", "bytes", "at"],
-        )
+            [
+                pa.array(anchor), pa.array(context), pa.array(numbers[text]), pa.array(sizes[text], pa.int32()),
+                pa.array(low + shift[text], pa.int32()), pa.array(high + shift[text], pa.int32()), pa.array(at - low, pa.int16()),
+            ],
+            names=["anchor", "context", "text", "bytes", "start", "stop", "before"],
+        )
 
     for batch in batches:
         for part in stretches(batch, "raw"):
             numbers = part.column("text").to_numpy()
             raw = part.column("raw").to_pylist()
             sizes = np.array([len(r) for r in raw], np.int64)
-            if len(raw) == 1 and len(raw[0]) > PIECE:
-                # Neighbouring pieces share enough bytes for whole strings and contexts; an anchor counts once.
-                data, start, done = np.frombuffer(raw[0], np.uint8), 0, -1
-                while start < len(data):
-                    stop = min(start + PIECE, len(data))
-                    left, right = max(start - BEFORE, 0), min(stop + LENGTH + AFTER, len(data))
-                    _, anchor, context, at = anchors(data[left:right], np.array([right - left]))
-                    at = at + left
-                    new = (at > done) & ((at >= start) | (left == 0)) & ((at < stop) | (right == len(data)))
-                    done = int(at[new].max(initial=done))
-                    yield rows(np.full(int(new.sum()), numbers[0]), anchor[new], context[new], at[new], np.full(int(new.sum()), len(data)))
-                    start = stop
-                continue
-            text, anchor, context, at = anchors(np.frombuffer(b"".join(raw), np.uint8), np.cumsum(sizes))
-            if len(at):
-                yield rows(numbers[text], anchor, context, at - (np.cumsum(sizes) - sizes)[text], sizes[text])
+            # The strings of a long text are dealt to pieces.
+            step = PIECE if len(raw) == 1 else int(sizes.sum()) or 1
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            for start in range(0, len(data), step):
+                piece = data[start : start + step + LENGTH - 1]
+                ends = np.cumsum(sizes) if len(raw) > 1 else np.array([len(piece)])
+                shift = sizes - np.cumsum(sizes) if len(raw) > 1 else np.array([start])
+                found = anchors(piece, ends)
+                if len(found[0]):
+                    yield rows(found, numbers, sizes, shift)
 
 
 def repeated_spans(contexts: list[bytes], groups_of: np.ndarray, before: np.ndarray) -> list[tuple[int, int, int]]:
@@ -149,17 +148,16 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in groups(batches, ["bucket"]):
         raw = table.column("raw").to_pylist()
         _, group = np.unique(table.column("anchor").to_numpy(), return_inverse=True)
-        at, numbers, sizes = (table.column(c).to_numpy() for c in ("at", "text", "bytes"))
+        base, numbers, sizes = (table.column(c).to_numpy() for c in ("start", "text", "bytes"))
         repeated = table.column("repeated").to_numpy()
-        before = np.minimum(at, BEFORE).astype(np.int64)
+        before = table.column("before").to_numpy().astype(np.int64)
         spans = [s for s in repeated_spans(raw, group, before) if not repeated[s[0]]]
         if spans:
             owner, start, stop = (np.array(x) for x in zip(*spans))
-            base = at[owner] - before[owner]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(numbers[owner]), pa.array(sizes[owner], pa.int32()),
-                    pa.array(base + start, pa.int32()), pa.array(base + stop, pa.int32()),
+                    pa.array(base[owner] + start, pa.int32()), pa.array(base[owner] + stop, pa.int32()),
                 ],
                 names=["text", "bytes", "start", "stop"],
             )
@@ -173,7 +171,7 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _context_marks(rows: DataFrame, copies: DataFrame, hits: DataFrame) -> DataFrame:
     """Marks in anchors whose contexts differ."""
-    place = F.struct("text", "bytes", "at")
+    place = F.struct("text", "bytes", "start", "stop", "before")
     contexts = hits.where("differ").groupBy("anchor", "context").agg(F.min(place).alias("low"), F.max(place).alias("high"))
     contexts = contexts.select("anchor", "context", "low.*", (F.col("low") != F.col("high")).alias("repeated"))
     sizes = contexts.groupBy("anchor").agg(F.count("*").alias("crowd"))
@@ -181,21 +179,20 @@ def _context_marks(rows: DataFrame, copies: DataFrame, hits: DataFrame) -> DataF
     whole = (
         hits.where("differ")
         .join(contexts.where("repeated").select("anchor", "context"), ["anchor", "context"])
-        .select(*_around())
+        .select("text", "bytes", "start", "stop")
     )
     # The bytes of each context come from one copy of its text.
     wanted = contexts.groupBy("text", "bytes").agg(
-        F.collect_list(F.struct("anchor", "at", "repeated", "crowd")).alias("places")
+        F.collect_list(F.struct("anchor", "start", "stop", "before", "repeated", "crowd")).alias("places")
     )
     wanted = wanted.join(copies.select("text", "bytes", "doc_id"), ["text", "bytes"])
-    wanted = lookup_side(wanted.select(*[F.col(c).alias(f"_{c}") for c in wanted.columns]))
+    wanted = wanted.select(*[F.col(c).alias(f"_{c}") for c in wanted.columns])
     same = (rows["text"] == wanted["_text"]) & (rows["bytes"] == wanted["_bytes"]) & rows["doc_id"].eqNullSafe(wanted["_doc_id"])
-    start = lambda p: F.greatest(p["at"] - BEFORE, F.lit(0))
     cut = F.transform(
         "_places",
         lambda p: F.struct(
-            *[p[c].alias(c) for c in ("anchor", "at", "repeated", "crowd")],
-            F.substring("raw", start(p) + 1, p["at"] + AFTER - start(p)).alias("cut"),
+            *[p[c].alias(c) for c in ("anchor", "start", "before", "repeated", "crowd")],
+            F.substring("raw", p["start"] + 1, p["stop"] - p["start"]).alias("cut"),
         ),
     )
     cut_out = rows.join(wanted, same).select("text", "bytes", cut.alias("places")).select("text", "bytes", F.inline("places"))
@@ -214,16 +211,15 @@ def _context_marks(rows: DataFrame, copies: DataFrame, hits: DataFrame) -> DataF
 
 def _counted(crowded: DataFrame) -> DataFrame:
     """Every string of the contexts, counted by its digest; exact for anchors of any crowd."""
-    base = F.greatest(F.col("at") - BEFORE, F.lit(0))
     strings = crowded.where(F.length("raw") >= LENGTH).select(
-        "anchor", "text", "bytes", "at", F.explode(F.sequence(F.lit(0), F.length("raw") - LENGTH)).alias("offset"), "raw"
+        "anchor", "text", "bytes", F.col("start").alias("base"), "before", F.explode(F.sequence(F.lit(0), F.length("raw") - LENGTH)).alias("offset"), "raw"
     )
     strings = strings.select(
         "anchor",
         "text",
         "bytes",
-        (base + F.col("offset")).alias("start"),
-        (base + F.col("offset") - F.col("at")).alias("distance"),
+        (F.col("base") + F.col("offset")).alias("start"),
+        (F.col("offset") - F.col("before")).alias("distance"),
         F.md5(F.substring("raw", F.col("offset") + 1, F.lit(LENGTH))).alias("digest"),
     )
     key = ["anchor", "distance", "digest"]
@@ -232,27 +228,18 @@ def _counted(crowded: DataFrame) -> DataFrame:
     return strings.join(twice, key).select("text", "bytes", "start", (F.col("start") + LENGTH).alias("stop"))
 
 
-def _around() -> list:
-    return [
-        F.col("text"),
-        F.col("bytes"),
-        F.greatest(F.col("at") - BEFORE, F.lit(0)).alias("start"),
-        F.least(F.col("at") + AFTER, F.col("bytes")).alias("stop"),
-    ]
-
-
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Rows of ``docs`` (``doc_id, raw, text, bytes``) and the byte ranges to remove per distinct text."""
     rows = _identified(docs, id_col, text_col)
     copies = durable(rows.groupBy("text", "bytes").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id")))
     found = durable(arrow_map(rows.where(F.col("bytes") >= LENGTH).select("text", "raw"), _anchored, ANCHORS))
-    place = F.struct("context", "text", "bytes", "at")
+    place = F.struct("context", "text", "bytes", "start")
     often = found.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high")
     often = often.select("anchor", (F.col("low.context") != F.col("high.context")).alias("differ"))
     hits = durable(found.join(often, "anchor"))
     marks = (
         hits.where("NOT differ")
-        .select(*_around())
+        .select("text", "bytes", "start", "stop")
         .unionByName(_context_marks(rows, copies, hits))
         .unionByName(
             copies.where((F.col("copies") > 1) & (F.col("bytes") >= LENGTH)).select(

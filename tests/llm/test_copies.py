@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,16 +146,29 @@ def removed(spark, texts):
     return [(r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in rows]
 
 
-@pytest.mark.parametrize("setting", [{}, {"CROWD": 3}, {"BUCKET_BYTES": 2000}, {"PIECE": 700}])
+@pytest.mark.parametrize("setting", [{}, {"CROWD": 3}, {"BUCKET_BYTES": 2000}])
 def test_removal_like_brute_force(spark, monkeypatch, setting):
     for name, value in setting.items():
         monkeypatch.setattr(repeats, name, value)
-    if "PIECE" in setting:
-        monkeypatch.setattr("ledgerloom.llm.shingles.STRETCH", 1)
     texts = repeat_texts()
     assert removed(spark, texts) == plain_removal([(t or "").encode() for t in texts])
 
 
+@pytest.mark.parametrize("piece, stretch", [(700, 1), (2_000_000, 1), (2_000_000, 1_000_000)])
+def test_every_string_lies_in_one_context(monkeypatch, piece, stretch):
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    monkeypatch.setattr("ledgerloom.llm.shingles.STRETCH", stretch)
+    texts = [(t or "").encode() for t in repeat_texts()]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["text", "raw"])
+    found = [[] for _ in texts]
+    for rows in repeats._anchored([batch]):
+        for r in rows.to_pylist():
+            assert r["bytes"] == len(texts[r["text"]]) and 0 <= r["before"] <= repeats.LENGTH - repeats.GRAM
+            found[r["text"]] += range(r["start"], r["stop"] - repeats.LENGTH + 1)
+    for t, starts in zip(texts, found):
+        assert sorted(starts) == list(range(len(t) - repeats.LENGTH + 1))
+
+
 def test_removal_edge_cases(spark):
     text = "q" * 250
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (None, "z")], "doc_id bigint, text string")
