@@ -42,14 +42,16 @@ def order_bucket(df: DataFrame, ord_col: str) -> Column:
         firsts.append(first)
         first += -(-(e - s) // w)
 
-    def pick(low: int, high: int) -> Column:
+    name = f"CAST(`{ord_col.replace('`', '``')}` AS BIGINT)"
+
+    def pick(low: int, high: int) -> str:
         """Balanced tree of comparisons."""
         if high - low == 1:
-            return F.lit(firsts[low]).cast("bigint") + F.floor((key - F.lit(starts[low])) / F.lit(widths[low]))
+            return f"{firsts[low]} + CAST((({name} - {starts[low]}) div {widths[low]}) AS BIGINT)"
         middle = (low + high) // 2
-        return F.when(key < F.lit(starts[middle]), pick(low, middle)).otherwise(pick(middle, high))
+        return f"CASE WHEN {name} < {starts[middle]} THEN {pick(low, middle)} ELSE {pick(middle, high)} END"
 
-    return F.when(key.isNull(), F.lit(0).cast("bigint")).otherwise(pick(0, len(starts)))
+    return F.expr(f"CASE WHEN {name} IS NULL THEN 0 ELSE {pick(0, len(starts))} END").cast("bigint")
 
 
 def dense_ordinal(
