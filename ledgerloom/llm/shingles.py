@@ -75,12 +75,14 @@ def shingle_sets(texts: Sequence[str | None]) -> list[np.ndarray]:
 
 
 def stretches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that each part holds about ``STRETCH`` bytes of the column, or one row."""
+    """Cuts a batch so that each part holds about ``STRETCH`` bytes of the column; a row of more is a part by itself."""
     if not batch.num_rows:
         return
     size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(size, dtype=np.int64) // STRETCH
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    alone = size > STRETCH
+    cut = (part[1:] != part[:-1]) | alone[1:] | alone[:-1]
+    cuts = [0, *(np.flatnonzero(cut) + 1).tolist(), batch.num_rows]
     for start, stop in zip(cuts, cuts[1:]):
         yield batch.slice(start, stop - start)
 

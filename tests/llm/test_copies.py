@@ -14,7 +14,7 @@ from ledgerloom.llm import bwt, minhash, repeats
 from ledgerloom.llm.components import components
 from ledgerloom.llm.minhash import drop_near_duplicates, near_duplicates
 from ledgerloom.llm.repeats import remove_repeats
-from ledgerloom.llm.shingles import shingle_sets
+from ledgerloom.llm.shingles import shingle_sets, stretches
 
 
 def prose(r, n):
@@ -169,6 +169,25 @@ def test_every_string_lies_in_one_context(monkeypatch, piece, stretch):
         assert sorted(starts) == list(range(len(t) - repeats.LENGTH + 1))
 
 
+def test_a_long_text_before_short_ones_is_cut_into_pieces(monkeypatch):
+    # Places of up to 4096 bytes only, as a long text has more places than the position bits hold.
+    monkeypatch.setattr(repeats, "PIECE", 2000)
+    monkeypatch.setattr(repeats, "_POSITION_BITS", np.uint64(12))
+    monkeypatch.setattr("ledgerloom.llm.shingles.STRETCH", 1000)
+    r = random.Random(3)
+    texts = [prose(r, n).encode() for n in (40, 4000, 90, 130, 4000, 4000, 60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["text", "raw"])
+    parts = [p.column("text").to_pylist() for p in stretches(batch, "raw")]
+    assert [1] in parts and [4] in parts and [5] in parts and sum(parts, []) == list(range(len(texts)))
+    found = [[] for _ in texts]
+    for rows in repeats._anchored([batch]):
+        for row in rows.to_pylist():
+            assert 0 <= row["before"] <= repeats.LENGTH - repeats.GRAM
+            found[row["text"]] += range(row["start"], row["stop"] - repeats.LENGTH + 1)
+    for t, starts in zip(texts, found):
+        assert sorted(starts) == list(range(len(t) - repeats.LENGTH + 1))
+
+
 def test_removal_edge_cases(spark):
     text = "q" * 250
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (None, "z")], "doc_id bigint, text string")
