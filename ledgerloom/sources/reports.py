@@ -16,9 +16,14 @@ ORD = "_ord"
 FALLBACK_ENCODING = "ISO-8859-1"
 
 
-# Cells beyond the header that are looked at, and the column that holds them joined.
-SURPLUS_CELLS = 8
+# The column that holds the cells beyond the header, joined.
 SURPLUS = "extra cells"
+# Inside of a quoted cell, and a cell with the comma before it, closed as the CSV parser closes them. A cell that opens
+# with a quote sign and never closes runs to the end. All repeats are possessive, so long cells need no stack.
+_QUOTED = '[^"]*+(?:""[^"]*+)*+'
+_CELL = f',("{_QUOTED}(?:"[^,]*+)?+|[^,]*+)'
+# The inside and the tail of a cell that opens with a quote sign; a single sign at the end of a line stands for itself.
+_OPENED = f'^"(?!\\z)({_QUOTED})(?:"([^,]*+))?+\\z'
 
 
 def read_headed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -214,6 +219,23 @@ def _body(spark: SparkSession, path: str, start_row: int, multiline: bool) -> tu
     return lines.filter((F.col("_line") > header_line) & (F.trim("value") != "")), names
 
 
+def _beyond(value: Column, width: int) -> Column:
+    """The non-blank cells of a line after its first ``width``, however many, joined; null for lines of few commas."""
+    every = F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(_CELL), F.lit(1))
+    beyond = F.slice(every, width + 1, F.greatest(F.size(every), F.lit(1)))
+
+    def plain(cell: Column) -> Column:
+        inside = F.replace(F.regexp_extract(cell, _OPENED, 1), F.lit('""'), F.lit('"'))
+        tail = F.regexp_extract(cell, _OPENED, 2)
+        # Text after the closing sign keeps the signs in the value.
+        opened = F.when(tail.rlike("^\\s*+\\z"), inside).otherwise(F.concat(F.lit('"'), inside, F.lit('"'), tail))
+        return F.when(cell.rlike(_OPENED), opened).otherwise(cell)
+
+    filled = F.filter(F.transform(beyond, plain), lambda c: F.trim(c) != "")
+    commas = F.length(value) - F.length(F.replace(value, F.lit(","), F.lit("")))
+    return F.when(commas >= width, F.array_join(filled, ","))
+
+
 def _cells(body: DataFrame, names: list[str], surplus: bool = False) -> DataFrame:
     """Parsed cells by column. Non-blank cells beyond the header's last column raise, or with ``surplus`` stand joined
     in the column ``SURPLUS``.
@@ -221,17 +243,14 @@ def _cells(body: DataFrame, names: list[str], surplus: bool = False) -> DataFram
     Stored by column, so that later filters and checks read plain columns and only those they name; pushed through the
     parser they would parse each line once per reference.
     """
-    width = len(names)
-    schema = ", ".join(f"c{i} string" for i in range(width + SURPLUS_CELLS))
-    cells = body.select(ORD, F.from_csv("value", schema, {"escape": '"'}).alias("r"))
-    beyond = [F.col(f"r.c{width + i}") for i in range(SURPLUS_CELLS)]
-    joined = F.concat_ws(",", *[F.when(F.trim(c) != "", c) for c in beyond])
-    found = F.when(joined != "", joined)
-    order = F.col(ORD)
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    cells = body.select(ORD, F.from_csv("value", schema, {"escape": '"'}).alias("r"), _beyond(F.col("value"), len(names)).alias("_beyond"))
+    found = F.when(F.col("_beyond") != "", F.col("_beyond"))
     if not surplus:
-        place = F.concat(F.lit("line "), F.col(ORD).cast("string"), F.lit(" has more cells than the header: "), joined)
-        order = F.when(found.isNotNull(), F.raise_error(place).cast("bigint")).otherwise(order)
-    columns = [order.alias(ORD), *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)]]
+        # A condition on the rows, so that it holds whatever columns are read.
+        place = F.concat(F.lit("line "), F.col(ORD).cast("string"), F.lit(" has more cells than the header: "), found)
+        cells = cells.where(F.when(found.isNotNull(), F.raise_error(place).cast("boolean")).otherwise(F.lit(True)))
+    columns = [F.col(ORD), *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)]]
     return cells.select(*columns, *([found.alias(SURPLUS)] if surplus else []))
 
 

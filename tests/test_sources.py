@@ -1,11 +1,13 @@
 import csv
 import io
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.sources.groupings import read_groupings
-from ledgerloom.sources.reports import read_headed_csv, read_lines, read_report
+from ledgerloom.sources.reports import _beyond, read_headed_csv, read_lines, read_report
 
 REPORT = """Closing Figures,,,
 Harbour Mill,,,
@@ -53,6 +55,34 @@ def test_surplus_cells_are_refused_or_named(spark, tmp_path):
     ]
 
 
+def test_surplus_cells_far_beyond_the_header(spark, tmp_path):
+    far = "," * 20
+    path = _write(tmp_path / "r.csv", f'item,amount\n"a,b",1{far}remark\nnut,2{far}\n"c\nd",3,x{far * 20}"far, ""off""\n"\nbolt,4\n')
+    assert _rows(read_report(spark, path, surplus=True)) == [
+        (2, "a,b", "1", "remark"), (3, "nut", "2", None), (4, "c\nd", "3", 'x,far, "off"\n'), (7, "bolt", "4", None)
+    ]
+    one = _write(tmp_path / "one.csv", f"item,amount\npipe,2{far}remark\n")
+    with pytest.raises(Exception, match="line 2 has more cells than the header: remark"):
+        read_report(spark, one)
+    with pytest.raises(Exception, match="line 2 has more cells than the header: remark"):
+        read_headed_csv(spark, one).collect()
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_surplus_cells_like_the_parser(spark, seed):
+    """Against the CSV parser with a column for every cell; where text follows a closing sign, but for the signs."""
+    r = random.Random(seed)
+    loose = ["".join(r.choices('ab",, "é\\', k=r.randint(1, 14))) for _ in range(2000)]
+    cells = ["a", "", '"b"', '"c,d"', '"e""f"', " g ", '"h\ni"', '""', '" "', "x\"y"]
+    clean = [",".join(r.choices(cells, k=r.randint(1, 12))) for _ in range(2000)] + ['"' + 'x""' * 20000 + '",a,"b,c"']
+    schema = ", ".join(f"c{i} string" for i in range(15))
+    df = spark.createDataFrame([(v, False) for v in loose] + [(v, True) for v in clean], "value string, clean boolean")
+    parsed = df.where("trim(value) <> ''").select("*", F.from_csv("value", schema, {"escape": '"'}).alias("r"), _beyond(F.col("value"), 1).alias("beyond"))
+    for row in parsed.collect():
+        got, want = row.beyond or "", ",".join(c for c in row.r[1:] if c and c.strip(" "))
+        assert got == want if row.clean else got.replace('"', "") == want.replace('"', ""), row.value
+
+
 STRAY = """item,amount
 12" pipe,2
 "say ""hi""\n",3
