@@ -1,6 +1,14 @@
 """All queries of this package."""
 
-from ledgerloom.llm import queries_archives, queries_copies, queries_leaks, queries_native, queries_pages, queries_quality  # noqa: F401
+from ledgerloom.llm import (  # noqa: F401
+    queries_alignment,
+    queries_archives,
+    queries_copies,
+    queries_leaks,
+    queries_native,
+    queries_pages,
+    queries_quality,
+)
 from ledgerloom.llm.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
