@@ -1,14 +1,11 @@
 """All queries of this package."""
 
-from ledgerloom.llm import (  # noqa: F401
-    queries_alignment,
-    queries_archives,
-    queries_copies,
-    queries_leaks,
-    queries_native,
-    queries_pages,
-    queries_quality,
-)
+from importlib import import_module
+
+from ledgerloom.llm.modules import QUERY_MODULES
 from ledgerloom.llm.registry import REGISTRY
 
+for _name in QUERY_MODULES:
+    import_module(_name)
+
 __all__ = ["REGISTRY"]
