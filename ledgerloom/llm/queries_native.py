@@ -48,6 +48,7 @@ def _(spark, sf_dir):
     r AS (SELECT n, i FROM (SELECT n, i, count(*) OVER (PARTITION BY n, five) AS c FROM k) WHERE c > 1),
     p AS (SELECT n, count(DISTINCT q) AS reps FROM (SELECT n, unnest(range(i, i + 5)) AS q FROM r) GROUP BY n),
     m AS (SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::bigint AS word_chars,
+      coalesce(list_sum(list_transform(ws, lambda x: strlen(x))), 0)::bigint AS word_bytes,
       length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
       coalesce(reps, 0) AS n_repeat_words, len(ls) AS n_lines,
       len(list_filter(ls, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) AS n_ellipsis,
@@ -59,8 +60,9 @@ def _(spark, sf_dir):
       FROM w LEFT JOIN p USING (n)),
     f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-      NOT base_failed AND word_chars >= 1.5 * n_words AND word_chars <= 30 * n_words AND n_symbols <= 0.3 * word_chars
-      AND (n_words < 100 OR n_stop >= 0.005 * n_words) AND n_dup_lines <= 0.5 * n_lines AND n_ellipsis <= 0.5 * n_lines AS kept FROM f""",
+      NOT base_failed AND (word_bytes > 1.5 * word_chars OR (word_chars >= 3 * n_words AND word_chars <= 10 * n_words))
+      AND n_symbols::double / n_words <= 0.1::double AND (n_words < 100 OR n_stop::double / n_words >= 0.005::double)
+      AND n_dup_lines::double / n_lines <= 0.5::double AND n_ellipsis::double / n_lines <= 0.3::double AS kept FROM f""",
 )
 def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

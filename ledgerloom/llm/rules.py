@@ -29,32 +29,36 @@ STOP_WORDS: Mapping[str, tuple[str, ...]] = {
 
 @dataclass(frozen=True)
 class Threshold:
-    """Keeps texts whose ``measure`` lies within the bounds; texts of fewer than ``from_words`` words pass."""
+    """Keeps texts whose ``measure`` lies within the bounds; texts of fewer than ``from_words`` words pass, and those
+    with more than ``most_bytes`` UTF-8 bytes per word character, whose script the bounds do not fit."""
 
     measure: str
     least: float | None = None
     most: float | None = None
     from_words: int = 0
+    most_bytes: float | None = None
 
 
-# Production thresholds: wide enough for any plain prose.
+# Production thresholds: those customary for web text, but half the lines may repeat, as short good texts have few lines.
+# Scripts beyond Latin need not part words by blanks.
 THRESHOLDS = (
-    Threshold("mean_word_chars", least=1.5, most=30.0),
-    Threshold("symbol_share", most=0.3),
+    Threshold("mean_word_chars", least=3.0, most=10.0, most_bytes=1.5),
+    Threshold("symbols_per_word", most=0.1),
     Threshold("stop_share", least=0.005, from_words=100),
     Threshold("dup_line_share", most=0.5),
-    Threshold("ellipsis_line_share", most=0.5),
+    Threshold("ellipsis_line_share", most=0.3),
 )
 
 
 def _measures(docs: DataFrame, text: Column) -> DataFrame:
-    """Adds the counts as columns ``_...``. Arrays read more than once are columns, so they are built once."""
+    """Adds the counts as columns ``_...``, to a table that has none. Arrays read more than once are columns, so they are built once."""
     gap_free = F.translate(text, WORD_GAPS, "")
     df = docs.withColumns(
         {
             "_text": F.coalesce(text, F.lit("")),
             "_words": words(text),
             "_word_chars": F.length(F.coalesce(gap_free, F.lit(""))).cast("long"),
+            "_word_bytes": F.octet_length(F.coalesce(gap_free, F.lit(""))).cast("long"),
         }
     )
     has_word = lambda line: F.length(F.translate(line, WORD_GAPS, "")) > 0
@@ -100,7 +104,7 @@ def _measures(docs: DataFrame, text: Column) -> DataFrame:
 
 _RATIOS = {
     "mean_word_chars": ("_word_chars", "_n_words"),
-    "symbol_share": ("_n_symbols", "_word_chars"),
+    "symbols_per_word": ("_n_symbols", "_n_words"),
     "stop_share": ("_n_stop", "_n_words"),
     "dup_line_share": ("_n_dup_lines", "_n_lines"),
     "ellipsis_line_share": ("_n_ellipsis", "_n_lines"),
@@ -121,24 +125,30 @@ def _verdict(thresholds: Sequence[Threshold]) -> Column:
             held &= value >= t.least
         if t.most is not None:
             held &= value <= t.most
-        kept &= F.coalesce(held, F.lit(True)) | (F.col("_n_words") < t.from_words)
+        held = F.coalesce(held, F.lit(True)) | (F.col("_n_words") < t.from_words)
+        if t.most_bytes is not None:
+            held |= F.col("_word_bytes") > t.most_bytes * F.col("_word_chars")
+        kept &= held
     return kept
 
 
 def judge_texts(docs: DataFrame, thresholds: Sequence[Threshold] = THRESHOLDS, text_col: str = "text") -> DataFrame:
     """``docs`` with ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
 
-    Input columns of these names are replaced. Null text has no words and fails the base rule. A text fails the base
-    rule with fewer than ten words, or if more than a fifth of its words lie in five-word windows found twice or more.
-    Everything is computed within the row: no shuffle, and repeated rows get equal verdicts. An empty table stays empty.
+    Input columns of these names are replaced, all others stay. Null text has no words and fails the base rule. A text
+    fails the base rule with fewer than ten words, or if more than a fifth of its words lie in five-word windows found
+    twice or more. A value on a bound is kept. Everything is computed within the row, over the whole text: no shuffle,
+    memory in proportion to the longest text, and repeated rows get equal verdicts. An empty table stays empty.
     """
     own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    rest = [c for c in docs.columns if c not in own and not c.startswith("_")]
-    rows = docs.select(*rest, F.col(text_col).alias("_source"))
+    rest = [c for c in docs.columns if c not in own]
+    # The input row travels as one value, so its column names meet none of the measures'.
+    carried = F.struct(*[F.col(c) for c in rest]) if rest else F.lit(None)
+    rows = docs.select(carried.alias("_row"), F.col(text_col).alias("_source"))
     df = _measures(rows, F.col("_source"))
     failed = (F.col("_n_words") < 10) | (100 * F.col("_n_repeat") > 20 * F.col("_n_words"))
     return df.select(
-        *rest,
+        *[F.col("_row")[c].alias(c) for c in rest],
         F.col("_n_words").alias("n_words"),
         F.col("_word_chars").alias("word_chars"),
         F.col("_n_symbols").alias("n_symbols"),

@@ -177,6 +177,26 @@ def test_quality_thresholds(spark):
     kept = lambda *t: judge_texts(docs, t).first()["kept"]
     assert kept() and kept(Threshold("n_words", least=14, most=14)) and not kept(Threshold("n_words", most=13))
     assert kept(Threshold("n_words", most=13, from_words=15)) and not kept(Threshold("stop_share", least=0.9))
+    assert kept(Threshold("mean_word_chars", least=9, most_bytes=0.5)) and not kept(Threshold("mean_word_chars", least=9, most_bytes=1.5))
+
+
+def test_quality_bounds_fit_scripts_and_leave_other_columns(spark):
+    texts = ["an example of twelve words that are plain, as the rules ask it", "word | word | word | word | word | word", "a b c d e f g h i j k l m n",
+             "extraordinarily internationalised telecommunications " * 5, "漢字仮名交じりの文章には語の間に空白がありません " * 1 + " ".join("漢字仮名交じりの文章には語の間に空白がない" + str(i) for i in range(12)),
+             "слово за словом текст идёт своим чередом и никогда не кончается сам собой"]
+    docs = spark.createDataFrame([(i, t, -1, "mine") for i, t in enumerate(texts)], "doc_id bigint, text string, _n_words int, _row string")
+    out = judge_texts(docs).orderBy("doc_id").collect()
+    assert [r.kept for r in out] == [True, False, False, False, True, True]
+    assert all((r["_n_words"], r["_row"]) == (-1, "mine") for r in out)
+
+
+def test_quality_rules_against_labels(spark):
+    """On the given documents junk goes and good documents stay."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    rows = judge_texts(docs.select("doc_id", "text")).select("doc_id", "base_failed", "kept").collect()
+    counts = Counter((quality[r.doc_id], r.kept) for r in rows if r.doc_id in quality and not r.base_failed)
+    assert counts[1, False] == 0 and counts[1, True] > 250 and counts[0, True] <= 1
 
 
 # Sharding
