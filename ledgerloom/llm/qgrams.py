@@ -5,7 +5,8 @@ with at most ``e`` edits shares ``m - q + 1 - q * e`` q-grams with its place in
 diagonals no more than ``e`` apart. Shared q-grams are counted in overlapping bands of diagonals; only regions that
 reach the bound are verified, by edit distance within the band.
 
-The benchmark is indexed in blocks of bounded size; every block meets all documents.
+Passages too short for edits are searched exactly: at word borders if they hold some words, and otherwise as a whole
+document. The benchmark is indexed in blocks of bounded size; every block meets all documents.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from ledgerloom.runtime import lookup_side
 
 Q = 10
 EDIT_RATE = 0.08
-# Shorter passages are no evidence.
+# Shorter passages are searched without edits, at word borders.
 LEAST_CHARS = 32
+# With fewer characters or words a passage is found only where it is the whole document.
+SHORT_CHARS, SHORT_WORDS = 12, 3
 # Characters of one index block, and of the documents scanned at once.
 INDEX_CHARS = 2_000_000
 SCAN_CHARS = 1_000_000
@@ -87,12 +90,22 @@ def gram_hashes(codes: np.ndarray, q: int = Q) -> np.ndarray:
     return total
 
 
+@dataclass(frozen=True)
+class ShortIndex:
+    """Passages searched exactly: ``phrases`` at word borders, by the hash of their first characters; ``whole`` as whole
+    documents, by their text."""
+
+    phrases: dict[int, tuple[tuple[int | None, str], ...]]
+    whole: dict[str, tuple[int | None, ...]]
+
+
 @dataclass(frozen=True)
 class Index:
     """Q-grams of benchmark passages: sorted hashes with the (passage, position) pairs of each."""
 
-    ids: np.ndarray
+    ids: tuple[int | None, ...]
     texts: tuple[str, ...]
+    short: ShortIndex
     budgets: np.ndarray
     bounds: np.ndarray
     hashes: np.ndarray
@@ -103,25 +116,37 @@ class Index:
     reach: int
 
 
+def _short_index(items: Sequence[tuple[int | None, str]]) -> ShortIndex:
+    phrases: dict[int, list[tuple[int | None, str]]] = {}
+    whole: dict[str, list[int | None]] = {}
+    for i, t in items:
+        if len(t) < SHORT_CHARS or t.count(" ") + 1 < SHORT_WORDS:
+            whole.setdefault(t, []).append(i)
+        else:
+            phrases.setdefault(int(gram_hashes(_codes(t[:SHORT_CHARS]), SHORT_CHARS)[0]), []).append((i, t))
+    return ShortIndex({h: tuple(x) for h, x in phrases.items()}, {t: tuple(x) for t, x in whole.items()})
+
+
 def build_index(items: Sequence[tuple[int | None, str | None]]) -> Index | None:
-    texts = [(i, normalise(t)) for i, t in items if i is not None]
-    texts = [(i, t) for i, t in texts if len(t) >= LEAST_CHARS]
-    if not texts:
+    """Index of the passages that hold a letter or digit, or None."""
+    named = [(i, t) for i, t in ((i, normalise(t)) for i, t in items) if t]
+    texts = [(i, t) for i, t in named if len(t) >= LEAST_CHARS]
+    if not named:
         return None
     grams = [gram_hashes(_codes(t)) for _, t in texts]
-    every = np.concatenate(grams)
+    every = np.concatenate([*grams, np.empty(0, np.uint64)])
     passage = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-    position = np.concatenate([np.arange(len(g)) for g in grams])
+    position = np.concatenate([*(np.arange(len(g)) for g in grams), np.empty(0, np.int64)])
     order = np.argsort(every, kind="stable")
     hashes, first = np.unique(every[order], return_index=True)
     present = np.zeros(1 << _TABLE_BITS, bool)
     present[(hashes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-    budgets = np.array([edit_budget(len(t)) for _, t in texts])
-    bounds = np.array([len(t) - Q + 1 - Q * e for (_, t), e in zip(texts, budgets)])
+    budgets = np.array([edit_budget(len(t)) for _, t in texts], np.int64)
+    bounds = np.array([len(t) - Q + 1 - Q * e for (_, t), e in zip(texts, budgets)], np.int64)
     return Index(
-        np.array([i for i, _ in texts], np.int64), tuple(t for _, t in texts), budgets, bounds, hashes,
-        np.append(first, len(every)), passage[order], position[order], present,
-        max(len(t) + 2 * e + 2 for (_, t), e in zip(texts, budgets)),
+        tuple(i for i, _ in texts), tuple(t for _, t in texts), _short_index([x for x in named if len(x[1]) < LEAST_CHARS]),
+        budgets, bounds, hashes, np.append(first, len(every)), passage[order], position[order], present,
+        max((len(t) + 2 * e + 2 for (_, t), e in zip(texts, budgets.tolist())), default=0),
     )
 
 
@@ -162,12 +187,47 @@ def _zones(hit: np.ndarray, reach: int, least: int) -> np.ndarray:
     return hit[np.cumsum(change[:-1]) > 0]
 
 
-def find_passages(texts: Sequence[str | None], index: Index) -> list[tuple[int, int, int, int, int, int]]:
+def find_passages(texts: Sequence[str | None], index: Index) -> list[tuple[int, int | None, int, int, int, int]]:
     """(text number, item id, start, end, edits, item length) of every region within the edit budget.
 
     Starts and ends count characters of the normalised text. Overlapping regions of one passage are one, the closest.
     """
     codes, ends = normalised(texts)
+    return (_find_long(texts, codes, ends, index) if index.texts else []) + _find_short(codes, ends, index.short)
+
+
+def _find_short(codes: np.ndarray, ends: np.ndarray, short: ShortIndex) -> list[tuple[int, int | None, int, int, int, int]]:
+    """Exact places of the passages of a short index; overlapping places of one passage count from left to right."""
+    out: list[tuple[int, int | None, int, int, int, int]] = []
+    if short.whole:
+        starts = np.concatenate([[0], ends[:-1]])
+        for n in np.flatnonzero(ends - starts <= LEAST_CHARS + 1).tolist():
+            text = _text(codes[starts[n] : ends[n]]).strip()
+            at = len(text)
+            out += [(n, i, 0, at, 0, at) for i in short.whole.get(text, ())]
+    if short.phrases:
+        hashes = gram_hashes(codes, SHORT_CHARS)
+        gap = (codes == 32) | (codes == 10)
+        opens = ~gap[: len(hashes)]
+        opens[1:] &= gap[: len(hashes) - 1] if len(hashes) else True
+        known = np.array(sorted(short.phrases), np.uint64)
+        place = np.flatnonzero(opens)
+        slot = np.minimum(np.searchsorted(known, hashes[place]), len(known) - 1)
+        last: dict[tuple[int | None, str], int] = {}
+        for at in place[known[slot] == hashes[place]].tolist():
+            for i, item in short.phrases[int(hashes[at])]:
+                end = at + len(item)
+                # Texts end with a line feed, which no passage holds, so a place cannot run into the next text.
+                if end < len(codes) and gap[end] and at >= last.get((i, item), 0) and _text(codes[at:end]) == item:
+                    n = int(np.searchsorted(ends, at, "right"))
+                    offset = int(ends[n - 1]) if n else 0
+                    out.append((n, i, at - offset, end - offset, 0, len(item)))
+                    last[i, item] = end
+    return sorted(out, key=lambda f: (f[0], f[1] is None, f[1] or 0, f[2]))
+
+
+def _find_long(texts: Sequence[str | None], codes: np.ndarray, ends: np.ndarray, index: Index) -> list[tuple[int, int | None, int, int, int, int]]:
+    """Places of passages with an edit budget, by counting shared q-grams."""
     hashes = gram_hashes(codes)
     maybe = np.flatnonzero(index.present[(hashes >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
     maybe = _zones(maybe, index.reach, int(index.bounds.min()))
@@ -222,7 +282,7 @@ def find_passages(texts: Sequence[str | None], index: Index) -> list[tuple[int,
         for s in spans:
             if all(s[1] <= t[0] or s[0] >= t[1] for t in taken):
                 taken.append(s)
-        out += [(n, int(index.ids[p]), *s, len(index.texts[p])) for s in sorted(taken)]
+        out += [(n, index.ids[p], *s, len(index.texts[p])) for s in sorted(taken)]
     return out
 
 
@@ -249,9 +309,12 @@ def _scan(shared):
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per benchmark passage found in a document: ``key``, ``item_id, start, end, edits, length``.
 
-    Documents are scanned whole; positions count characters of the normalised text. Null and empty texts hold nothing,
-    passages under ``LEAST_CHARS`` normalised characters, without id or text are not looked for. Repeated documents
-    and repeated passages each give their own rows. Only ``key`` of the other document columns is returned.
+    Documents are scanned whole, whatever their length; positions count characters of the normalised text. Null and
+    empty texts hold nothing. Passages of under ``LEAST_CHARS`` normalised characters are found without edits, at word
+    borders; those of under ``SHORT_CHARS`` or ``SHORT_WORDS`` words only where they are a whole document; those without
+    a letter or digit, or null, nowhere. A passage of null id gives rows of null ``item_id``. Repeated documents and
+    repeated passages each give their own rows; places of one passage that overlap are one, the closest and then the
+    first. Only ``key`` of the other document columns is returned.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text"))
