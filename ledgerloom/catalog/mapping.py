@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.registry import query
 from ledgerloom.catalog.tables import MESSY_LINES_SQL, PARSED_SQL, messy_lines, table
 from ledgerloom.functions import codes
+from ledgerloom.functions.indicators import indicator_by_rule
 from ledgerloom.functions.numbers import parse_number
 from ledgerloom.operators.align import align_by_position
 from ledgerloom.operators.clean import project
 from ledgerloom.operators.mapping import compile_row
+from ledgerloom.operators.ranges import lookup_range, stretches
 from ledgerloom.spec import AccountRange, CodeSplit, MappingRow, SourceField
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -112,6 +114,38 @@ _number_query(
       || ', Amount - ' || coalesce(cast(amount AS varchar), 'nan') END""",
 )
 
+# One range per part, most overlapping others; only some rules count.
+_PART_RANGES = [
+    "p_partkey AS position",
+    "cast(p_partkey - p_size % 7 AS double) AS low",
+    "cast(p_partkey + p_size * (CASE WHEN p_partkey % 50 = 0 THEN 20 ELSE 1 END) AS double) AS high",
+    "CASE p_partkey % 5 WHEN 0 THEN 'Other' WHEN 1 THEN 'Credit' WHEN 2 THEN 'Credit' ELSE 'Debit' END AS negatives",
+]
+
+
+@query(
+    "map_dci3_many_ranges",
+    f"""WITH t AS (SELECT {_KEYS_SQL}, l_partkey + (CASE WHEN l_linenumber > 4 THEN 0.5 ELSE 0 END) AS account,
+        CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS amount FROM lineitem),
+      r AS (SELECT {", ".join(_PART_RANGES)} FROM part WHERE p_size < 20),
+      best AS (SELECT account, arg_max(negatives, position) AS rule FROM (SELECT DISTINCT account FROM t) JOIN r
+        ON account BETWEEN low AND high WHERE negatives IN ('Debit', 'Credit') GROUP BY account)
+    SELECT {_KEYS_SQL}, CASE rule WHEN 'Debit' THEN CASE WHEN amount < 0 THEN 'D' ELSE 'C' END
+      WHEN 'Credit' THEN CASE WHEN amount < 0 THEN 'C' ELSE 'D' END END AS value FROM t LEFT JOIN best USING (account)""",
+)
+def _(spark, sf_dir):
+    """Range rules held in a table of their own."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        *_LINE_KEYS,
+        "l_partkey + (CASE WHEN l_linenumber > 4 THEN 0.5D ELSE 0D END) AS account",
+        "CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS amount",
+    )
+    ranges = table(spark, sf_dir, "part").where("p_size < 20").selectExpr(*_PART_RANGES)
+    rules = stretches(ranges.where("negatives IN ('Debit', 'Credit')"), "low", "high", "position", "negatives")
+    ruled = lookup_range(lines, "account", rules, "rule")
+    return ruled.select(*_LINE_KEYS, indicator_by_rule(F.col("rule"), F.col("amount")).alias("value"))
+
+
 # ---- text -------------------------------------------------------------------------------------------
 
 
