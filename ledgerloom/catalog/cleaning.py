@@ -117,6 +117,45 @@ _check("date_check", "date_text", "date", "coalesce(date_text, '')", _DATE)
 _check("unknown_type_check", "flag_text", "colour", "flag_text", "false")
 
 
+# Order dates as people write them: each form for Spark, for the check, and whether it is a date.
+_WRITTEN = [
+    ("concat(date_format(d, 'yyyyMMdd'), 'T101112')", "strftime(d, '%Y%m%dT101112')", "true"),
+    ("concat(date_format(d, 'yyyyMMdd'), '101112')", "strftime(d, '%Y%m%d101112')", "true"),
+    ("date_format(d, 'MMM d')", "strftime(d, '%b %-d')", "true"),
+    ("date_format(d, \"d'th' MMMM yyyy\")", "strftime(d, '%-dth %B %Y')", "true"),
+    ("date_format(d, \"d MMMM yyyy 'at' 10:00\")", "strftime(d, '%-d %B %Y at 10:00')", "true"),
+    ("date_format(d, \"yyyy-MM-dd 10:30 'EST'\")", "strftime(d, '%Y-%m-%d 10:30 EST')", "true"),
+    ("'10:30'", "'10:30'", "true"),
+    ("date_format(d, 'M/d')", "strftime(d, '%-m/%-d')", "true"),
+    ("date_format(d, \"EEEE, d MMM yyyy 10 'pm'\")", "strftime(d, '%A, %-d %b %Y 10 pm')", "true"),
+    ("date_format(d, \"'29 February' yyyy 'at' 9:15\")", "strftime(d, '29 February %Y at 9:15')", "month(last_day(make_date(year(d), 2, 1))) = 2 AND day(last_day(make_date(year(d), 2, 1))) = 29"),
+    ("date_format(d, \"'31 April' yyyy\")", "strftime(d, '31 April %Y')", "false"),
+    ("date_format(d, \"yyyy'0230T101112'\")", "strftime(d, '%Y0230T101112')", "false"),
+    ("date_format(d, 'MMM d 25:00')", "strftime(d, '%b %-d 25:00')", "false"),
+    ("date_format(d, \"d'th of nowhere'\")", "strftime(d, '%-dth of nowhere')", "false"),
+    ("'Feb 30'", "'Feb 30'", "false"),
+    ("'13/32'", "'13/32'", "false"),
+    ("'10:30 EST EST'", "'10:30 EST EST'", "false"),
+]
+
+
+def _written(form: int) -> str:
+    cases = " ".join(f"WHEN {k} THEN {w[form]}" for k, w in enumerate(_WRITTEN))
+    return f"CASE o_orderkey % {len(_WRITTEN)} {cases} END"
+
+
+@query(
+    "date_check_forms",
+    f"""WITH t AS (SELECT o_orderkey, o_orderdate AS d FROM orders)
+    SELECT o_orderkey, {_written(1)} AS value, {_written(2)} AS valid FROM t""",
+)
+def _(spark, sf_dir):
+    """Written dates of many forms, and text that only looks like dates."""
+    rows = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderdate AS d").selectExpr("o_orderkey", f"{_written(0)} AS text")
+    value, valid = validate.checked(F.col("text"), "date")
+    return rows.select("o_orderkey", value.alias("value"), valid.alias("valid"))
+
+
 @query(
     "number_check",
     f"""WITH t AS (SELECT event_id, CASE WHEN user_id % 3 = 0 THEN cast(user_id AS varchar)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.written_dates import is_written_date
+
 # Format codes of date masks and the Spark pattern letters they stand for.
 _CODES = {
     "d": "d",
@@ -144,5 +146,8 @@ DATE_REGEX = date_regex()
 
 
 def is_date(c: Column) -> Column:
-    """True for null cells and for text that ``DATE_REGEX`` recognises."""
-    return c.isNull() | c.rlike(DATE_REGEX)
+    """True for null cells, for text that ``DATE_REGEX`` recognises and for other written dates.
+
+    The expression settles nearly all exported dates at once; what it does not know is read token by token.
+    """
+    return F.when(c.isNull() | c.rlike(DATE_REGEX), F.lit(True)).otherwise(is_written_date(c))

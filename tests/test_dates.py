@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import DATE_REGEX, is_date, masked_timestamp, spark_pattern
+from ledgerloom.functions.written_dates import is_written_date
 
 MASKED = [
     ("%d/%m/%Y", "05/11/2021"),
@@ -111,3 +112,34 @@ def test_masks_with_fractions_weekdays_and_zones(spark, zone):
             assert rows[0]["v"] == want, (cell, mask)
     finally:
         spark.conf.set(key, before)
+
+
+WRITTEN = {
+    True: [
+        "20200102T101112", "20200102101112", "202001021011", "20200102", "200102", "Jan 5", "5 Jan", "January", "5th March 2020", "March 5th, 2020",
+        "2 January 2020 at 10:00", "the 2nd of January 2020", "2020-01-02 10:30 EST", "10:30", "10:30:15.25", "10:30 pm", "10 pm", "Jan 5 10am",
+        "1/2", "2/30/20x".replace("2/30/20x", "30/1"), "1/2/2020 10:30 +05:30", "10:30 -0400", "Tuesday, 3 March 2020 10:30 PM GMT", "29 Feb 2020", "Feb 29",
+        "29 February 2000 at 1:00", "2020 Jan", "Jan 2020", "Jan 85", "85 Jan 2", "2020/1", "12/2020", "99-12-31", "20200102T10", "20200102T1011Z", "2020",
+        "SEPT 3 2020", "3.March.2020",
+    ],
+    False: [
+        "", "soon", "5", "123", "12345", "20201301", "20200230T101112", "20200102T251112", "20200102246000", "31 April 2020", "Feb 30", "29 Feb 2019",
+        "29 February 1900 at 1:00", "13/32", "0/1", "25:00", "10:61", "10:30 10:31", "Jan Feb", "Jan 5 6 2020", "1/2/3/4", "EST", "10:30 EST EST", "10:30 +", "10:30 +9999",
+        "Jan 5 pm 3 pm", "13 pm", "5th of nowhere", "2020-13-45", "T10", "20200102T", "1/2 *", "th 5", "99999999999999999999", "10:30 T", "2020 2021", "+5",
+    ],
+}
+
+
+def test_written_dates(spark):
+    rows = [(t, want) for want, texts in WRITTEN.items() for t in texts]
+    df = spark.createDataFrame(rows, "c string, want boolean")
+    wrong = df.select("*", is_date(F.col("c")).alias("found")).where("found <> want OR found IS NULL").collect()
+    assert not wrong
+    assert spark.createDataFrame([(None,)], "c string").select(is_date(F.col("c")).alias("v")).first().v
+
+
+def test_written_dates_know_the_calendar(spark):
+    rows = [(f"{d} {NAMES[m]} {y} at 10:00", _is_real(y, m, d)) for y in (1900, 1996, 2000, 2019) for m in range(1, 13) for d in (1, 28, 29, 30, 31, 32)]
+    rows += [(f"{y:04}{m:02}{d:02}T0900", _is_real(y, m, d)) for y in (1900, 1996, 2000, 2019) for m in range(14) for d in (0, 1, 28, 29, 30, 31, 32)]
+    df = spark.createDataFrame(rows, "c string, want boolean")
+    assert not df.where(is_written_date(F.col("c")) != F.col("want")).collect()
