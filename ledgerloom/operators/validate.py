@@ -19,8 +19,8 @@ from ledgerloom.spec import DATE_TYPES, NUMERIC_TYPES, TypedField
 FLAG = "_type_valid"
 # Fixed value: text of a type error.
 INVALID_TYPE = "Invalid Data Type"
-# Declared type of the column that must be empty: cells beyond the header.
-SURPLUS_TYPE = "surplus"
+# Declared types of the columns that must be empty: cells beyond the header, and lines with a cell that never closes.
+SURPLUS_TYPE, UNCLOSED_TYPE = "surplus", "unclosed"
 
 ERROR_SCHEMA = T.StructType(
     [
@@ -42,7 +42,7 @@ def checked(c: Column, data_type: str) -> tuple[Column, Column]:
         return F.when(c.isNull() | (c == "nan"), F.lit("")).otherwise(c), F.lit(True)
     if data_type in DATE_TYPES:
         return F.coalesce(c, F.lit("")), dates.is_date(c)
-    if data_type == SURPLUS_TYPE:
+    if data_type in (SURPLUS_TYPE, UNCLOSED_TYPE):
         return c, c.isNull()
     if data_type == "boolean":
         lowered = F.lower(c)

@@ -26,7 +26,7 @@ from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.group import group_trial_balance, write_grouped
 from ledgerloom.runtime import durable, literal_rows, scratch_scope
 from ledgerloom.sinks.writers import write_scorecard, write_table
-from ledgerloom.sources.reports import ORD, SURPLUS, read_report
+from ledgerloom.sources.reports import ORD, SURPLUS, UNCLOSED, read_report
 from ledgerloom.spec import FileTemplate, MappingRow, ReportSpec, TypedField
 
 _ERRORS, _OK, ROW = "_errors", "_ok", "_row"
@@ -89,7 +89,7 @@ class ConformedReport:
 def check_file(raw: DataFrame, name: str, fields: Sequence[TypedField], template: FileTemplate) -> CheckedFile:
     """Exclusion rules, column pruning, row numbers and type checks on a report read by ``read_report``.
 
-    If the report was read with ``surplus``, a row with more cells than the header is a bad row.
+    If the report was read with ``surplus`` and ``unclosed``, a row with more cells than the header or an unclosed cell is a bad row.
     """
     df = raw
     if template.exclusion:
@@ -97,8 +97,9 @@ def check_file(raw: DataFrame, name: str, fields: Sequence[TypedField], template
     if template.drop_trailing_total:
         df = clean.drop_trailing_total(df, ORD)
     fields = list(fields)
-    if SURPLUS in raw.columns and SURPLUS not in [f.name for f in fields]:
-        fields.append(TypedField(SURPLUS, validate.SURPLUS_TYPE))
+    for column, kind in ((SURPLUS, validate.SURPLUS_TYPE), (UNCLOSED, validate.UNCLOSED_TYPE)):
+        if column in raw.columns and column not in [f.name for f in fields]:
+            fields.append(TypedField(column, kind))
     df = clean.prune(df, [f.name for f in fields], keep=[ORD])
     rows = dense_ordinal(validate.validate(df, fields, [ORD]), ORD, ROW, start=1)
     return CheckedFile(name, tuple(fields), durable(rows))
@@ -196,7 +197,7 @@ def _read_and_check(
     checked = {}
     for name, fields in report.file_fields().items():
         template = report.templates.get(name, FileTemplate())
-        raw = read_report(spark, f"{folder}/{name}", template.start_row, template.multiline, surplus=True)
+        raw = read_report(spark, f"{folder}/{name}", template.start_row, template.multiline, surplus=True, unclosed=True)
         checked[name] = check_file(raw, name, fields, template)
     return checked
 

@@ -18,6 +18,8 @@ FALLBACK_ENCODING = "ISO-8859-1"
 
 # The column that holds the cells beyond the header, joined.
 SURPLUS = "extra cells"
+# The column that holds a whole line in which a quoted cell opens and never closes.
+UNCLOSED = "unclosed cell"
 # Inside of a quoted cell, and a cell with the comma before it, closed as the CSV parser closes them. A cell that opens
 # with a quote sign and never closes runs to the end. All repeats are possessive, so long cells need no stack.
 _QUOTED = '[^"]*+(?:""[^"]*+)*+'
@@ -130,12 +132,52 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     Only lines with quote signs can open or close a cell. Each is reduced to where it leads from outside and from
     inside: always the same, nowhere, or to the other side. Within a range of lines the state is the last fixed one,
     turned by the changes since; one row per range carries it over the range borders. Only lines of multi-line records
-    are grouped; each group is one record.
+    are grouped; each group is one record. A cell that is never closed leaves its line a record by itself, marked
+    ``_unclosed``, and the lines below it are read again from outside; each such line of a file takes one more round over
+    the quoted lines below it.
     """
     from_out, from_in = _inside_after(F.col("value"), False), _inside_after(F.col("value"), True)
     turns = lines.filter("_quoted").select("_file", ORD, from_out.alias("_out"), from_in.alias("_in"))
     # Lines that leave either side as it is change nothing.
     turns = durable(turns.filter("_out OR NOT _in"))
+    spans, unclosed = None, None
+    while True:
+        found = durable(_quoted_spans(turns))
+        closed = found.filter("_end is not null").select("_start", "_end")
+        spans = closed if spans is None else spans.unionByName(closed)
+        lost = found.filter("_end is null").select("_file", "_start")
+        if lost.isEmpty():
+            break
+        unclosed = lost if unclosed is None else unclosed.unionByName(lost)
+        turns = durable(turns.join(lookup_side(lost), "_file").filter(F.col(ORD) > F.col("_start")).drop("_start"))
+    covered = lookup_side(spans.select("_start", F.explode(F.sequence("_start", "_end")).alias(ORD)))
+    tagged = lines.join(covered, ORD, "left")
+    merged = (
+        tagged.filter("_start is not null")
+        .groupBy("_start")
+        .agg(
+            F.min("_file").alias("_file"),
+            F.min("_line").alias("_line"),
+            F.array_sort(F.collect_list(F.struct(ORD, "value"))).alias("_parts"),
+        )
+        .select(
+            "_file",
+            "_line",
+            F.col("_start").alias(ORD),
+            F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
+            F.lit(False).alias("_unclosed"),
+        )
+    )
+    single = tagged.filter("_start is null").select("_file", "_line", ORD, "value")
+    if unclosed is None:
+        return single.withColumn("_unclosed", F.lit(False)).unionByName(merged)
+    marks = lookup_side(unclosed.select(F.col("_start").alias(ORD), F.lit(True).alias("_mark")))
+    single = single.join(marks, ORD, "left").withColumn("_unclosed", F.coalesce("_mark", F.lit(False))).drop("_mark")
+    return single.unionByName(merged)
+
+
+def _quoted_spans(turns: DataFrame) -> DataFrame:
+    """``_file, _start, _end`` of the records over several lines, with null ``_end`` for a cell that is never closed."""
     turns = turns.withColumn("_bucket", order_bucket(turns, ORD)).select(
         "*",
         F.when(F.col("_out") == F.col("_in"), F.col("_out").cast("int")).alias("_fixed"),
@@ -176,28 +218,7 @@ def join_quoted_lines(lines: DataFrame) -> DataFrame:
     ranked = journal_line_numbers(changes, "_file", [ORD], out="_turn")
     openings = ranked.filter("_opens").select("_file", F.col(ORD).alias("_start"), "_turn")
     closings = ranked.filter("NOT _opens").select("_file", F.col(ORD).alias("_end"), (F.col("_turn") - 1).alias("_turn"))
-    spans = openings.join(closings, ["_file", "_turn"], "left")
-    if not spans.filter("_end is null").isEmpty():
-        raise ValueError("a quoted cell is opened but never closed")
-    covered = lookup_side(spans.select("_start", F.explode(F.sequence("_start", "_end")).alias(ORD)))
-    tagged = lines.join(covered, ORD, "left")
-    merged = (
-        tagged.filter("_start is not null")
-        .groupBy("_start")
-        .agg(
-            F.min("_file").alias("_file"),
-            F.min("_line").alias("_line"),
-            F.array_sort(F.collect_list(F.struct(ORD, "value"))).alias("_parts"),
-        )
-        .select(
-            "_file",
-            "_line",
-            F.col("_start").alias(ORD),
-            F.array_join(F.transform("_parts", lambda p: p["value"]), "\n").alias("value"),
-        )
-    )
-    single = tagged.filter("_start is null").select("_file", "_line", ORD, "value")
-    return single.unionByName(merged)
+    return openings.join(closings, ["_file", "_turn"], "left").select("_file", "_start", "_end")
 
 
 def _header(lines: DataFrame, start_row: int) -> tuple[int, list[str]]:
@@ -215,6 +236,8 @@ def _body(spark: SparkSession, path: str, start_row: int, multiline: bool) -> tu
     lines = read_lines(spark, path)
     if multiline and not lines.filter(F.col("_quoted") & _inside_after(F.col("value"), False)).isEmpty():
         lines = join_quoted_lines(lines)
+    else:
+        lines = lines.withColumn("_unclosed", F.lit(False))
     header_line, names = _header(lines, start_row)
     return lines.filter((F.col("_line") > header_line) & (F.trim("value") != "")), names
 
@@ -236,33 +259,48 @@ def _beyond(value: Column, width: int) -> Column:
     return F.when(commas >= width, F.array_join(filled, ","))
 
 
-def _cells(body: DataFrame, names: list[str], surplus: bool = False) -> DataFrame:
-    """Parsed cells by column. Non-blank cells beyond the header's last column raise, or with ``surplus`` stand joined
-    in the column ``SURPLUS``.
+def _cells(body: DataFrame, names: list[str], surplus: bool = False, unclosed: bool = False) -> DataFrame:
+    """Parsed cells by column. A line with non-blank cells beyond the header's last column raises, or with ``surplus``
+    they stand joined in the column ``SURPLUS``; a line with a cell that is never closed raises, or with ``unclosed`` stands
+    in the column ``UNCLOSED``.
 
     Stored by column, so that later filters and checks read plain columns and only those they name; pushed through the
     parser they would parse each line once per reference.
     """
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    cells = body.select(ORD, F.from_csv("value", schema, {"escape": '"'}).alias("r"), _beyond(F.col("value"), len(names)).alias("_beyond"))
+    # Without a closing sign a quote sign is a character like others.
+    parsed = F.when(F.col("_unclosed"), F.from_csv("value", schema, {"quote": ""})).otherwise(
+        F.from_csv("value", schema, {"escape": '"'})
+    )
+    beyond = F.when(~F.col("_unclosed"), _beyond(F.col("value"), len(names)))
+    lost = F.when(F.col("_unclosed"), F.col("value")).alias("_lost")
+    cells = body.select(ORD, parsed.alias("r"), beyond.alias("_beyond"), lost)
     found = F.when(F.col("_beyond") != "", F.col("_beyond"))
+    place = F.concat(F.lit("line "), F.col(ORD).cast("string"))
+    said = F.lit(None).cast("string")
     if not surplus:
+        said = F.when(found.isNotNull(), F.concat(place, F.lit(" has more cells than the header: "), found))
+    if not unclosed:
+        said = F.when(F.col("_lost").isNotNull(), F.concat(place, F.lit(" opens a quoted cell that is never closed"))).otherwise(said)
+    if not (surplus and unclosed):
         # A condition on the rows, so that it holds whatever columns are read.
-        place = F.concat(F.lit("line "), F.col(ORD).cast("string"), F.lit(" has more cells than the header: "), found)
-        cells = cells.where(F.when(found.isNotNull(), F.raise_error(place).cast("boolean")).otherwise(F.lit(True)))
+        cells = cells.where(F.when(said.isNotNull(), F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
     columns = [F.col(ORD), *[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)]]
-    return cells.select(*columns, *([found.alias(SURPLUS)] if surplus else []))
+    columns += [found.alias(SURPLUS)] if surplus else []
+    return cells.select(*columns, *([F.col("_lost").alias(UNCLOSED)] if unclosed else []))
 
 
 def read_report(
-    spark: SparkSession, path: str, start_row: int = 1, multiline: bool = True, surplus: bool = False
+    spark: SparkSession, path: str, start_row: int = 1, multiline: bool = True, surplus: bool = False, unclosed: bool = False
 ) -> DataFrame:
     """One report as text columns plus the order key ``_ord`` (its physical line number).
 
     ``path`` is a file, or a folder of files that all carry the same preamble and header. Lines above ``start_row`` are
     skipped, the next one is the header; null tokens become null and rows without any value are dropped. A row with more
-    cells than the header stops the read, unless ``surplus`` asks for them in the column ``SURPLUS``.
+    cells than the header stops the read, unless ``surplus`` asks for them in the column ``SURPLUS``. So does a quoted cell
+    that is never closed, unless ``unclosed`` asks for such lines in the column ``UNCLOSED``; the lines below are then read
+    as if nothing were open.
     """
-    table = _cells(*_body(spark, path, start_row, multiline), surplus)
+    table = _cells(*_body(spark, path, start_row, multiline), surplus, unclosed)
     stored = durable(null_tokens_to_null(table, keep=[ORD]))
     return drop_all_null(stored, keep=[ORD])

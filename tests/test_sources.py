@@ -68,6 +68,30 @@ def test_surplus_cells_far_beyond_the_header(spark, tmp_path):
         read_headed_csv(spark, one).collect()
 
 
+def test_unclosed_cells_cost_their_line_only(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    _write(folder / "a.csv", 'item,amount\n"a\nb",1\nnut,2\nbolt,"3\nrod,4\ncap,5\n')
+    _write(folder / "b.csv", 'item,amount\n"c, d",6\n"lost,7\n')
+    _write(folder / "c.csv", 'item,amount\n"e\n\nf",8\n')
+    path = str(folder)
+    rows = [r[1:] for r in _rows(read_report(spark, path, unclosed=True))]
+    assert rows == [
+        ("a\nb", "1", None), ("nut", "2", None), ("bolt", '"3', 'bolt,"3'), ("rod", "4", None), ("cap", "5", None),
+        ("c, d", "6", None), ('"lost', "7", '"lost,7'), ("e\n\nf", "8", None),
+    ]
+    for surplus in (False, True):
+        with pytest.raises(Exception, match="opens a quoted cell that is never closed"):
+            read_report(spark, path, surplus=surplus)
+
+
+def test_unclosed_cells_after_each_other(spark, tmp_path):
+    """Below an unclosed cell, reading starts again from outside and can meet another one."""
+    path = _write(tmp_path / "r.csv", 'a,b\n1,"x\n2,""\n3,""y\n4,z\n')
+    found = {r[1]: r[3] for r in _rows(read_report(spark, path, unclosed=True))}
+    assert found.keys() == {"1", "2", "3", "4"} and found["1"] == '1,"x' and found["4"] is None
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_surplus_cells_like_the_parser(spark, seed):
     """Against the CSV parser with a column for every cell; where text follows a closing sign, but for the signs."""
@@ -144,7 +168,7 @@ def test_quoted_cells_over_several_lines(spark, tmp_path):
 
 
 def test_unclosed_quote_is_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="never closed"):
+    with pytest.raises(Exception, match="never closed"):
         read_report(spark, _write(tmp_path / "r.csv", 'a,b\n1,"x\n2,3\n'))
 
 
