@@ -16,7 +16,7 @@ from ledgerloom.catalog.tables import (
     table,
     trial_balance,
 )
-from ledgerloom.functions.numbers import money_sum
+from ledgerloom.functions.numbers import money_sum, money_total, uncounted_amounts
 from ledgerloom.operators.ordinals import dense_ordinal, journal_line_numbers, sequence_gaps
 from ledgerloom.operators.quality import scorecard
 from ledgerloom.spec import TypedField
@@ -325,6 +325,46 @@ def _(spark, sf_dir):
     return small.groupBy("l_returnflag").agg(money_sum(F.col("amount")).cast("double").alias("total"))
 
 
+# Huge amounts that cancel beside tiny ones that do not, and cells that are no amount.
+_HUGE = """SELECT l_orderkey % 5 AS k, unnest([1e27, -1e27, 1e30, -1e30, 9e27, 9e27, -9e27, -9e27]) AS amount, 'D' AS side FROM lineitem
+    UNION ALL SELECT l_orderkey % 5, l_linenumber * 1e-7, 'D' FROM lineitem
+    UNION ALL SELECT 0, unnest(['Infinity'::double, '-Infinity'::double, 1e300, 'NaN'::double]), 'D' FROM nation"""
+
+
+@query(
+    "gl_huge_amounts",
+    f"""WITH h AS ({_HUGE}), t AS (SELECT k, round(sum(CASE WHEN abs(amount) < 1 THEN amount::decimal(38,10) END), 8)::double AS total,
+      count(*) FILTER (abs(amount) >= 1e38) AS uncounted FROM h WHERE NOT isnan(amount) GROUP BY k)
+    SELECT k, total, total AS any_size, uncounted FROM t""",
+)
+def _(spark, sf_dir):
+    """Sums over amounts of 30 digits and more keep places and neither stop nor skip unseen."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey % 5 AS k", "l_linenumber * 1e-7D AS tiny")
+    huge = "array(1e27D, -1e27D, 1e30D, -1e30D, 9e27D, 9e27D, -9e27D, -9e27D)"
+    odd = "explode(array(double('Infinity'), double('-Infinity'), 1e300D, double('NaN'))) AS amount"
+    amounts = lines.selectExpr("k", f"explode({huge}) AS amount").unionByName(lines.selectExpr("k", "tiny AS amount"))
+    amounts = amounts.unionByName(table(spark, sf_dir, "nation").selectExpr("0L AS k", odd))
+    sums = amounts.groupBy("k").agg(
+        money_sum(F.col("amount")).cast("double").alias("total"),
+        F.round(money_total(F.col("amount")), 8).alias("any_size"),
+        uncounted_amounts(F.col("amount")).alias("uncounted"),
+    )
+    return sums
+
+
+@query(
+    "gl_huge_scorecard",
+    """SELECT 'amountSum' AS metric, count(*) * 3e36 AS value, '25 amounts are no finite number below 1e38' AS warning FROM region
+    UNION ALL SELECT 'netting', NULL, NULL""",
+)
+def _(spark, sf_dir):
+    """A sum beyond every decimal is still shown, and what no sum holds is counted in its warning."""
+    entries = table(spark, sf_dir, "region").selectExpr("explode(array(1e36D, 2e36D)) AS amount", "'D' AS amountCreditDebitIndicator")
+    odd = table(spark, sf_dir, "nation").selectExpr("double('Infinity') AS amount", "'D' AS amountCreditDebitIndicator")
+    rules = scorecard(entries.unionByName(odd), "glDetail", sections=["statistical", "business_rule"])
+    return rules.where("metric = 'amountSum' OR (metric = 'netting' AND outcome = 'fail')").select("metric", "value", "warning")
+
+
 @query(
     "gl_netting_pass",
     f"""WITH gl AS (SELECT l_extendedprice AS amount, unnest(['C', 'D']) AS side FROM lineitem),

@@ -23,14 +23,62 @@ def is_number(c: Column) -> Column:
     return c.isNull() | parse_number(c).isNotNull()
 
 
+# Parts in which amounts are added: units below it, and above it for amounts beyond 28 digits.
+_LOW, _HIGH = "100000000000000", "1000000000000000000000000"
+# Sums from here on do not fit ``decimal(38,8)``.
+_MOST = 1e29
+
+
+def _amount_parts(c: Column) -> dict[str, Column]:
+    """Amounts in decimal parts of at most 24 digits, so that sums of any number of rows stay within 38.
+
+    An amount counts as written, to ten places; from 1e28 on, where a double holds no places, to the unit.
+    """
+    # Nearly all amounts are small and need no division.
+    small = F.abs(c.try_cast("double")) < float(_LOW)
+    plain, wide = c.try_cast("decimal(38,10)"), c.try_cast("decimal(38,0)")
+    low, high = F.lit(_LOW).cast("decimal(15,0)"), F.lit(_HIGH).cast("decimal(25,0)")
+    beyond = F.when(~small & plain.isNull(), wide)
+
+    def over(value: Column, unit: Column) -> Column:
+        return F.call_function("div", value, unit).cast("decimal(28,0)")
+
+    return {
+        "rest": F.when(small, c.try_cast("decimal(28,10)")).otherwise((plain % low).cast("decimal(28,10)")),
+        "lows": F.when(~small, over(plain, low)),
+        "wide_rest": (beyond % high).cast("decimal(28,0)"),
+        "highs": over(beyond, high),
+    }
+
+
 def money_sum(c: Column) -> Column:
-    """Sum of amounts as ``decimal(38,8)``.
+    """Sum of amounts as ``decimal(38,8)``, null from 1e29 on, where only ``money_total`` gives it.
 
-    Every amount counts as it is written, to ten places, so the sum depends neither on row order nor on retries. Null,
-    NaN and infinite cells, and cells of 1e28 and more, are skipped; an empty column sums to zero.
+    Every amount counts as it is written, to ten places, so the sum depends neither on row order nor on retries, and
+    huge amounts cancel exactly. Null and NaN cells count as nothing, and so do cells that ``uncounted_amounts`` counts;
+    an empty column sums to zero.
     """
-    total = F.sum(F.nanvl(c.cast("double"), F.lit(None).cast("double")).try_cast("decimal(38,10)"))
-    return F.coalesce(total.cast("decimal(38,8)"), F.lit(0).cast("decimal(38,8)"))
+    sums = {
+        name: F.coalesce(F.sum(part), F.lit(0).cast("decimal(38,10)" if name == "rest" else "decimal(38,0)"))
+        for name, part in _amount_parts(c).items()
+    }
+    whole = F.try_add(
+        F.try_add(F.try_multiply(sums["lows"], F.lit(_LOW).cast("decimal(15,0)")), sums["wide_rest"]),
+        F.try_multiply(sums["highs"], F.lit(_HIGH).cast("decimal(25,0)")),
+    ).try_cast("decimal(37,8)")
+    return F.when(F.abs(whole) < _MOST, whole + sums["rest"].cast("decimal(37,8)"))
+
+
+def money_total(c: Column) -> Column:
+    """The same sum as a double, of any size."""
+    sums = {name: F.coalesce(F.sum(part).cast("double"), F.lit(0.0)) for name, part in _amount_parts(c).items()}
+    return sums["highs"] * float(_HIGH) + sums["lows"] * float(_LOW) + sums["wide_rest"] + sums["rest"]
+
+
+def uncounted_amounts(c: Column) -> Column:
+    """Number of cells that no sum holds: infinite, of 1e38 and more, or no number. Null and NaN cells are none."""
+    value = c.try_cast("double")
+    return F.count_if(c.isNotNull() & c.try_cast("decimal(38,0)").isNull() & ~F.coalesce(F.isnan(value), F.lit(False)))
 
 
 def round_binary(c: Column, places: int = 4) -> Column:

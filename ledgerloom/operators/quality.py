@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.columns import blank_to_null, named
-from ledgerloom.functions.numbers import money_sum
+from ledgerloom.functions.numbers import money_sum, money_total, uncounted_amounts
 from ledgerloom.operators.ordinals import sequence_gaps
 from ledgerloom.spec import NUMERIC_TYPES, TypedField
 
@@ -34,6 +34,7 @@ METRIC_SCHEMA = {
 NET_TOLERANCE = 0.001
 ZERO_CLAMP = 0.000001
 
+# Canonical fields that the presence rules look at.
 CONTROL_FIELDS = ("enteredBy", "enteredDateTime", "approvedBy", "approvedDateTime", "lastModifiedBy")
 REVERSAL_FIELDS = ("reversalIndicator", "reversalJournalId")
 MANUAL_JOURNAL_FIELDS = ("journalEntryType", "sourceId")
@@ -83,9 +84,18 @@ def distinct_values(df: DataFrame, name: str) -> Column:
     return kept.distinct().agg(F.count(F.lit(1))).scalar()
 
 
+def signed(amount: Column, indicator: Column) -> Column:
+    """Amounts with credits negated; any other indicator counts as debit."""
+    return F.when(indicator == "C", -amount).otherwise(amount)
+
+
 def signed_sum(amount: Column, indicator: Column) -> Column:
-    """Sum of amounts with credits negated; any other indicator counts as debit."""
-    return money_sum(F.when(indicator == "C", -amount).otherwise(amount))
+    return money_sum(signed(amount, indicator))
+
+
+def amount_aggregates(amount: Column, name: str) -> list[Column]:
+    """The exact sum, the sum of any size, and the number of cells in neither."""
+    return [money_sum(amount).alias(name), money_total(amount).alias(f"{name} total"), uncounted_amounts(amount).alias(f"{name} uncounted")]
 
 
 def netting(total: str) -> str:
@@ -199,31 +209,40 @@ def _statistic(name: str, value: str | None = None) -> Metric:
     return Metric("statistical", name, value=value or name)
 
 
+def _amount_statistic(name: str, column: str, exact: str) -> Metric:
+    """A sum of amounts; a warning counts the cells that it leaves out."""
+    left_out = f"`{column} uncounted`"
+    return Metric(
+        "statistical", name, value=f"coalesce(double({exact}), `{column} total`)",
+        warning=f"CASE WHEN {left_out} > 0 THEN concat({left_out}, ' amounts are no finite number below 1e38') END",
+    )
+
+
 # ---- per entity -------------------------------------------------------------------------------------
 
 
 def _ledger_parts():
     aggregates = [
-        money_sum(named("amount")).alias("amountSum"),
-        money_sum(named("localAmount")).alias("localAmountSum"),
-        signed_sum(named("amount"), named("amountCreditDebitIndicator")).alias("net"),
+        *amount_aggregates(named("amount"), "amountSum"),
+        *amount_aggregates(named("localAmount"), "localAmountSum"),
+        *amount_aggregates(signed(named("amount"), named("amountCreditDebitIndicator")), "net"),
     ]
     statistical = [
-        _statistic("amountSum", rounded("amountSum")),
-        _statistic("localAmountSum", rounded("localAmountSum")),
-        _statistic("debitCredits", rounded("net")),
+        _amount_statistic("amountSum", "amountSum", rounded("amountSum")),
+        _amount_statistic("localAmountSum", "localAmountSum", rounded("localAmountSum")),
+        _amount_statistic("debitCredits", "net", rounded("net")),
     ]
     return aggregates, statistical, [Metric("business_rule", "netting", outcome=netting("net"))]
 
 
 def _trial_balance_parts():
     aggregates = [
-        money_sum(named("amountBeginning")).alias("beginning"),
-        money_sum(named("amountEnding")).alias("ending"),
+        *amount_aggregates(named("amountBeginning"), "beginning"),
+        *amount_aggregates(named("amountEnding"), "ending"),
     ]
     statistical = [
-        _statistic("amountBeginingSum", rounded("beginning")),
-        _statistic("amountEndingSum", rounded(clamped("ending"))),
+        _amount_statistic("amountBeginingSum", "beginning", rounded("beginning")),
+        _amount_statistic("amountEndingSum", "ending", rounded(clamped("ending"))),
     ]
     return aggregates, statistical, [Metric("business_rule", "netting", outcome=netting("ending"))]
 

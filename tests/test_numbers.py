@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import is_number, money_sum, parse_number, round_binary
+from ledgerloom.functions.numbers import is_number, money_sum, money_total, parse_number, round_binary, uncounted_amounts
 from ledgerloom.operators.quality import percent
 
 CELLS = [
@@ -64,6 +64,21 @@ def test_money_sum_is_exact(spark):
 
 
 def test_money_sum_keeps_small_amounts_and_skips_odd_cells(spark):
-    rows = [(4e-7,)] * 1000 + [(None,), (float("nan"),), (float("inf"),), (1e300,)]
+    rows = [(4e-7,)] * 1000 + [(None,), (float("nan"),), (float("inf"),), (1e300,)]  # the last two are counted apart
     df = spark.createDataFrame(rows, "a double")
     assert float(df.agg(money_sum(F.col("a")).alias("s")).first()["s"]) == 0.0004
+
+
+def test_money_sum_of_huge_amounts(spark):
+    amounts = [9e27] * 7 + [-9e27] * 7 + [1e30, 1e33, -1e30, -1e33, 123456789012345.5, 1e-7, -0.3, 1e37, -1e37]
+    df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(5)
+    assert str(df.agg(money_sum(F.col("a"))).first()[0]) == "123456789012345.20000010"
+    odd = spark.createDataFrame([(x,) for x in (1e38, -1e300, float("inf"), float("nan"), None, 5e37, 5e37, 1.5)], "a double")
+    row = odd.agg(money_sum(F.col("a")).alias("s"), money_total(F.col("a")).alias("t"), uncounted_amounts(F.col("a")).alias("n")).first()
+    assert (row.s, row.t, row.n) == (None, 1e38, 3)
+
+
+def test_money_sum_keeps_digits_of_decimals_and_text(spark):
+    df = spark.sql("SELECT cast('1234567890123456789012.0123456789' AS decimal(38,10)) AS d, '0.1' AS t UNION ALL SELECT 0.0000000001, 'none'")
+    row = df.agg(money_sum(F.col("d")).alias("d"), money_sum(F.col("t")).alias("t"), uncounted_amounts(F.col("t")).alias("n")).first()
+    assert (str(row.d), str(row.t), row.n) == ("1234567890123456789012.01234568", "0.10000000", 1)
