@@ -11,7 +11,7 @@ from ledgerloom.plans.analyse import write_steps
 from ledgerloom.plans.conform import check_file, map_report
 from ledgerloom.runtime import scratch_path
 from ledgerloom.sinks.writers import METRIC_ORDER, preview, scorecard_document, write_table
-from ledgerloom.sources.groupings import read_groupings
+from ledgerloom.sources.groupings import read_grouping_lines, read_groupings
 from ledgerloom.sources.reports import read_headed_csv, read_report
 from ledgerloom.spec import Condition, FileTemplate, ReportSpec, Step, reports_from_mapping
 
@@ -138,6 +138,45 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "read_step_results",
+    f"""WITH {GL_SQL}, picked AS (SELECT * FROM gl WHERE amount > 50000 AND amountCreditDebitIndicator = 'C')
+    SELECT 'sum' AS file, round(sum(amount), 2)::double AS value FROM picked
+    UNION ALL SELECT 'sum preview', round(sum(amount), 2) FROM picked
+    UNION ALL SELECT 'count', count(DISTINCT journalId) FROM picked
+    UNION ALL SELECT 'count preview', count(DISTINCT journalId) FROM picked
+    UNION ALL SELECT 'net', round(-sum(amount), 2) FROM picked
+    UNION ALL SELECT 'filter preview rows', least(count(*), 10) FROM picked""",
+)
+def _(spark, sf_dir):
+    """Every kind of step result as CSV and as JSON preview, read back."""
+    folder = scratch_path(spark, "steps")
+    conditions = (Condition("amount", "gt", "50000"), Condition("amountCreditDebitIndicator", "eq", "C"))
+    steps = [
+        Step("1", "Filter", "", conditions),
+        Step("2", "Sum", "1", (Condition("amount"),)),
+        Step("3", "Count", "1", (Condition("journalId", unique=True),)),
+        Step("4", "Net", "1"),
+    ]
+    write_steps(general_ledger(spark, sf_dir).select("journalId", "amount", "amountCreditDebitIndicator"), steps, folder)
+
+    def cell(kind: str, order: int, column: str) -> tuple:
+        written = read_headed_csv(spark, f"{folder}/tmp_{kind}_{order}.csv")
+        shown = spark.read.text(f"{folder}/tmp_{kind}_{order}.json")
+        return written.select(F.col(column).alias("value")), shown.select(F.get_json_object("value", f"$.data[0].{column}").alias("value"))
+
+    (total, total_shown), (count, count_shown), (net, _) = cell("Sum", 2, "sum"), cell("Count", 3, "count"), cell("Net", 4, "total_credit_amount")
+    first = spark.read.text(f"{folder}/tmp_Filter_1.json")
+    rows = first.select(F.size(F.from_json(F.get_json_object("value", "$.data"), "array<string>")).cast("string").alias("value"))
+    found = None
+    for name, part in (
+        ("sum", total), ("sum preview", total_shown), ("count", count), ("count preview", count_shown), ("net", net), ("filter preview rows", rows),
+    ):
+        one = part.select(F.lit(name).alias("file"), F.round(F.col("value").cast("double"), 2).alias("value"))
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query(
     "read_groupings",
     """SELECT n_nationkey::varchar AS "nominalCode", n_name AS description, r_name AS account
@@ -155,6 +194,28 @@ def _(spark, sf_dir):
     return read_groupings(spark, path).select("nominalCode", "description", "account")
 
 
+@query(
+    "read_groupings_mixed",
+    """SELECT s_suppkey::varchar AS "nominalCode", s_name AS description, n_name AS account,
+      CASE WHEN s_nationkey % 2 = 0 THEN trunc(s_acctbal)::int::varchar END AS "accountSubtype" FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+)
+def _(spark, sf_dir):
+    """Many responses as JSON lines in several files, one per nation, both shapes in one folder."""
+    path = scratch_path(spark, "responses")
+    suppliers = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    flat = suppliers.where("s_nationkey % 2 = 0").groupBy("s_nationkey").agg(
+        F.expr("collect_list(named_struct('nominalCode', s_suppkey, 'description', s_name, 'account', n_name, 'accountSubtype', cast(s_acctbal AS int)))").alias("g")
+    )
+    nested = suppliers.where("s_nationkey % 2 = 1").groupBy("s_nationkey", (F.col("s_suppkey") % 3).alias("grouper")).agg(
+        F.expr("collect_list(named_struct('nominalCode', cast(s_suppkey AS string), 'glAccountName', s_name, 'accountType', n_name, 'grouperId', 1))").alias("g")
+    )
+    nested = nested.groupBy("s_nationkey").agg(F.expr("collect_list(named_struct('id', grouper, 'grouper', named_struct('groupingCodes', g)))").alias("g"))
+    first = flat.selectExpr("to_json(named_struct('data', named_struct('nominalCodeMappings', named_struct('grouping', g)))) AS value")
+    second = nested.selectExpr("to_json(named_struct('data', named_struct('getDataIngestionGroupings', g))) AS value")
+    first.unionByName(second).repartition(4).write.text(path)
+    return read_grouping_lines(spark, path).select("nominalCode", "description", "account", "accountSubtype")
+
+
 # Events as a report whose cells partly cannot be mapped.
 _EVENT_FIELDS = {
     "fields": [
@@ -240,3 +301,23 @@ def _(spark, sf_dir):
     return document.select(
         *[F.get_json_object("value", f"$.glDetail.{path}").cast(kind).alias(name) for name, (path, kind) in paths.items()]
     )
+
+
+@query(
+    "scorecard_names",
+    r"""SELECT name, filled FROM (SELECT unnest([{'name': 'a"b', 'filled': count(p_size)}, {'name': 'back\slash', 'filled': count(p_name)},
+      {'name': 'two' || chr(10) || 'lines', 'filled': count(p_brand)}, {'name': 'glAccountNumber', 'filled': count(p_partkey)}], recursive := true) FROM part)
+      WHERE filled > 0""",
+)
+def _(spark, sf_dir):
+    """Field names with signs that JSON escapes, picked out of the scorecard's text."""
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_size").alias('a"b'), F.col("p_name").alias("back\\slash"), F.col("p_brand").alias("two\nlines"), F.col("p_partkey").alias("glAccountNumber")
+    )
+    document = scorecard_document(scorecard(parts, "ChartOfAccounts"), METRIC_ORDER)
+    listed = F.from_json(F.get_json_object("value", "$.ChartOfAccounts.profile[0].fieldsFilled.fields"), "array<string>")
+    names = document.select(F.explode(listed).alias("name"))
+    counts = parts.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in parts.columns]).selectExpr("explode(map(" + ", ".join(
+        f"'{k}', `{c}`" for k, c in zip("1234", parts.columns)) + ")) AS (k, filled)")
+    order = F.array(*[F.lit(c) for c in parts.columns])
+    return names.join(counts, F.array_position(order, names["name"]) == counts["k"].cast("int")).select("name", "filled")

@@ -8,8 +8,9 @@ from ledgerloom.catalog.registry import query
 from ledgerloom.catalog.tables import GROUPING_SQL, grouping, table
 from ledgerloom.operators.coverage import kept_reports, missing_files, untracked_files
 from ledgerloom.operators.grouping import group_by_code_and_name
-from ledgerloom.plans.group import group_trial_balance
-from ledgerloom.runtime import literal_rows
+from ledgerloom.plans.group import group_trial_balance, write_grouped
+from ledgerloom.runtime import literal_rows, scratch_path
+from ledgerloom.sources.reports import read_headed_csv
 
 # Some names differ from the grouping's, so the composite key leaves rows unmatched.
 _TB_SPARK = [
@@ -90,6 +91,39 @@ def _(spark, sf_dir):
     return _grouped(spark, sf_dir).accounts
 
 
+def _written_groups(spark, sf_dir) -> str:
+    folder = scratch_path(spark, "grouped")
+    write_grouped(_grouped(spark, sf_dir), grouping(spark, sf_dir), folder)
+    return folder
+
+
+@query(
+    "write_grouped",
+    _LEFT + """SELECT glAccountNumber::varchar AS "glAccountNumber", account, amountEnding AS "amountEnding" FROM joined""",
+)
+def _(spark, sf_dir):
+    """The grouped table as it is exported."""
+    written = read_headed_csv(spark, f"{_written_groups(spark, sf_dir)}/trialBalance_grouped.csv")
+    return written.select("glAccountNumber", "account", F.col("amountEnding").cast("double").alias("amountEnding"))
+
+
+@query(
+    "grouping_json",
+    _LEFT.rstrip()
+    + f""", {_CATEGORIES_SQL}
+    SELECT 'code' AS part, nominalCode AS name, coalesce(account, 'nan') AS value FROM grp
+    UNION ALL SELECT 'quality', 'mapped_codes', count(DISTINCT CASE WHEN account IS NOT NULL THEN glAccountNumber END)::varchar FROM joined
+    UNION ALL SELECT 'account', category, account FROM (SELECT DISTINCT category, account FROM cat JOIN joined ON contains(lower(account), word))""",
+)
+def _(spark, sf_dir):
+    """The JSON files of a grouping, read back: its rows, its quality block and the accounts of each category."""
+    folder = f"{_written_groups(spark, sf_dir)}/grouping"
+    codes = spark.read.json(f"{folder}/grouping").select(F.lit("code").alias("part"), F.col("nominalCode").alias("name"), F.col("accountType").alias("value"))
+    quality = spark.read.json(f"{folder}/quality").select(F.lit("quality"), F.lit("mapped_codes"), F.col("mapped_codes").cast("string"))
+    accounts = spark.read.json(f"{folder}/accounts").select(F.lit("account"), "category", "account")
+    return codes.union(quality).union(accounts)
+
+
 # Files named after regions stand for uploads; every nation expects one file.
 _UPLOADED = "concat(lower(r_name), '.csv')"
 _EXPECTED = "concat(CASE WHEN n_nationkey < 20 THEN lower(r_name) ELSE lower(n_name) END, '.csv')"

@@ -10,8 +10,8 @@ from ledgerloom.catalog.tables import table
 from ledgerloom.plans.conform import conform
 from ledgerloom.runtime import scratch_path
 from ledgerloom.sinks.writers import write_table
-from ledgerloom.sources.reports import SURPLUS, UNCLOSED, read_headed_csv, read_report
-from ledgerloom.spec import Exclusion, ExclusionRule, FileTemplate, ReportSpec, reports_from_mapping
+from ledgerloom.sources.reports import SURPLUS, UNCLOSED, read_headed_csv, read_report, read_report_with_check
+from ledgerloom.spec import Exclusion, ExclusionRule, FileTemplate, HeaderCheck, ReportSpec, reports_from_mapping
 
 _PREAMBLE = ("Closing figures,,", "Harbour Mill,,", ",,", "All branches,,", "Account,Balance,", ",,")
 
@@ -110,6 +110,56 @@ def _(spark, sf_dir):
     return read_report(spark, path, surplus=True).select("code", "size", SURPLUS)
 
 
+_ENTRY_CHECK = HeaderCheck.from_dict(
+    {
+        "fields": [
+            {"field_name": "Ledger code", "cdm_field_names": ["glAccountNumber"]},
+            {"field_name": "In", "cdm_field_names": ["amount", "amountCreditDebitIndicator"]},
+            {"field_name": "Out", "cdm_field_names": ["amount"]},
+            {"field_name": "Remark", "cdm_field_names": []},
+        ],
+        "mandatory_field_check": [
+            {"cdm_field_name": "glAccountNumber", "occurrence_count": 1},
+            {"cdm_field_name": "amount", "occurrence_count": 2},
+        ],
+    }
+)
+
+
+@query(
+    "read_report_found_header",
+    """SELECT p_partkey::varchar AS code, CASE WHEN p_size % 2 = 0 THEN p_size::varchar END AS taken_in,
+      CASE WHEN p_size % 2 = 1 THEN p_size::varchar END AS paid_out, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS remark FROM part""",
+)
+def _(spark, sf_dir):
+    """Preambles of no to four lines, some of which name a column, and two orders of columns."""
+    path = scratch_path(spark, "headers")
+    parts = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey % 5 AS file", "p_partkey + 100 AS place",
+        "CASE WHEN p_size % 2 = 0 THEN p_size ELSE '' END AS taken_in", "CASE WHEN p_size % 2 = 1 THEN p_size ELSE '' END AS paid_out",
+        "p_partkey AS code", "p_brand",
+    )
+    remarked = F.col("code") % 3 == 0
+    lines = parts.where("file < 4").select(
+        "file", "place",
+        F.when(F.col("file") % 2 == 0, F.concat_ws(",", "code", "taken_in", "paid_out", F.when(remarked, F.col("p_brand")).otherwise("")))
+        .otherwise(F.concat_ws(",", F.when(remarked, F.col("p_brand")).otherwise(""), "paid_out", "code", "taken_in")).alias("value"),
+    )
+    last = parts.where("file = 4").select("file", "place", F.concat_ws(",", "taken_in", "code", "paid_out", F.when(remarked, F.col("p_brand")).otherwise("")).alias("value"))
+    files = parts.select("file").distinct()
+    preamble = files.select("file", F.explode(F.expr("slice(sequence(1, 4), 1, cast(file AS int))")).alias("place")).selectExpr(
+        "file", "cast(place AS bigint) AS place", "CASE WHEN place % 2 = 0 THEN 'In,,' ELSE 'Ledger code and Out of all branches,,' END AS value"
+    )
+    heads = files.selectExpr(
+        "file", "50L AS place",
+        "CASE WHEN file = 4 THEN 'In,Ledger code,\"Out\",Remark' WHEN file % 2 = 0 THEN 'Ledger code,In,Out,Remark' ELSE 'Remark,Out,Ledger code, In ' END AS value",
+    )
+    every = lines.unionByName(last).unionByName(preamble).unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
+    every.select("file", "value").write.partitionBy("file").text(path)
+    report = read_report_with_check(spark, path, _ENTRY_CHECK)
+    return report.select(F.col("Ledger code").alias("code"), F.col("In").alias("taken_in"), F.col("Out").alias("paid_out"), F.col("Remark").alias("remark"))
+
+
 def _broken_parts(spark: SparkSession, sf_dir: str) -> str:
     """Seven files of parts with quoted cells over two lines, closed but for one in the middle of each file."""
     path = scratch_path(spark, "unclosed")
@@ -170,7 +220,7 @@ def _(spark, sf_dir):
     return found
 
 
-def _two_files(spark: SparkSession, sf_dir: str) -> tuple[list[ReportSpec], str]:
+def _two_files(spark: SparkSession, sf_dir: str, more: tuple[dict, ...] = ()) -> tuple[list[ReportSpec], str]:
     """Orders exported as two files in one order; every 11th amount is no number."""
     folder = scratch_path(spark, "pair")
     orders = table(spark, sf_dir, "orders").orderBy("o_orderkey")
@@ -189,7 +239,31 @@ def _two_files(spark: SparkSession, sf_dir: str) -> tuple[list[ReportSpec], str]
         field("journalId", "string", "names.csv", "code"),
         field("head", "string", "names.csv", "name", map_type="calculated", operation="SPLIT", characters="7"),
     ]
-    return reports_from_mapping({"fields": rows}), folder
+    return reports_from_mapping({"fields": [*rows, *more]}), folder
+
+
+def _of_both_files(target: str, operation: str, **more) -> dict:
+    sources = [{"file_name": f"{file}.csv", "field_name": name, "order": k} for k, (file, name) in enumerate((("amounts", "amount"), ("names", "code")), 1)]
+    return {"cdm_field": target, "data_type": "decimal", "report_type": "glDetail", "map_type": "calculated", "operation": operation,
+            "erp_fields": sources, **more}
+
+
+@query(
+    "map_cross_file_guard",
+    """SELECT o_orderkey::varchar AS "journalId", NULL::varchar AS both, NULL::varchar AS formula, NULL::varchar AS ranged,
+      'both: Using fields of different input files; formula: Multiple files used for the conversion.' AS errors
+    FROM orders WHERE o_orderkey % 11 <> 0""",
+)
+def _(spark, sf_dir):
+    """Fields that would need two files stay empty, and the mapping's errors are in the error table."""
+    more = (_of_both_files("both", "SUM"), _of_both_files("formula", "MC", expression="<1> + <2>"), _of_both_files("ranged", "DCI3"))
+    reports, folder = _two_files(spark, sf_dir, more)
+    out = scratch_path(spark, "out")
+    conform(spark, reports, folder, out, mode="quarantine")
+    errors = read_headed_csv(spark, f"{out}/errors.csv").where("data_row IS NULL")
+    said = errors.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(": ", "cdm_field", "error"))), "; ").alias("errors"))
+    written = read_headed_csv(spark, f"{out}/glDetail.csv")
+    return written.select("journalId", "both", "formula", "ranged", said.scalar().alias("errors"))
 
 
 @query(

@@ -205,6 +205,33 @@ _text_query(
     "THEN 'The value ' || day || ' is not in the proper Date Format' END",
 )
 
+# Weekday, month name, fraction and zone beside the date; every fifth cell lacks its weekday.
+_LONG_DATE = [
+    "p_partkey",
+    "CASE p_partkey % 5 WHEN 0 THEN '7 March 2021 10:20:30.25 +0100' WHEN 1 THEN 'Sunday, 7 March 2021 10:20:30.25 +0100'"
+    " WHEN 2 THEN concat('Fri, ', 1 + p_size % 28, ' Jan 2021 03:04:05.000001 Z') WHEN 3 THEN ''"
+    " ELSE concat('Monday, ', 1 + p_size % 40, ' April 1998 23:59:59.9 -03:30') END AS day",
+    "p_size",
+]
+_LONG_VALUE = """CASE p_partkey % 5 WHEN 1 THEN '2021-03-07T10:20:30Z'
+    WHEN 4 THEN CASE WHEN p_size % 40 < 30 THEN '1998-04-' || printf('%02d', 1 + p_size % 40) || 'T23:59:59Z' END END"""
+_text_query(
+    "map_date_mask_codes",
+    "part",
+    _LONG_DATE,
+    _row(None, "day", map_type="date-mask", date_format="%A, %d %B %Y %H:%M:%S.%f %z"),
+    _LONG_VALUE,
+    f"CASE WHEN day <> '' AND ({_LONG_VALUE}) IS NULL THEN 'The value ' || day || ' is not in the proper Date Format' END",
+)
+_text_query(
+    "map_date_mask_unknown",
+    "part",
+    _LONG_DATE,
+    _row(None, "day", map_type="date-mask", date_format="%Q %d"),
+    "NULL::varchar",
+    "CASE WHEN day <> '' THEN 'The value ' || day || ' is not in the proper Date Format' END",
+)
+
 # Account names with codes in the forms exports use.
 _ACCOUNT = [
     "p_partkey",

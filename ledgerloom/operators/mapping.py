@@ -262,7 +262,11 @@ def _direct(row: MappingRow, cells: Cells, names: list[str]) -> list[Mapped]:
 
 def _date_mask(row: MappingRow, cells: Cells, names: list[str]) -> list[Mapped]:
     c = cells.text(names[0])
-    value = dates.masked_timestamp(F.when(c != "", c), row.date_format)
+    try:
+        value = dates.masked_timestamp(F.when(c != "", c), row.date_format)
+    except ValueError:
+        # No cell can be read with an unknown code; each says so.
+        value = F.lit(None).cast("string")
     error = F.when((c != "") & value.isNull(), _message(BAD_DATE, c))
     return [_result(row, value, error, names[0])]
 

@@ -26,7 +26,7 @@ from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.group import group_trial_balance, write_grouped
 from ledgerloom.runtime import durable, literal_rows, scratch_scope
 from ledgerloom.sinks.writers import write_scorecard, write_table
-from ledgerloom.sources.reports import ORD, SURPLUS, UNCLOSED, read_report
+from ledgerloom.sources.reports import ORD, SURPLUS, UNCLOSED, read_report, read_report_with_check
 from ledgerloom.spec import FileTemplate, MappingRow, ReportSpec, TypedField
 
 _ERRORS, _OK, ROW = "_errors", "_ok", "_row"
@@ -197,7 +197,11 @@ def _read_and_check(
     checked = {}
     for name, fields in report.file_fields().items():
         template = report.templates.get(name, FileTemplate())
-        raw = read_report(spark, f"{folder}/{name}", template.start_row, template.multiline, surplus=True, unclosed=True)
+        file, whole = f"{folder}/{name}", {"multiline": template.multiline, "surplus": True, "unclosed": True}
+        if template.header:
+            raw = read_report_with_check(spark, file, template.header, **whole)
+        else:
+            raw = read_report(spark, file, template.start_row, **whole)
         checked[name] = check_file(raw, name, fields, template)
     return checked
 

@@ -38,8 +38,14 @@ def write_preview(df: DataFrame, path: str, rows: int = 10, order_by: str | None
     preview(df, rows, order_by).write.mode("overwrite").text(path)
 
 
+def _quoted(text: Column) -> Column:
+    """A text as JSON, its quote signs, backslashes and line breaks escaped."""
+    held = F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("v")))
+    return F.substring(held, F.lit(len('{"v":') + 1), F.length(held) - len('{"v":}'))
+
+
 def _object(name: Column, body: Column) -> Column:
-    return F.concat(F.lit('{"'), name, F.lit('": '), body, F.lit("}"))
+    return F.concat(F.lit("{"), _quoted(name), F.lit(": "), body, F.lit("}"))
 
 
 def _joined(parts: Column) -> Column:
@@ -53,7 +59,7 @@ def _whole(c: Column) -> Column:
 def _metric_json() -> Column:
     """One metric row as JSON text, in the layout of its section."""
     fields = F.coalesce(F.col("fields"), F.array().cast("array<struct<name:string,percent:int,present:boolean>>"))
-    names = F.transform(fields, lambda f: F.concat(F.lit('"'), f["name"], F.lit('"')))
+    names = F.transform(fields, lambda f: _quoted(f["name"]))
     shares = F.transform(fields, lambda f: _object(f["name"], f["percent"].cast("string")))
     flags = F.transform(fields, lambda f: _object(f["name"], f["present"].cast("string")))
     count_name = F.when(F.col("metric") == "fieldsFilled", "filled").otherwise("empty")
@@ -69,7 +75,7 @@ def _metric_json() -> Column:
     sequence_field = F.concat(
         F.lit('{"journalId": '), F.element_at("fields", 1)["present"].cast("string"),
         F.lit(', "show_warning": '), warned.cast("string"),
-        F.when(warned, F.concat(F.lit(', "warning": "'), F.col("warning"), F.lit('"'))).otherwise(""),
+        F.when(warned, F.concat(F.lit(', "warning": '), _quoted(F.col("warning")))).otherwise(""),
         F.lit("}"),
     )
     sequence = F.concat(
@@ -83,7 +89,7 @@ def _metric_json() -> Column:
         F.when(F.col("section") == "statistical", F.col("value").cast("string"))
         .when(F.col("section") == "profile", profile)
         .when(F.col("metric") == "missingSequentialItems", sequence)
-        .when(F.col("outcome").isNotNull(), F.concat(F.lit('"'), F.col("outcome"), F.lit('"')))
+        .when(F.col("outcome").isNotNull(), _quoted(F.col("outcome")))
         .otherwise(presence)
     )
     return _object(F.col("metric"), body)
@@ -105,7 +111,7 @@ def scorecard_document(scorecard: DataFrame, metric_order: Sequence[str]) -> Dat
 
     sections = [section(n) for n in ("statistical", "business_rule", "profile")]
     entities = rows.groupBy("entity").agg(F.concat_ws(", ", *sections).alias("s"))
-    member = F.concat(F.lit('"'), F.col("entity"), F.lit('": {'), F.col("s"), F.lit("}"))
+    member = F.concat(_quoted(F.col("entity")), F.lit(": {"), F.col("s"), F.lit("}"))
     listed = F.array_join(F.array_sort(F.collect_list(member)), ", ")
     return entities.agg(F.concat(F.lit("{"), listed, F.lit("}")).alias("value"))
 

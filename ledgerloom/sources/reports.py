@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import csv
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.clean import drop_all_null, null_tokens_to_null, repaired_header
 from ledgerloom.operators.ordinals import journal_line_numbers, order_bucket
 from ledgerloom.runtime import durable, lookup_side, scratch_path
+from ledgerloom.spec import HeaderCheck
 
 ORD = "_ord"
 FALLBACK_ENCODING = "ISO-8859-1"
@@ -231,17 +235,72 @@ def _header(lines: DataFrame, start_row: int) -> tuple[int, list[str]]:
     return found["_line"], repaired_header(next(csv.reader([found["value"].lstrip("\ufeff")])))
 
 
-def _body(spark: SparkSession, path: str, start_row: int, multiline: bool) -> tuple[DataFrame, list[str]]:
-    """Lines below the header, and the header's names."""
+def _whole_lines(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
     lines = read_lines(spark, path)
     if multiline and not lines.filter(F.col("_quoted") & _inside_after(F.col("value"), False)).isEmpty():
-        lines = join_quoted_lines(lines)
-    else:
-        lines = lines.withColumn("_unclosed", F.lit(False))
+        return join_quoted_lines(lines)
+    return lines.withColumn("_unclosed", F.lit(False))
+
+
+def _body(spark: SparkSession, path: str, start_row: int, multiline: bool) -> tuple[DataFrame, list[str]]:
+    """Lines below the header, and the header's names."""
+    lines = _whole_lines(spark, path, multiline)
     header_line, names = _header(lines, start_row)
     return lines.filter((F.col("_line") > header_line) & (F.trim("value") != "")), names
 
 
+def find_headers(lines: DataFrame, check: HeaderCheck) -> DataFrame:
+    """``_file, _head, _names`` of the first line of each file that holds enough columns of every checked field.
+
+    A column counts as often as it occurs in the line. Only lines that contain a wanted name are cut into cells.
+    """
+    cells = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(","), F.replace("value", F.lit("\ufeff"))), F.lit(_CELL), F.lit(1)),
+        lambda c: F.trim(F.when(c.rlike(_OPENED), F.replace(F.regexp_extract(c, _OPENED, 1), F.lit('""'), F.lit('"'))).otherwise(c)),
+    )
+
+    def held_of(wanted: Sequence[str]) -> Column:
+        return F.size(F.filter(F.col("_cells"), lambda c: c.isin(*wanted)))
+
+    enough, mentioned = F.lit(True), F.lit(True)
+    for target, count in check.occurrences.items():
+        wanted = check.columns.get(target, ())
+        enough &= held_of(wanted) >= count
+        if count > 0:
+            mentioned &= reduce(or_, [F.col("value").contains(w) for w in wanted], F.lit(False))
+    held = lines.filter(mentioned).select("_file", "_line", "value", cells.alias("_cells")).filter(enough)
+    first = held.groupBy("_file").agg(F.min(F.struct("_line", "value")).alias("_first"))
+    return first.select("_file", F.col("_first._line").alias("_head"), F.col("_first.value").alias("_names"))
+
+
+def read_report_with_check(
+    spark: SparkSession, path: str, check: HeaderCheck, multiline: bool = True, surplus: bool = False, unclosed: bool = False
+) -> DataFrame:
+    """Like ``read_report``, but every file's header is its first line that meets ``check``.
+
+    Preambles of the files at ``path`` may differ in length, and headers in the order and choice of columns: the result
+    has every column of any file, by its name without blanks around. A file without such a line stops the read.
+    """
+    lines = _whole_lines(spark, path, multiline)
+    heads = durable(find_headers(lines, check))
+    without = lines.select("_file").distinct().join(heads, "_file", "left_anti").select("_file").first()
+    if without is not None:
+        raise ValueError(f"no header line with the declared columns in {without['_file']}")
+    placed = lines.join(lookup_side(heads, once=False), "_file").filter((F.col("_line") > F.col("_head")) & (F.trim("value") != ""))
+    # Stored, so that no line is held against the header of another file.
+    placed = durable(placed)
+    table = None
+    # One reading per distinct header text, of which an export has a few.
+    for row in heads.select("_names").distinct().orderBy("_names").collect():
+        names = repaired_header([c.strip() for c in next(csv.reader([row["_names"].lstrip("\ufeff")]))])
+        part = _cells(placed.filter(F.col("_names") == row["_names"]), names, surplus, unclosed)
+        table = part if table is None else table.unionByName(part, allowMissingColumns=True)
+    if table is None:
+        raise ValueError("no file to read")
+    stored = durable(null_tokens_to_null(table, keep=[ORD]))
+    return drop_all_null(stored, keep=[ORD])
+
+
 def _beyond(value: Column, width: int) -> Column:
     """The non-blank cells of a line after its first ``width``, however many, joined; null for lines of few commas."""
     every = F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(_CELL), F.lit(1))

@@ -7,7 +7,7 @@ files and step lists are exchanged.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 NUMERIC_TYPES = ("decimal", "number", "integer")
@@ -112,12 +112,33 @@ class Exclusion:
         return cls(rules, raw.get("aggr", "or"))
 
 
+@dataclass(frozen=True)
+class HeaderCheck:
+    """What a header line must hold: the source columns of each canonical field, and how many of them at least."""
+
+    columns: Mapping[str, tuple[str, ...]]
+    occurrences: Mapping[str, int]
+
+    @classmethod
+    def from_dict(cls, raw: Mapping[str, Any]) -> HeaderCheck:
+        """From an input file's declared ``fields`` and ``mandatory_field_check``."""
+        columns: dict[str, list[str]] = {}
+        for declared in raw["fields"]:
+            for target in declared.get("cdm_field_names") or ():
+                columns.setdefault(target, []).append(declared["field_name"])
+        wanted = {r["cdm_field_name"]: int(r["occurrence_count"]) for r in raw["mandatory_field_check"]}
+        return cls({t: tuple(c) for t, c in columns.items()}, wanted)
+
+
 @dataclass(frozen=True)
 class FileTemplate:
+    """With ``header`` the header is the first line that meets the check, wherever it stands; else it is at ``start_row``."""
+
     start_row: int = 1
     exclusion: Exclusion | None = None
     drop_trailing_total: bool = False
     multiline: bool = True
+    header: HeaderCheck | None = None
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any]) -> FileTemplate:
@@ -164,10 +185,19 @@ def reports_from_mapping(
     return [ReportSpec(name, tuple(rows), dict(templates or {})) for name, rows in grouped.items()]
 
 
-def templates_from_extract(extract: Mapping[str, Any]) -> dict[str, FileTemplate]:
-    """File templates of one extract, keyed by uploaded name ``<report>_<file>``."""
+def templates_from_extract(extract: Mapping[str, Any], find_headers: bool = False) -> dict[str, FileTemplate]:
+    """File templates of one extract, keyed by uploaded name ``<report>_<file>``.
+
+    With ``find_headers``, files with a declared field check are searched for their header line.
+    """
+
+    def template(item: Mapping[str, Any]) -> FileTemplate:
+        found = FileTemplate.from_dict(item["template"])
+        checked = find_headers and item.get("mandatory_field_check")
+        return replace(found, header=HeaderCheck.from_dict(item)) if checked else found
+
     return {
-        f"{report['report_type']}_{item['file_name']}": FileTemplate.from_dict(item["template"])
+        f"{report['report_type']}_{item['file_name']}": template(item)
         for report in extract["reports"]
         for item in report["input_files"]
     }

@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.groupings import read_groupings
-from ledgerloom.sources.reports import _beyond, read_headed_csv, read_lines, read_report
+from ledgerloom.sources.groupings import read_grouping_lines, read_groupings
+from ledgerloom.sources.reports import _beyond, read_headed_csv, read_lines, read_report, read_report_with_check
+from ledgerloom.spec import HeaderCheck
 
 REPORT = """Closing Figures,,,
 Harbour Mill,,,
@@ -225,3 +226,29 @@ def test_groupings_in_both_shapes(spark, tmp_path, response):
 def test_groupings_without_rows(spark, tmp_path):
     with pytest.raises(ValueError, match="no grouping"):
         read_groupings(spark, _write(tmp_path / "g.json", '{"data": {"other": 1}}'))
+
+
+def test_grouping_lines_of_either_shape(spark, tmp_path):
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    flat = '{"data": {"nominalCodeMappings": {"grouping": [{"nominalCode": "1", "account": "A", "description": "x"}, {"nominalCode": 2}]}}}'
+    nested = '{"data": {"getDataIngestionGroupings": [{"grouper": {"groupingCodes": [{"nominalCode": "3", "accountType": "B"}]}}, {"id": 1}]}}'
+    _write(folder / "a.json", flat + "\n" + nested + "\n\n")
+    _write(folder / "b.json", '{"data": null}\n{"data": {"nominalCodeMappings": {"grouping": []}}}\n' + nested.replace('"3"', '"4"'))
+    rows = read_grouping_lines(spark, str(folder)).select("nominalCode", "account", "description").collect()
+    assert sorted(map(tuple, rows)) == [("1", "A", "x"), ("2", None, None), ("3", "B", None), ("4", "B", None)]
+
+
+def test_found_headers(spark, tmp_path):
+    check = HeaderCheck({"amount": ("Debit", "Credit"), "code": ("Account",)}, {"amount": 2, "code": 1})
+    folder = tmp_path / "found"
+    folder.mkdir()
+    _write(folder / "a.csv", "Debit report\nDebit,Account,,\n\nAccount,Debit,Credit,Debit\n1,2,3,4\nAccount,Debit,Credit,Debit\n")
+    _write(folder / "b.csv", '﻿"Credit", Account ,Debit\n5,"6\n7",8\n')
+    rows = read_report_with_check(spark, str(folder), check)
+    assert set(rows.columns) == {"_ord", "Account", "Debit", "Credit", "Debit.1"}
+    found = [tuple(r[c] for c in ("Account", "Debit", "Credit", "Debit.1")) for r in rows.orderBy("_ord").collect()]
+    assert found == [("1", "2", "3", "4"), ("Account", "Debit", "Credit", "Debit"), ("6\n7", "8", "5", None)]
+    _write(folder / "c.csv", "Account,Debit\n1,2\n")
+    with pytest.raises(ValueError, match="no header line"):
+        read_report_with_check(spark, str(folder), check)
