@@ -183,17 +183,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, n_shingles, component_id, kept, text_hash`` of every row of ``docs``; other columns are left out.
 
     Texts without words have no shingles and are linked with nothing; texts of fewer than five words have one. Rows
-    with equal sets are linked. Rows of one ``doc_id`` are one document. A row with null id is judged by its text, but
-    cannot name a component; alone, it gets a null component and is kept. An empty table gives no rows.
+    with equal sets are linked, whatever their ids, and each text of a ``doc_id`` with several is judged by itself. A row
+    with null id is linked by its text like others, but cannot name a component: where no linked row has an id, the
+    component is null and its rows are kept. An empty table gives no rows. Texts of any length are read whole.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = durable(arrow_map(rows.withColumn("text_hash", F.xxhash64("text")), _signed, SIGNED))
+    # Equal digests have equal keys and signatures; a class stands for itself under a number, not under an id of its rows.
     classes = (
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        signed.where("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min(F.struct(F.col("doc_id").alias("id"), "keys", "signature")).alias("r"))
+        .agg(F.min(F.struct("text_hash", "keys", "signature")).alias("r"), F.min("doc_id").alias("least_id"))
     )
-    classes = durable(classes.select("digest", "r.*"))
+    classes = durable(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "r.*", "least_id"))
     bands = classes.select("id", F.explode("keys").alias("key"))
     order = F.struct(F.xxhash64("id").alias("h"), "id")
     shared = bands.groupBy("key").agg(
@@ -207,34 +209,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         signatures.select(F.col("id").alias("centre"), F.col("signature").alias("other")), "centre"
     )
     pairs = durable(pairs.where(_fields_equal(F.col("signature"), F.col("other")) >= _equal_needed()).select("id", "centre"))
-    first = durable(_centre_links(rows, pairs))
+    shown = rows.withColumn("text_hash", F.xxhash64("text"))
+    representatives = classes.select("id", "text_hash")
+    first = durable(_centre_links(shown, representatives, pairs))
     found = components(first)
-    apart = _apart_links(rows, bands, shared, signatures, found)
-    named = components(first.select("a", "b").union(apart))
-    digests = classes.select("digest", F.col("id").alias("own")).join(named, F.col("own") == F.col("id"), "left")
-    digests = digests.groupBy("digest").agg(F.min(F.coalesce("component", "own")).alias("component"))
-    # A document with several texts belongs to the least of their components.
+    apart = _apart_links(shown, representatives, bands, shared, signatures, found)
+    named = components(first.select("a", "b").union(apart)).withColumnRenamed("id", "own")
+    digests = classes.select("id", "digest", "least_id").join(named, F.col("own") == F.col("id"), "left")
+    digests = digests.select("digest", "least_id", F.coalesce("component", "id").alias("component"))
+    names = digests.groupBy("component").agg(F.min("least_id").alias("name"))
+    digests = digests.join(names, "component").select("digest", "name")
     joined = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(digests, "digest", "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.when(F.col("n_shingles") > 0, F.col("name")).otherwise(F.col("doc_id"))
     return joined.select(
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.col("component").isNull()).alias("kept"),
+        F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
         "text_hash",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with only the document of least id of each component. Rows that repeat an id and its text are one
-    document and stay together; null ids go when another document has their text."""
+    document and stay together; rows of null id go when a row with an id is linked with them."""
     gone = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     gone = lookup_side(gone.distinct())
     own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     return docs.join(gone, F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (own == F.col("_hash")), "left_anti")
 
 
-def _centre_links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+def _texts(rows: DataFrame, representatives: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, text`` of the wanted classes: copies of a text are made one before anything is shuffled."""
+    hashes = lookup_side(representatives.join(wanted.select("id").distinct(), "id"))
+    held = rows.select("text_hash", "text").join(hashes.select("text_hash").distinct(), "text_hash", "left_semi")
+    return held.groupBy("text_hash").agg(F.min("text").alias("text")).join(hashes, "text_hash").select("id", "text")
+
+
+def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs of member and centre that are similar on full sets. Members of a large centre spread over salts."""
     salts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / CENTRE_ROWS).cast("int").alias("salts"))
     members = pairs.join(salts, "centre").select(
@@ -243,9 +255,10 @@ def _centre_links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     owners = salts.select(
         F.col("centre").alias("id"), "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own")
     )
-    needed = lookup_side(members.unionByName(owners))
+    needed = durable(members.unionByName(owners))
     grouped = (
-        rows.join(needed, rows["doc_id"] == needed["id"])
+        _texts(rows, representatives, needed)
+        .join(needed, "id")
         .select("id", "centre", "salt", "own", "text")
         .repartition("centre", "salt")
         .sortWithinPartitions("centre", "salt", F.desc("own"))
@@ -253,7 +266,7 @@ def _centre_links(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return arrow_map(grouped, _check_centres, "a bigint, b bigint")
 
 
-def _apart_links(rows: DataFrame, bands: DataFrame, shared: DataFrame, signatures: DataFrame, found: DataFrame) -> DataFrame:
+def _apart_links(rows: DataFrame, representatives: DataFrame, bands: DataFrame, shared: DataFrame, signatures: DataFrame, found: DataFrame) -> DataFrame:
     """Links between components within buckets of three and more members, found by comparing blocks completely."""
     crowded = bands.join(shared.where("members > 2").select("key", "members"), "key")
     crowded = crowded.join(found, "id", "left").select("key", "members", "id", F.coalesce("component", "id").alias("label"))
@@ -272,9 +285,6 @@ def _apart_links(rows: DataFrame, bands: DataFrame, shared: DataFrame, signature
     schema = "key bigint, id bigint, label bigint, signature array<bigint>, block int, i int, j int"
     keys = ["key", "i", "j"]
     met = durable(arrow_map(paired.repartition(*keys).sortWithinPartitions(*keys), _involved, schema))
-    wanted = lookup_side(met.select("id").distinct().withColumnRenamed("id", "wanted"), once=False)
-    texts = rows.join(wanted, rows["doc_id"] == wanted["wanted"], "left_semi")
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    whole = met.join(texts, met["id"] == texts["doc_id"]).drop("doc_id")
+    whole = met.join(_texts(rows, representatives, met), "id").select(*met.columns, "text")
     whole = whole.repartition(*keys).sortWithinPartitions(*keys)
     return arrow_map(whole, _check_blocks, "a bigint, b bigint")

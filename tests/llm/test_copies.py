@@ -87,6 +87,25 @@ def test_near_duplicates_edge_cases(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_id_and_ids_with_several_texts_are_linked(spark):
+    r = random.Random(12)
+    base, other, third = prose(r, 200), prose(r, 120), prose(r, 90)
+    near = lambda t: varied(r, t, 0.01)
+    rows = [(None, near(base)), (7, base), (None, near(base)), (5, other), (5, near(base)), (9, near(other))]
+    rows += [(None, third), (None, near(third)), (None, None)] + [(20 + k, prose(r, 50)) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = near_duplicates(docs).collect()
+    texts = {F_hash: t for F_hash, t in docs.select(F.xxhash64(F.coalesce("text", F.lit(""))), "text").collect()}
+    found = {(x.doc_id, texts[x.text_hash]): (x.component_id, x.kept) for x in out}
+    assert len(out) == len(rows)
+    for i, t in rows[:5]:
+        assert found[i, t] == (5, i == 5), (i, t[:20])
+    assert found[9, rows[5][1]] == (5, False)
+    assert found[None, third] == found[None, rows[7][1]] == found[None, None] == (None, True)
+    kept = sorted(str(x.doc_id) for x in drop_near_duplicates(docs).collect())
+    assert kept == sorted(["5", "5", "None", "None", "None", *[str(20 + k) for k in range(30)]])
+
+
 def test_signature_estimate_follows_similarity():
     r = random.Random(1)
     base = prose(r, 800)
