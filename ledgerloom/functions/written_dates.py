@@ -23,6 +23,14 @@ LINK_WORDS = ("at", "on", "of", "and", "the")
 ORDINAL_ENDINGS = ("st", "nd", "rd", "th")
 SEPARATORS = (",", "/", "-", ".")
 
+_WORDS = {*MONTHS, *LONG_MONTHS, *WEEKDAYS, *ZONES, *LINK_WORDS, *ORDINAL_ENDINGS, "sept", "t", "am", "pm"}
+# What can be a date at all: known words, digits and signs, but no plain year, month and day, which the calendar of the
+# usual forms has settled. Most other cells fall here, before any token is looked at.
+_POSSIBLE = (
+    r"^(?![0-9]{4}[-/. ][0-9]{1,2}[-/. ][0-9]{1,2}$)(?:[0-9\s,/.:+-]|(?:"
+    + "|".join(sorted(_WORDS, key=lambda w: (-len(w), w)))
+    + r")(?![a-z]))++$"
+)
 _TOKEN = r"([0-9]+(?::[0-9]+)+(?:[.,][0-9]+)?|[0-9]+|[a-z]+|[^\sa-z0-9])"
 _CLOCK = r"^(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:[.,][0-9]+)?)?$"
 _OFFSET = r"^(?:[01]?[0-9]|2[0-3])(?::?[0-5][0-9])?$"
@@ -161,7 +169,7 @@ def _calendar(state: Column) -> Column:
         .otherwise(_is_day(leap, n[0], n[1]) | _is_day(leap, n[1], n[0]))
     )
     orders = [_is_day(year[a], n[b], n[c]) for a, b, c in ((2, 0, 1), (2, 1, 0), (0, 1, 2), (0, 2, 1))]
-    triple = F.when(is_year[0], orders[2] | orders[3]).when(is_year[2], orders[0] | orders[1]).otherwise(reduce(lambda x, y: x | y, orders))
+    triple = F.when(is_year[0], orders[2]).when(is_year[2], orders[0] | orders[1]).otherwise(reduce(lambda x, y: x | y, orders))
     plain = (
         F.when(many == 0, state["clock"])
         .when(many == 1, w[0] == 4)
@@ -175,7 +183,8 @@ def is_written_date(c: Column) -> Column:
     """Whether a text is a date, a day and month, a year, a month, or a time, with time and zone optional.
 
     Understood are numbers with or without separators, month names, weekdays, ordinal endings and linking words, in the
-    usual orders, and the calendar with its leap years. A lone day is no date. Null for null text.
+    usual orders, and the calendar with its leap years. A lone day is no date. Plain years, months and days as in
+    2020-01-31 are left to ``DATE_REGEX`` and false here. Null for null text.
     """
     text = F.lower(F.trim(c))
     tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(1))
@@ -183,4 +192,5 @@ def is_written_date(c: Column) -> Column:
         F.lit(True).alias("ok"), F.array().cast("array<int>").alias("numbers"), F.array().cast("array<int>").alias("widths"),
         F.lit(0).alias("month"), F.lit(False).alias("clock"), F.lit(0).alias("zone"), F.lit("").alias("last"),
     ).cast(f"struct<{', '.join(x.replace(' ', ':', 1) for x in _STATE.split(', '))}>")
-    return F.aggregate(tokens, start, _step, lambda s: s["ok"] & (s["zone"] != 2) & (s["last"] != "t") & _calendar(s))
+    read = F.aggregate(tokens, start, _step, lambda s: s["ok"] & (s["zone"] != 2) & (s["last"] != "t") & _calendar(s))
+    return F.when(text.rlike(_POSSIBLE), read).when(text.isNotNull(), F.lit(False))
