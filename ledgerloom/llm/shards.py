@@ -20,6 +20,8 @@ from ledgerloom.runtime import durable
 
 # Rows of one shard are numbered in pieces of about this many.
 PIECE_ROWS = 500_000
+# Slots that one row is expanded to at once.
+RUN_SLOTS = 100_000
 
 
 @dataclass(frozen=True)
@@ -85,7 +87,9 @@ def place(docs: DataFrame, topology: Sequence[Shard], id_col: str = "doc_id", te
     as empty, null ids share one shard, an empty table gives no rows. Repeated rows each get a slot.
 
     Slots count from 0 in each shard without gaps. Equal rows are counted before the shuffle, then rows are numbered
-    in pieces cut by hash; only the pieces' counts are added up, so no task sees a whole shard.
+    in pieces cut by hash; only the pieces' counts are added up, so no task sees a whole shard. Slots of equal rows are
+    dealt in runs, however many there are. Rows of equal id, checksum and size are equal here: they swap slots freely.
+    Texts are read whole, but only their size and checksum move.
     """
     key = F.col(id_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -112,17 +116,22 @@ def place(docs: DataFrame, topology: Sequence[Shard], id_col: str = "doc_id", te
     )
     running = W.partitionBy("shard", "_piece").orderBy(*order, "grown_shard")
     first = F.sum("_n").over(running) - F.col("_n")
-    return (
-        placed.withColumn("_first", first)
-        .join(starts, ["shard", "_piece"])
-        .withColumn("_first", F.col("_first") + F.col("_start"))
-        .select(
-            "doc_id",
-            "size",
-            "text_crc32",
-            F.lit("key").alias("law"),
-            "shard",
-            F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)).alias("slot"),
-            "grown_shard",
-        )
+    numbered = placed.withColumn("_first", first).join(starts, ["shard", "_piece"])
+    # Equal rows get their slots in runs of bounded length, and the runs are spread before they are written out.
+    run = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_n") - 1).cast("bigint"), F.lit(RUN_SLOTS).cast("bigint"))).alias("_at")
+    runs = numbered.select("*", run).withColumns(
+        {
+            "_from": F.col("_first") + F.col("_start") + F.col("_at"),
+            "_slots": F.least(F.lit(RUN_SLOTS), F.col("_n") - F.col("_at")),
+        }
+    )
+    runs = runs.select("doc_id", "size", "text_crc32", "shard", "grown_shard", "_from", "_slots").repartition("doc_id", "_from")
+    return runs.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        "shard",
+        F.explode(F.sequence("_from", F.col("_from") + F.col("_slots") - 1)).alias("slot"),
+        "grown_shard",
     )

@@ -226,6 +226,17 @@ def test_place_numbers_pieces(spark, monkeypatch):
     assert PIECE_ROWS > 10
 
 
+@pytest.mark.parametrize("run", [1, 3, 100_000])
+def test_slots_of_many_equal_rows_come_in_runs(spark, monkeypatch, run):
+    monkeypatch.setattr("ledgerloom.llm.shards.RUN_SLOTS", run)
+    rows = [(None, "")] * 40 + [(1, "x")] * 7 + [(k, "y" * k) for k in range(2, 30)]
+    out = place(spark.createDataFrame(rows, "doc_id bigint, text string"), grid(3)).collect()
+    assert Counter((r.doc_id, r.size) for r in out) == Counter((i, len(t) + 16) for i, t in rows)
+    for shard in {r.shard for r in out}:
+        slots = sorted(r.slot for r in out if r.shard == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_changed_weights_move_rows_only_out_of_or_into_their_subtree(spark):
     old = grid(12, 3, 2)
     new = tuple(Shard(s.number, s.rack, s.region, 3.0 if s.number == 4 else s.weight) for s in old)
