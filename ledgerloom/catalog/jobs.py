@@ -136,7 +136,7 @@ def _(spark, sf_dir):
     path = scratch_path(spark, "headers")
     parts = table(spark, sf_dir, "part").selectExpr(
         "p_partkey % 5 AS file", "p_partkey + 100 AS place",
-        "CASE WHEN p_size % 2 = 0 THEN p_size ELSE '' END AS taken_in", "CASE WHEN p_size % 2 = 1 THEN p_size ELSE '' END AS paid_out",
+        "CASE WHEN p_size % 2 = 0 THEN cast(p_size AS string) ELSE '' END AS taken_in", "CASE WHEN p_size % 2 = 1 THEN cast(p_size AS string) ELSE '' END AS paid_out",
         "p_partkey AS code", "p_brand",
     )
     remarked = F.col("code") % 3 == 0
