@@ -30,8 +30,8 @@ BANDS = MINIMA // ROWS
 LONGS = MINIMA * BITS // 64
 # Signature estimates below this are dropped; a pair at 0.75 falls there about once in three million.
 ESTIMATE = 0.55
-# Members of a centre checked in one task, and of a block.
-CENTRE_ROWS, BLOCK_ROWS = 2000, 800
+# Members of a centre checked in one task; members of a block and their shingles together.
+CENTRE_ROWS, BLOCK_ROWS, BLOCK_SHINGLES = 2000, 800, 4_000_000
 # Shingle hashes taken at once when the minima are computed.
 _SLICE = 4096
 _FACTORS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -157,11 +157,26 @@ def _involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from table.filter(pa.array(met)).to_batches()
 
 
+def _with_sets(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, list[np.ndarray]]]:
+    """Whole groups without their texts, and the shingle set of each row. Texts are read in stretches and let go."""
+    held: list[pa.RecordBatch] = []
+    sets: list[np.ndarray] = []
+    for opens, run in runs(batches, keys):
+        if opens and held:
+            yield pa.Table.from_batches(held), sets
+            held, sets = [], []
+        for part in stretches(run, "text"):
+            sets += shingle_sets(part.column("text").to_pylist())
+            # Copied, since columns of a received batch share one buffer with its texts.
+            held.append(part.drop_columns(["text"]).take(pa.array(range(part.num_rows), pa.int64())))
+    if held:
+        yield pa.Table.from_batches(held), sets
+
+
 def _check_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links on full sets that join two components of a block pair, best estimates first."""
-    for table in groups(batches, ["key", "i", "j"]):
+    for table, sets in _with_sets(batches, ["key", "i", "j"]):
         ids, signatures, labels, left = _columns(table)
-        sets = shingle_sets(table.column("text").to_pylist())
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -193,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = (
         signed.where("n_shingles > 0")
         .groupBy("digest")
-        .agg(F.min(F.struct("text_hash", "keys", "signature")).alias("r"), F.min("doc_id").alias("least_id"))
+        .agg(F.min(F.struct("text_hash", "keys", "signature", "n_shingles")).alias("r"), F.min("doc_id").alias("least_id"))
     )
     classes = durable(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "r.*", "least_id"))
     bands = classes.select("id", F.explode("keys").alias("key"))
@@ -213,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     representatives = classes.select("id", "text_hash")
     first = durable(_centre_links(shown, representatives, pairs))
     found = components(first)
-    apart = _apart_links(shown, representatives, bands, shared, signatures, found)
+    apart = _apart_links(shown, representatives, classes, shared, found)
     named = components(first.select("a", "b").union(apart)).withColumnRenamed("id", "own")
     digests = classes.select("id", "digest", "least_id").join(named, F.col("own") == F.col("id"), "left")
     digests = digests.select("digest", "least_id", F.coalesce("component", "id").alias("component"))
@@ -266,14 +281,19 @@ def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame)
     return arrow_map(grouped, _check_centres, "a bigint, b bigint")
 
 
-def _apart_links(rows: DataFrame, representatives: DataFrame, bands: DataFrame, shared: DataFrame, signatures: DataFrame, found: DataFrame) -> DataFrame:
-    """Links between components within buckets of three and more members, found by comparing blocks completely."""
+def _apart_links(rows: DataFrame, representatives: DataFrame, classes: DataFrame, shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Links between components within buckets of three and more members, found by comparing blocks completely.
+
+    A bucket has as many blocks as its members or their shingles need, so a few texts of many shingles fill a block.
+    """
+    bands = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
     crowded = bands.join(shared.where("members > 2").select("key", "members"), "key")
-    crowded = crowded.join(found, "id", "left").select("key", "members", "id", F.coalesce("component", "id").alias("label"))
-    crowded = durable(crowded)
-    split = crowded.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("key")
-    open_rows = crowded.join(split, "key").join(signatures, "id")
-    blocks = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
+    label = F.coalesce("component", "id").alias("label")
+    crowded = durable(crowded.join(found, "id", "left").select("key", "members", "id", "n_shingles", label))
+    split = crowded.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum("n_shingles").alias("volume"))
+    split = split.where("a <> b").select("key", "volume")
+    open_rows = crowded.join(split, "key").join(classes.select("id", "signature"), "id")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_ROWS), F.ceil(F.col("volume") / BLOCK_SHINGLES)).cast("int")
     open_rows = open_rows.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     paired = open_rows.select(
         "key", "id", "label", "signature", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")

@@ -75,6 +75,24 @@ def test_components_like_all_pairs(spark, monkeypatch, block, centre):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {c for _, c in want.values()}
 
 
+def test_blocks_are_cut_by_shingles_too(spark, monkeypatch):
+    """Few members of many shingles fill a block."""
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
+    rows = near_rows()
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in out} == plain_components(rows)
+
+
+def test_groups_hold_sets_instead_of_texts():
+    texts = ["a b c d e f " * 3, "g h i j k l", None, "m " * 400_000]
+    batch = pa.RecordBatch.from_pydict({"key": [1, 1, 2, 2], "i": [0, 0, 0, 0], "j": [0, 0, 0, 0], "id": [1, 2, 3, 4], "text": texts})
+    found = list(minhash._with_sets(iter([batch.slice(0, 3), batch.slice(3)]), ["key", "i", "j"]))
+    assert [table.column("id").to_pylist() for table, _ in found] == [[1, 2], [3, 4]]
+    assert all("text" not in table.column_names for table, _ in found)
+    for (_, sets), own in zip(found, (texts[:2], texts[2:])):
+        assert [s.tolist() for s in sets] == [s.tolist() for s in shingle_sets(own)]
+
+
 def test_near_duplicates_edge_cases(spark):
     text = "a b c d e f g h"
     rows = [(1, text), (1, text), (None, text), (2, text), (None, "else where"), (3, None), (3, "")]
