@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.registry import query
@@ -168,6 +170,40 @@ def _(spark, sf_dir):
     return labelled("d", "sum").unionByName(labelled("c", "count"))
 
 
+# Steps of several sources, one of them keeping a row once per condition it meets.
+_SHARED_STEPS = [
+    Step("1", "Net"),
+    Step("2", "Filter", "", (Condition("businessUnitCode", "eq", "3"), Condition("localAmount", "gt", "50000")), "or"),
+    Step("3", "Count", "2", (Condition("enteredBy"), Condition("glAccountNumber", unique=True))),
+    Step("4", "Filter", "2", (Condition("amountCreditDebitIndicator", "eq", "C"),)),
+    Step("5", "Sum", "4", (Condition("localAmount"),)),
+    Step("6", "Count", "4", (Condition("businessUnitCode", unique=True), Condition("journalId"))),
+]
+
+
+@query(
+    "step_dag_shared",
+    f"""WITH {GL_SQL}, u AS (
+      SELECT * FROM gl WHERE try_cast(businessUnitCode AS double) = 3 UNION ALL SELECT * FROM gl WHERE localAmount > 50000),
+    v AS (SELECT * FROM u WHERE amountCreditDebitIndicator = 'C')
+    SELECT '1' AS step, 1::bigint AS condition_no, round(sum(CASE WHEN amountCreditDebitIndicator = 'D' THEN amount
+      WHEN amountCreditDebitIndicator = 'C' THEN amount END), 0) AS result FROM gl
+    UNION ALL SELECT '3', 1, count(enteredBy) FROM u UNION ALL SELECT '3', 2, count(DISTINCT glAccountNumber) FROM u
+    UNION ALL SELECT '5', 1, round(sum(localAmount), 0) FROM v
+    UNION ALL SELECT '6', 1, count(DISTINCT businessUnitCode) FROM v UNION ALL SELECT '6', 2, count(journalId) FROM v""",
+)
+def _(spark, sf_dir):
+    results = run_steps(general_ledger(spark, sf_dir), _SHARED_STEPS)
+    net = results["1"].select(F.lit(1).alias("condition_no"), F.col("net").alias("result"))
+    labelled = [
+        df.select(F.lit(step).alias("step"), F.col("condition_no").cast("bigint"), F.round(F.col(column).cast("double"), 0).alias("result"))
+        for step, df, column in (
+            ("1", net, "result"), ("3", results["3"], "count"), ("5", results["5"], "sum"), ("6", results["6"], "count")
+        )
+    ]
+    return reduce(lambda a, b: a.unionByName(b), labelled)
+
+
 @query(
     "step_union",
     f"""WITH {GL_SQL} SELECT 1::bigint AS condition_no, count(enteredBy) AS count FROM gl

@@ -1,12 +1,12 @@
 """Data-quality metrics of canonical tables.
 
-All plain metrics of a table come from one aggregation over it; each distinct count is its own scalar
-subquery over a single column, so no row is multiplied. Results are long tables with ``METRIC_SCHEMA``.
+All plain metrics of a table come from one aggregation over it, all distinct counts from a second scan of their columns
+alone; no row is multiplied. Results are long tables with ``METRIC_SCHEMA``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -78,10 +78,13 @@ def metric_rows(one_row: DataFrame, entity: str, metrics: Sequence[Metric]) -> D
 # ---- aggregates -------------------------------------------------------------------------------------
 
 
-def distinct_values(df: DataFrame, name: str) -> Column:
-    """Distinct count of a column without nulls and empty text, as a scalar subquery."""
-    kept = df.select(F.when(named(name).cast("string") != "", named(name)).alias("v")).filter("v is not null")
-    return kept.distinct().agg(F.count(F.lit(1))).scalar()
+def distinct_counts(df: DataFrame, columns: Mapping[str, str]) -> Column:
+    """Struct of the distinct counts of columns without nulls and empty text, by given name, as one scalar subquery.
+
+    One scan of these columns alone; their distinct combinations, not the rows, are spread over the counts.
+    """
+    values = df.select(*[F.when(named(c).cast("string") != "", named(c)).alias(n) for n, c in columns.items()])
+    return values.distinct().agg(F.struct(*[F.count_distinct(named(n)).alias(n) for n in columns])).scalar()
 
 
 def signed(amount: Column, indicator: Column) -> Column:
@@ -138,7 +141,7 @@ def presence_counts(names: Sequence[str]) -> list[Column]:
 
 # ---- metric lists over the aggregate ----------------------------------------------------------------
 
-CELLS = "_cells"
+CELLS, DISTINCT = "_cells", "_distinct"
 _CELL = "array<struct<name:string,kind:string,filled:bigint,present:bigint>>"
 
 
@@ -302,7 +305,7 @@ def scorecard(
             _statistic("recordCount"),
             _statistic("fieldCount", str(len(columns))),
             *statistical,
-            *[_statistic(name) for name in _DISTINCT_COUNTS],
+            *[_statistic(name, f"{DISTINCT}.{name}") for name in _DISTINCT_COUNTS],
         ]
     if "business_rule" in sections:
         metrics += rules + [presence_metric(name, fields) for name, fields in presence]
@@ -312,7 +315,7 @@ def scorecard(
     kinds = {f.name: f.data_type for f in declared}
     derived = [F.expr(cell_array(columns, kinds, profiled, checked))] if profiled or checked else []
     if "statistical" in sections:
-        derived += [distinct_values(df, column).alias(name) for name, column in _DISTINCT_COUNTS.items()]
+        derived.append(distinct_counts(df, _DISTINCT_COUNTS).alias(DISTINCT))
     one_row = one_row.select("*", *derived)
     result = metric_rows(one_row, entity, metrics)
     if entity == "glDetail" and "business_rule" in sections and ord_col:

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ledgerloom.operators.aggregates import count_values, net_amounts, sum_values
-from ledgerloom.operators.filters import filter_all, filter_any
+from ledgerloom.operators.aggregates import Kept, aggregate_steps, count_values, net_amounts, sum_values
+from ledgerloom.operators.filters import filter_all, filter_any, kept_by
 from ledgerloom.runtime import durable
 from ledgerloom.sinks.writers import write_preview, write_table
 from ledgerloom.spec import Step
 
+AGGREGATES = ("Count", "Sum", "Net")
+
 
 def run_step(df: DataFrame, step: Step, signed_net: bool = False) -> DataFrame:
     if step.kind == "Filter":
@@ -28,12 +30,33 @@ def run_step(df: DataFrame, step: Step, signed_net: bool = False) -> DataFrame:
     raise ValueError(f"unknown step type {step.kind!r}")
 
 
+def _together(base: DataFrame, steps: Sequence[Step], signed_net: bool) -> dict[str, DataFrame]:
+    """Results of the aggregate steps that only filters part from ``base``, if there are several: one pass for all."""
+    kept = {"": Kept()}
+    found: list[tuple[Step, Kept]] = []
+    for step in steps:
+        if step.source not in kept:
+            continue
+        if step.kind == "Filter":
+            kept[step.order] = kept_by(base, step.conditions, step.relation, kept[step.source])
+        elif step.kind in AGGREGATES:
+            found.append((step, kept[step.source]))
+    return aggregate_steps(base, found, signed_net) if len(found) > 1 else {}
+
+
 def run_steps(base: DataFrame, steps: Sequence[Step], signed_net: bool = False) -> dict[str, DataFrame]:
-    """Result per step order. A step without a source reads the base table. A result that several steps read is stored
-    once; the others are lazy."""
+    """Result per step order. A step without a source reads the base table.
+
+    Aggregate steps over filters of the base table share one pass over it. Of the others, a result that several steps
+    read is stored once; the rest is lazy.
+    """
     results: dict[str, DataFrame] = {}
-    readers = Counter(step.source for step in steps)
+    ready = _together(base, steps, signed_net)
+    readers = Counter(step.source for step in steps if step.order not in ready)
     for step in steps:
+        if step.order in ready:
+            results[step.order] = ready[step.order]
+            continue
         source = results[step.source] if step.source else base
         result = run_step(source, step, signed_net)
         results[step.order] = durable(result) if readers[step.order] > 1 else result
@@ -55,15 +78,21 @@ def write_steps(
 ) -> dict[str, DataFrame]:
     """Runs the steps and writes each as ``tmp_<type>_<order>.parquet``, ``.csv`` and ``.json`` (first ten rows).
 
-    Every result is computed once, into the Parquet table; the other files and later steps read it from there. The CSV
-    is an export, which ``read_headed_csv`` reads back.
+    Every result is computed once, into the Parquet table; the other files and later steps read it from there, and
+    aggregate steps of one source share a pass over it. The CSV is an export, which ``read_headed_csv`` reads back.
     """
     spark = base.sparkSession
     results: dict[str, DataFrame] = {}
+    ready: dict[str, DataFrame] = {}
     for step in steps:
         source = results[step.source] if step.source else base
         name = f"{folder.rstrip('/')}/tmp_{step.kind}_{step.order}"
-        write_table(run_step(source, step), f"{name}.parquet", "parquet")
+        if step.kind in AGGREGATES and step.order not in ready:
+            every = Kept()
+            beside = [(s, every) for s in steps if s.kind in AGGREGATES and s.source == step.source]
+            ready |= aggregate_steps(source, beside) if len(beside) > 1 else {step.order: run_step(source, step)}
+        result = ready[step.order] if step.kind in AGGREGATES else run_step(source, step)
+        write_table(result, f"{name}.parquet", "parquet")
         result = results[step.order] = spark.read.parquet(f"{name}.parquet")
         shown = result.drop("condition_no")
         write_table(shown, f"{name}.csv")

@@ -2,7 +2,8 @@ import json
 
 import pytest
 
-from ledgerloom.plans.analyse import run_chain, run_steps, write_steps
+from ledgerloom.operators.aggregates import count_values
+from ledgerloom.plans.analyse import run_chain, run_step, run_steps, write_steps
 from ledgerloom.plans.conform import check_file, conform, covered_reports, map_report
 from ledgerloom.sources.reports import read_report
 from ledgerloom.spec import (
@@ -270,3 +271,46 @@ def test_tables_without_a_scored_field_are_scored(spark, tmp_path):
     assert conform(spark, reports, str(tmp_path), out).status == "COMPLETED"
     card = json.loads(spark.read.text(f"{out}/dqs.json").first()[0])["trialBalance"]
     assert {"glAccountCodeCount": 0.0} in card["statistical"] and {"amountEndingSum": 1.0} in card["statistical"]
+
+
+def test_steps_that_share_a_pass_give_what_each_gives_alone(spark, tmp_path):
+    """Filters of both kinds before counts, sums and nets, with null and non-numeric cells and repeated rows."""
+    rows = [("1", "D", "4.5"), ("1", "C", None), (None, "C", "x"), ("2", None, "7"), ("2", "D", "7"), ("2", "D", "7"), ("", "C", "-3")]
+    spark.createDataFrame(rows, "unit string, amountCreditDebitIndicator string, amount string").write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    measures = (Condition("unit", unique=True), Condition("amount"), Condition("amountCreditDebitIndicator", unique=True), Condition("unit", unique=True))
+    either = (Condition("unit", "eq", "2"), Condition("amount", "gt", "5"))
+    steps = [
+        Step("a", "Count", "", measures),
+        Step("b", "Filter", "", either, "or"),
+        Step("c", "Count", "b", measures),
+        Step("d", "Sum", "b", (Condition("amount"), Condition("unit"))),
+        Step("e", "Filter", "b", (Condition("amountCreditDebitIndicator", "eq", "D"), Condition("amount", "lt", "9"))),
+        Step("f", "Net", "e"),
+        Step("g", "Filter", "e", either, "or"),
+        Step("h", "Count", "g", measures),
+        Step("i", "Filter", "", (Condition("unit", "eq", "77"),)),
+        Step("j", "Sum", "i", (Condition("amount"),)),
+        Step("k", "Count", "c", (Condition("count"),)),
+    ]
+    for df in (table, table.limit(0)):
+        alone = {}
+        for step in steps:
+            alone[step.order] = run_step(alone[step.source] if step.source else df, step)
+        together = run_steps(df, steps)
+        for step in steps:
+            assert together[step.order].schema.names == alone[step.order].schema.names
+            assert sorted(map(str, together[step.order].collect())) == sorted(map(str, alone[step.order].collect()))
+    write_steps(table, steps, f"{tmp_path}/out")
+    assert sorted(spark.read.parquet(f"{tmp_path}/out/tmp_Count_c.parquet").collect()) == sorted(alone_counts(table, steps))
+
+
+def alone_counts(table, steps):
+    return run_step(run_step(table, steps[1]), steps[2]).collect()
+
+
+def test_counts_read_their_table_once(spark, tmp_path):
+    spark.range(50).selectExpr("id % 7 AS a", "id % 5 AS b", "id AS c").write.parquet(f"{tmp_path}/t")
+    counts = count_values(spark.read.parquet(f"{tmp_path}/t"), [Condition("a", unique=True), Condition("b", unique=True), Condition("c")])
+    assert [r["count"] for r in counts.orderBy("condition_no").collect()] == [7, 5, 50]
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
