@@ -9,8 +9,9 @@ from ledgerloom.catalog.registry import query
 from ledgerloom.catalog.tables import table
 from ledgerloom.plans.conform import conform
 from ledgerloom.runtime import scratch_path
+from ledgerloom.sinks.publish import published
 from ledgerloom.sinks.writers import write_table
-from ledgerloom.sources.reports import SURPLUS, UNCLOSED, read_headed_csv, read_report, read_report_with_check
+from ledgerloom.sources.reports import ORD, SURPLUS, UNCLOSED, read_headed_csv, read_report, read_report_with_check
 from ledgerloom.spec import Exclusion, ExclusionRule, FileTemplate, HeaderCheck, ReportSpec, reports_from_mapping
 
 _PREAMBLE = ("Closing figures,,", "Harbour Mill,,", ",,", "All branches,,", "Account,Balance,", ",,")
@@ -74,6 +75,19 @@ def _(spark, sf_dir):
     return written.withColumn("amountEnding", F.col("amountEnding").cast("double"))
 
 
+@query(
+    "conform_published",
+    """SELECT c_custkey::varchar AS "glAccountNumber", c_acctbal AS "amountEnding", '2024' AS "fiscalYear", 'COMPLETED' AS status FROM customer""",
+)
+def _(spark, sf_dir):
+    """The strict job published as one, read back through its manifest."""
+    out = scratch_path(spark, "out")
+    conform(spark, _balance_report(spark), _exported_balances(spark, sf_dir), out, as_one=True)
+    run, manifest = published(spark, out)
+    written = spark.read.parquet(f"{run}/{manifest['tables'][0]}.parquet").drop(ORD)
+    return written.withColumn("amountEnding", F.col("amountEnding").cast("double")).withColumn("status", F.lit(manifest["status"]))
+
+
 @query(
     "read_report_stray_quotes",
     """SELECT CASE p_partkey % 3 WHEN 0 THEN p_size || '" pipe' WHEN 1 THEN p_size || '" x 5" plate' ELSE 'say "' || p_size || '"' || chr(10) || 'twice' END

@@ -25,6 +25,7 @@ from ledgerloom.operators.ordinals import dense_ordinal, journal_line_numbers
 from ledgerloom.operators.quality import scorecard
 from ledgerloom.plans.group import group_trial_balance, write_grouped
 from ledgerloom.runtime import durable, literal_rows, scratch_scope
+from ledgerloom.sinks.publish import publish
 from ledgerloom.sinks.writers import write_scorecard, write_table
 from ledgerloom.sources.reports import ORD, SURPLUS, UNCLOSED, read_report, read_report_with_check
 from ledgerloom.spec import FileTemplate, MappingRow, ReportSpec, TypedField
@@ -234,13 +235,24 @@ def conform(
     mode: str = "strict",
     grouping: DataFrame | None = None,
     uploaded: Sequence[str] | None = None,
+    as_one: bool = False,
 ) -> ConformResult:
     """Runs the whole job and writes tables, scorecard and errors below ``out``.
 
     ``strict``: any error row suppresses every table, and a report with badly typed rows is not mapped.
     ``quarantine``: valid rows are written, errors are written beside them. A kept report with a file that was not
-    uploaded is not mapped; the file is an error row.
+    uploaded is not mapped; the file is an error row. ``as_one`` writes to a run of its own below ``out``, which readers
+    find by ``sinks.publish.published`` only once all of it is there.
     """
+    if as_one:
+        results: list[ConformResult] = []
+
+        def write(folder_of_run: str) -> dict[str, object]:
+            results.append(conform(spark, reports, folder, folder_of_run, mode, grouping, uploaded))
+            return {"status": results[0].status, "tables": list(results[0].tables)}
+
+        publish(spark, out, write)
+        return results[0]
     if uploaded is not None:
         reports = covered_reports(spark, reports, uploaded)
     with scratch_scope(spark):

@@ -3,8 +3,11 @@ import json
 import pytest
 
 from ledgerloom.operators.aggregates import count_values
+from ledgerloom.plans import conform as plan
 from ledgerloom.plans.analyse import run_chain, run_step, run_steps, write_steps
 from ledgerloom.plans.conform import check_file, conform, covered_reports, map_report
+from ledgerloom.sinks import publish as publishing
+from ledgerloom.sinks.publish import published
 from ledgerloom.sources.reports import read_report
 from ledgerloom.spec import (
     Condition,
@@ -314,3 +317,40 @@ def test_counts_read_their_table_once(spark, tmp_path):
     counts = count_values(spark.read.parquet(f"{tmp_path}/t"), [Condition("a", unique=True), Condition("b", unique=True), Condition("c")])
     assert [r["count"] for r in counts.orderBy("condition_no").collect()] == [7, 5, 50]
     assert counts._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_a_job_that_dies_publishes_nothing(spark, folder, monkeypatch):
+    """Killed after its first table, by an error or with the process, the job leaves the run before in force."""
+    reports, out = reports_from_mapping({"fields": _job_rows()}, {}), str(folder / "out")
+    (folder / "in" / "one.csv").write_text("x\n1\n2\n")
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as broken:
+        broken.setattr(plan, "scorecard", dies)
+        with pytest.raises(KeyboardInterrupt):
+            conform(spark, reports, str(folder / "in"), out, as_one=True)
+        with pytest.raises(FileNotFoundError):
+            published(spark, out)
+        assert not list((folder / "out" / "runs").iterdir())
+    assert conform(spark, reports, str(folder / "in"), out, as_one=True).status == "COMPLETED"
+    first, manifest = published(spark, out)
+    assert manifest["tables"] == ["trialBalance"] and spark.read.parquet(f"{first}/trialBalance.parquet").count() == 2
+    with monkeypatch.context() as broken:
+        broken.setattr(plan, "scorecard", dies)
+        # A process that is gone removes nothing.
+        broken.setattr(publishing, "_delete", lambda *_: None)
+        with pytest.raises(KeyboardInterrupt):
+            conform(spark, reports, str(folder / "in"), out, as_one=True)
+    assert len(list((folder / "out" / "runs").iterdir())) == 2
+    assert published(spark, out)[0] == first
+    (folder / "in" / "one.csv").write_text("x\n1\n2\n3\n")
+    conform(spark, reports, str(folder / "in"), out, as_one=True)
+    second, _ = published(spark, out)
+    assert second != first and spark.read.parquet(f"{second}/trialBalance.parquet").count() == 3
+    assert spark.read.parquet(f"{first}/trialBalance.parquet").count() == 2
+
+
+def _job_rows():
+    return [_field("glAccountNumber", fields=("x",), file="one.csv")]
