@@ -186,7 +186,9 @@ def _broken_parts(spark: SparkSession, sf_dir: str) -> str:
           THEN concat('"lost, ', p_size, ',', p_partkey) ELSE concat('plain,', p_size, ',', p_partkey) END AS value""",
     )
     heads = parts.select("file").distinct().select("file", F.lit(0).alias("place"), F.lit("item,size,code").alias("value"))
-    every = heads.unionByName(lines).repartition("file").sortWithinPartitions("file", "place")
+    # A key may be as low as the header's place, or lower.
+    every = heads.withColumn("below", F.lit(False)).unionByName(lines.withColumn("below", F.lit(True)))
+    every = every.repartition("file").sortWithinPartitions("file", "below", "place")
     every.select("file", "value").write.partitionBy("file").text(f"{path}/parts")
     return path
 

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from ledgerloom.catalog import REGISTRY, jobs
 from ledgerloom.operators.aggregates import count_values
 from ledgerloom.plans import conform as plan
 from ledgerloom.plans.analyse import run_chain, run_step, run_steps, write_steps
@@ -354,3 +355,14 @@ def test_a_job_that_dies_publishes_nothing(spark, folder, monkeypatch):
 
 def _job_rows():
     return [_field("glAccountNumber", fields=("x",), file="one.csv")]
+
+
+def test_the_header_stands_first_whatever_the_keys(spark, tmp_path):
+    keys = "SELECT explode(array(-14L, -7L, 0L, 7L, 100L, 105L, 112L)) AS p_partkey"
+    spark.sql(f"SELECT p_partkey, 3 AS p_size FROM ({keys})").write.parquet(str(tmp_path / "part.parquet"))
+    lines = spark.read.text(f"{jobs._broken_parts(spark, str(tmp_path))}/parts/file=0", wholetext=True).first().value.splitlines()
+    assert lines == ["item,size,code", '"one', 'two",3,-14', '"one', 'two",3,-7', '"one', 'two",3,0', '"one', 'two",3,7', '"lost, 3,105', "plain,3,112"]
+    rows = REGISTRY["report_unclosed_quote"].build(spark, str(tmp_path)).collect()
+    assert sorted((r.code, r["unclosed cell"] is not None) for r in rows) == [
+        ("-14", False), ("-7", False), ("0", False), ("100", True), ("105", True), ("112", False), ("7", False),
+    ]
