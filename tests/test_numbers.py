@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +83,19 @@ def test_money_sum_keeps_digits_of_decimals_and_text(spark):
     df = spark.sql("SELECT cast('1234567890123456789012.0123456789' AS decimal(38,10)) AS d, '0.1' AS t UNION ALL SELECT 0.0000000001, 'none'")
     row = df.agg(money_sum(F.col("d")).alias("d"), money_sum(F.col("t")).alias("t"), uncounted_amounts(F.col("t")).alias("n")).first()
     assert (str(row.d), str(row.t), row.n) == ("1234567890123456789012.01234568", "0.10000000", 1)
+
+
+def test_doubles_of_any_size_are_cast_once(spark):
+    huge = [1e14, -99999999999999.98, 1e22, -9.999999999999999e21, 1e28, 1e30, -9.999999999999999e29, 3e-10, -7.5e29, 4.5e29, 3e29]
+    df = spark.createDataFrame([(a,) for a in huge], "a double").repartition(4)
+    with localcontext(prec=60):
+        exact = sum(Decimal(repr(a)) for a in huge).quantize(Decimal("1e-8"))
+    a = F.col("a")
+    row = df.agg(money_sum(a).alias("s"), money_total(a).alias("t"), uncounted_amounts(a).alias("n")).first()
+    assert (row.s, row.t, row.n) == (exact, pytest.approx(float(exact), rel=1e-15), 0)
+    tie = spark.createDataFrame([(-619526782413903.0,), (-1.5e-08,), (1e-08,), (1e29,), (-1e29,)], "a double")
+    assert str(tie.agg(money_sum(a)).first()[0]) == "-619526782413903.00000001"
+    # No cell is divided, and none takes a cast that may fail.
+    plan = df.groupBy("a").agg(money_sum(a).alias("s"), money_total(a).alias("t"), uncounted_amounts(a).alias("n"))
+    partial = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert " div " not in partial and "decimal(38,10))" not in partial
