@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import groups, mix, runs, shingle_sets, stretches
 from ledgerloom.llm.workers import arrow_map
-from ledgerloom.runtime import durable, lookup_side
+from ledgerloom.runtime import bounded_parts, durable, lookup_side, parts_needed
 
 MINIMA, ROWS, BITS = 128, 4, 4
 BANDS = MINIMA // ROWS
@@ -32,6 +32,8 @@ LONGS = MINIMA * BITS // 64
 ESTIMATE = 0.55
 # Members of a centre checked in one task; members of a block and their shingles together.
 CENTRE_ROWS, BLOCK_ROWS, BLOCK_SHINGLES = 2000, 800, 4_000_000
+# Classes stored in a file, with their keys and signatures.
+CLASS_ROWS = 10_000
 # Shingle hashes taken at once when the minima are computed.
 _SLICE = 4096
 _FACTORS = mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -210,26 +212,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .groupBy("digest")
         .agg(F.min(F.struct("text_hash", "keys", "signature", "n_shingles")).alias("r"), F.min("doc_id").alias("least_id"))
     )
+    classes = bounded_parts(classes, signed.count(), CLASS_ROWS)
     classes = durable(classes.select(F.monotonically_increasing_id().alias("id"), "digest", "r.*", "least_id"))
     bands = classes.select("id", F.explode("keys").alias("key"))
     order = F.struct(F.xxhash64("id").alias("h"), "id")
     shared = bands.groupBy("key").agg(
         F.min(order)["id"].alias("low"), F.max(order)["id"].alias("high"), F.count("*").alias("members")
     )
-    shared = durable(shared.where("members > 1"))
+    shared = durable(bounded_parts(shared.where("members > 1"), BANDS * classes.count()))
+    met = shared.agg(F.sum("members").alias("n")).first()["n"] or 0
     pairs = bands.join(shared, "key").select("id", F.explode(F.array("low", "high")).alias("centre"))
     pairs = pairs.where("id <> centre").distinct()
     signatures = classes.select("id", "signature")
     pairs = pairs.join(signatures, "id").join(
         signatures.select(F.col("id").alias("centre"), F.col("signature").alias("other")), "centre"
     )
-    pairs = durable(pairs.where(_fields_equal(F.col("signature"), F.col("other")) >= _equal_needed()).select("id", "centre"))
+    pairs = pairs.where(_fields_equal(F.col("signature"), F.col("other")) >= _equal_needed()).select("id", "centre")
+    pairs = durable(bounded_parts(pairs, 2 * met))
     shown = rows.withColumn("text_hash", F.xxhash64("text"))
     representatives = classes.select("id", "text_hash")
-    first = durable(_centre_links(shown, representatives, pairs))
-    found = components(first)
-    apart = _apart_links(shown, representatives, classes, shared, found)
-    named = components(first.select("a", "b").union(apart)).withColumnRenamed("id", "own")
+    tested = pairs.count()
+    # Dealt anew, since the comparisons before it need all their tasks.
+    first = _centre_links(shown, representatives, pairs, tested)
+    first = durable(first.repartition(parts_needed(tested)))
+    links = first.count()
+    found = components(first, links)
+    apart, most = _apart_links(shown, representatives, classes, shared, found, met)
+    named = components(first.select("a", "b").union(apart), links + most).withColumnRenamed("id", "own")
     digests = classes.select("id", "digest", "least_id").join(named, F.col("own") == F.col("id"), "left")
     digests = digests.select("digest", "least_id", F.coalesce("component", "id").alias("component"))
     names = digests.groupBy("component").agg(F.min("least_id").alias("name"))
@@ -256,13 +265,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def _texts(rows: DataFrame, representatives: DataFrame, wanted: DataFrame) -> DataFrame:
     """``id, text`` of the wanted classes: copies of a text are made one before anything is shuffled."""
-    hashes = lookup_side(representatives.join(wanted.select("id").distinct(), "id"))
+    hashes = representatives.join(wanted.select("id").distinct(), "id")
+    hashes = lookup_side(bounded_parts(hashes, wanted.count()))
     held = rows.select("text_hash", "text").join(hashes.select("text_hash").distinct(), "text_hash", "left_semi")
     return held.groupBy("text_hash").agg(F.min("text").alias("text")).join(hashes, "text_hash").select("id", "text")
 
 
-def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs of member and centre that are similar on full sets. Members of a large centre spread over salts."""
+def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame, tested: int) -> DataFrame:
+    """Those of the ``tested`` pairs of member and centre that are similar on full sets. Members of a large centre spread
+    over salts."""
     salts = pairs.groupBy("centre").agg(F.ceil(F.count("*") / CENTRE_ROWS).cast("int").alias("salts"))
     members = pairs.join(salts, "centre").select(
         "id", "centre", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("own")
@@ -270,7 +281,8 @@ def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame)
     owners = salts.select(
         F.col("centre").alias("id"), "centre", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("own")
     )
-    needed = durable(members.unionByName(owners))
+    # No centre has more salts than members, so there are no more owners than pairs.
+    needed = durable(bounded_parts(members.unionByName(owners), 2 * tested))
     grouped = (
         _texts(rows, representatives, needed)
         .join(needed, "id")
@@ -281,15 +293,19 @@ def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame)
     return arrow_map(grouped, _check_centres, "a bigint, b bigint")
 
 
-def _apart_links(rows: DataFrame, representatives: DataFrame, classes: DataFrame, shared: DataFrame, found: DataFrame) -> DataFrame:
-    """Links between components within buckets of three and more members, found by comparing blocks completely.
+def _apart_links(
+    rows: DataFrame, representatives: DataFrame, classes: DataFrame, shared: DataFrame, found: DataFrame, members: int
+) -> tuple[DataFrame, int]:
+    """Links between components within buckets of three and more members, found by comparing blocks completely, and a
+    bound of their number. All buckets together have ``members``.
 
     A bucket has as many blocks as its members or their shingles need, so a few texts of many shingles fill a block.
     """
     bands = classes.select("id", "n_shingles", F.explode("keys").alias("key"))
     crowded = bands.join(shared.where("members > 2").select("key", "members"), "key")
     label = F.coalesce("component", "id").alias("label")
-    crowded = durable(crowded.join(found, "id", "left").select("key", "members", "id", "n_shingles", label))
+    crowded = crowded.join(found, "id", "left").select("key", "members", "id", "n_shingles", label)
+    crowded = durable(bounded_parts(crowded, members))
     split = crowded.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum("n_shingles").alias("volume"))
     split = split.where("a <> b").select("key", "volume")
     open_rows = crowded.join(split, "key").join(classes.select("id", "signature"), "id")
@@ -307,4 +323,5 @@ def _apart_links(rows: DataFrame, representatives: DataFrame, classes: DataFrame
     met = durable(arrow_map(paired.repartition(*keys).sortWithinPartitions(*keys), _involved, schema))
     whole = met.join(_texts(rows, representatives, met), "id").select(*met.columns, "text")
     whole = whole.repartition(*keys).sortWithinPartitions(*keys)
-    return arrow_map(whole, _check_blocks, "a bigint, b bigint")
+    # Links that join components of a block pair are fewer than its rows.
+    return arrow_map(whole, _check_blocks, "a bigint, b bigint"), met.count()

@@ -68,6 +68,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts_needed(rows: int, each: int = 50_000) -> int:
+    return max(1, -(-rows // each))
+
+
+def bounded_parts(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """``df``, of at most ``rows`` rows, in no more partitions than ``each`` rows a partition need. For tables that are
+    stored: one of few rows is not spread over a file per shuffle partition."""
+    return df.coalesce(parts_needed(rows, each))
+
+
 def lookup_side(df: DataFrame, limit: int = BROADCAST_BYTES, once: bool = True) -> DataFrame:
     """Prepares the lookup side of a join.
 

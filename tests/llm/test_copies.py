@@ -4,12 +4,14 @@ import hashlib
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import runtime
 from ledgerloom.llm import bwt, minhash, repeats
 from ledgerloom.llm.components import components
 from ledgerloom.llm.minhash import drop_near_duplicates, near_duplicates
@@ -83,6 +85,25 @@ def test_blocks_are_cut_by_shingles_too(spark, monkeypatch):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in out} == plain_components(rows)
 
 
+def test_few_rows_are_stored_in_few_files(spark, monkeypatch):
+    """Every stored file costs its executor a process or a request, however few rows it holds."""
+    folders = []
+    monkeypatch.setattr(runtime, "_SCRATCH", folders)
+    rows = near_rows()
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in out} == plain_components(rows)
+    files = [len(list(Path(folder).glob("part-*"))) for folder in folders]
+    assert len(files) > 10 and sum(files) < 2 * 64
+
+
 def test_groups_hold_sets_instead_of_texts():
     texts = ["a b c d e f " * 3, "g h i j k l", None, "m " * 400_000]
     batch = pa.RecordBatch.from_pydict({"key": [1, 1, 2, 2], "i": [0, 0, 0, 0], "j": [0, 0, 0, 0], "id": [1, 2, 3, 4], "text": texts})
