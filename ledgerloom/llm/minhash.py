@@ -219,7 +219,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = bands.groupBy("key").agg(
         F.min(order)["id"].alias("low"), F.max(order)["id"].alias("high"), F.count("*").alias("members")
     )
-    shared = durable(bounded_parts(shared.where("members > 1"), BANDS * classes.count()))
+    n_bands = BANDS * classes.count()
+    shared = durable(bounded_parts(shared.where("members > 1"), n_bands))
     met = shared.agg(F.sum("members").alias("n")).first()["n"] or 0
     pairs = bands.join(shared, "key").select("id", F.explode(F.array("low", "high")).alias("centre"))
     pairs = pairs.where("id <> centre").distinct()
@@ -237,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = durable(first.repartition(parts_needed(tested)))
     links = first.count()
     found = components(first, links)
-    apart, most = _apart_links(shown, representatives, classes, shared, found, met)
+    apart, most = _apart_links(shown, representatives, classes, shared, found, n_bands)
     named = components(first.select("a", "b").union(apart), links + most).withColumnRenamed("id", "own")
     digests = classes.select("id", "digest", "least_id").join(named, F.col("own") == F.col("id"), "left")
     digests = digests.select("digest", "least_id", F.coalesce("component", "id").alias("component"))
@@ -294,10 +295,10 @@ def _centre_links(rows: DataFrame, representatives: DataFrame, pairs: DataFrame,
 
 
 def _apart_links(
-    rows: DataFrame, representatives: DataFrame, classes: DataFrame, shared: DataFrame, found: DataFrame, members: int
+    rows: DataFrame, representatives: DataFrame, classes: DataFrame, shared: DataFrame, found: DataFrame, n_bands: int
 ) -> tuple[DataFrame, int]:
     """Links between components within buckets of three and more members, found by comparing blocks completely, and a
-    bound of their number. All buckets together have ``members``.
+    bound of their number. All classes together have ``n_bands`` bands.
 
     A bucket has as many blocks as its members or their shingles need, so a few texts of many shingles fill a block.
     """
@@ -305,7 +306,8 @@ def _apart_links(
     crowded = bands.join(shared.where("members > 2").select("key", "members"), "key")
     label = F.coalesce("component", "id").alias("label")
     crowded = crowded.join(found, "id", "left").select("key", "members", "id", "n_shingles", label)
-    crowded = durable(bounded_parts(crowded, members))
+    # Parts for the rows that the join reads, not only for those it keeps.
+    crowded = durable(bounded_parts(crowded, n_bands))
     split = crowded.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum("n_shingles").alias("volume"))
     split = split.where("a <> b").select("key", "volume")
     open_rows = crowded.join(split, "key").join(classes.select("id", "signature"), "id")
